@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("features",)
+MODULES = ("features", "identity", "partner")
 
 
 def _merged(attribute: str) -> dict:

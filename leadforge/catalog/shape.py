@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -11,17 +10,15 @@ def comparable(df: DataFrame) -> DataFrame:
     """Decimals and ratios as rounded doubles, dates as ISO text; all else unchanged."""
     columns = []
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
-            c = F.round(c.cast("double"), 4)
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 4)
+        name = f"`{field.name}`"
+        if isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
+            name = f"round(cast({name} as double), 4)"
         elif isinstance(field.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            name = f"date_format({name}, 'yyyy-MM-dd')"
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType)):
-            c = c.cast("bigint")
-        columns.append(c.alias(field.name))
-    return df.select(*columns)
+            name = f"cast({name} as bigint)"
+        columns.append(f"{name} as `{field.name}`")
+    return df.selectExpr(*columns)
 
 
 def dbl(expression: str) -> str:

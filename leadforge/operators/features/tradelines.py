@@ -196,41 +196,42 @@ class _Slots:
     """Reads block metrics out of the slot array, with the zero rules of conditional aggregates.
 
     A column is "sum or max of (value when the account is in the set, else 0)". Accounts outside the
-    set therefore contribute zeros, unless every account of the customer is inside.
+    set therefore contribute zeros, unless every account of the customer is inside. Expressions are
+    SQL text: a thousand of them parse faster than they can be built call by call.
     """
 
     def __init__(self, blocks: list[str]):
         self.position = {b: i for i, b in enumerate(blocks)}
         self.total = self.raw("everything", "count")
 
-    def raw(self, block: str, metric: str) -> Column:
-        return F.get(F.col("slots"), F.lit(self.position[block]))[metric]
+    def raw(self, block: str, metric: str) -> str:
+        return f"get(slots, {self.position[block]}).{metric}"
 
-    def _clamped(self, value: Column, members: Column) -> Column:
-        floor = F.greatest(F.coalesce(value, F.lit(0)), F.lit(0))
-        return F.when(F.coalesce(members, F.lit(0)) < self.total, floor).otherwise(value)
+    def _outsiders(self, members: str) -> str:
+        return f"coalesce({members}, 0) < {self.total}"
 
-    def value(self, feature: S.Feature) -> Column:
+    def value(self, feature: S.Feature) -> str:
         block, metric = feature.block, feature.metric
         if metric == "ever":
-            return (F.coalesce(self.raw(block, "count"), F.lit(0)) > 0).cast("bigint")
+            return f"cast(coalesce({self.raw(block, 'count')}, 0) > 0 as bigint)"
         value = self.raw(block, metric)
         if metric.startswith(("count", "opened")):
-            return F.coalesce(value, F.lit(0)).cast("bigint")
-        if metric.endswith("limit") or metric.endswith("limit_active"):
-            return F.coalesce(value, F.lit(0)).cast(AMOUNT)
+            return f"coalesce({value}, 0L)"
+        if metric.endswith(("limit", "limit_active")):
+            return f"cast(coalesce({value}, 0) as {AMOUNT})"
         members = self.raw(block, "count_active" if metric.endswith("_active") else "count")
         if metric == "utilisation":
             members = self.raw(block, "count_lent")
         elif metric == "card_utilisation":
             members = self.raw(block, "count_limited")
-        if metric.startswith("sum"):
-            present = F.coalesce(members, F.lit(0)) < self.total
-            return F.when(present, F.coalesce(value, F.lit(0).cast(AMOUNT))).otherwise(value).cast(AMOUNT)
-        result = self._clamped(value, members)
+        floor = f"coalesce({value}, 0)" if metric.startswith("sum") else f"greatest(coalesce({value}, 0), 0)"
+        result = f"if({self._outsiders(members)}, {floor}, {value})"
         if metric == "tenure" or metric.startswith("dpd"):
-            return result.cast("bigint")
-        return result if "utilisation" in metric else result.cast(AMOUNT)
+            return f"cast({result} as bigint)"
+        return result if "utilisation" in metric else f"cast({result} as {AMOUNT})"
+
+    def columns(self, features: list[S.Feature]) -> list[str]:
+        return [f"{self.value(f)} as {f.name}" for f in features]
 
 
 def dpd_catalogue() -> list[S.Feature]:
@@ -244,9 +245,7 @@ def block_features(ar: DataFrame, features: list[S.Feature], customers: DataFram
     blocks = ["everything", *dict.fromkeys(f.block for f in features if f.block != "everything")]
     cells = customer_cells(ar, _needed(features), customers)
     slots = _Slots(blocks)
-    return customer_blocks(cells, blocks).select(
-        "customer_id", *[slots.value(f).alias(f.name) for f in features]
-    )
+    return customer_blocks(cells, blocks).selectExpr("customer_id", *slots.columns(features))
 
 
 def tradeline_features(ar: DataFrame, customers: DataFrame | None = None) -> DataFrame:

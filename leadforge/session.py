@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Wide projections compile to methods the JIT refuses; below this size Spark splits them instead.
+WIDE_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
@@ -19,8 +23,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "16g")
     )
-    for key, value in extra.items():
-        builder = builder.config(key.replace("__", "."), value)
+    for key, value in {**WIDE_SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
