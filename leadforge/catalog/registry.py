@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("features", "identity", "partner")
+MODULES = ("features", "identity", "partner", "scrub")
 
 
 def _merged(attribute: str) -> dict:
