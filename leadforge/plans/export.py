@@ -26,7 +26,8 @@ def bureau_export(
     """
     prefix = {"equifax": "EQ", "experian": "EX"}[bureau]
     due = S.due_for_scrub(processed, as_of, days)
-    combined = S.select_batches(due, batches).distinct()
+    combined = S.select_batches(due, batches)
+    combined = combined.distinct() if len(batches) > 1 else combined
     start = S.next_bureau_index(exchange, prefix, as_of)
     numbered = durable(S.assign_bureau_ids(combined, prefix, as_of, start, ["lead_id", "partner_reference_id"]))
     rows = S.exchange_rows(numbered, scrub_batch, as_of, with_second_flag=bureau == "equifax")

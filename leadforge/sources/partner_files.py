@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Header spellings that partners use, and the encodings tried in order.
+from leadforge.sources.files import header_lines
+
+# Header spellings that partners use.
 HEADER_ALIASES = {
     "PId": "PARTNER_REFERENCE_ID",
     "pid": "PARTNER_REFERENCE_ID",
@@ -17,7 +19,6 @@ HEADER_ALIASES = {
     "masked_phone": "MASKED_PHONE",
     "hashed_phone": "HASHED_PHONE",
 }
-ENCODINGS = ("utf-8", "utf-8-sig", "latin1", "utf-16", "iso-8859-1", "cp1252")
 
 
 def standard_name(header: str) -> str:
@@ -35,60 +36,48 @@ def standardise(df: DataFrame) -> DataFrame:
     )
 
 
-def _decoded(content: bytes) -> str:
-    """Text of a file in the first encoding that fits; marks at the start decide before the guesses."""
-    if content[:2] in (b"\xff\xfe", b"\xfe\xff"):
-        return content.decode("utf-16")
-    for encoding in ENCODINGS:
-        try:
-            return content.decode(encoding).removeprefix("﻿")
-        except UnicodeError:
-            continue
-    return content.decode("utf-8", "replace")
-
+def detect_encodings(spark: SparkSession, inventory: DataFrame) -> DataFrame:
+    """(path, encoding, header) of every file.
 
-def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = [_decoded(c) for c in batch.column("content").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(texts, pa.string())], ["path", "text"])
+    A byte-order mark decides; else a file whose every line is valid UTF-8 is UTF-8, and any other is
+    latin1, which reads all bytes. Lines are checked where they lie, so large files are split over tasks.
+    """
+    heads = header_lines(inventory)
+    paths = [unquote(r["path"]) for r in inventory.select("path").distinct().collect()]
+    checked = (
+        spark.read.text(paths)
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.bool_and(F.expr("is_valid_utf8(value)")).alias("clean"))
+    )
+    name = F.regexp_replace("path", "^file:/+", "/")
+    judged = heads.withColumn("key", name).join(checked.select(name.alias("key"), "clean"), "key", "left")
+    plain = F.when(F.coalesce("clean", F.lit(True)), "UTF-8").otherwise("ISO-8859-1")
+    return judged.select("path", F.coalesce("marker", plain).alias("encoding"), "header")
 
 
-def scan_partner_csv(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """Partner files of a folder as one frame of text columns, with path, filename and row_seq.
+def scan_partner_csv(spark: SparkSession, inventory: DataFrame) -> DataFrame:
+    """Partner files as one frame of trimmed text columns under standard names.
 
-    With a known ``encoding`` Spark's own reader splits and parses the files, whatever their size, and
-    ``row_seq`` is absent. Without one every file is decoded as a whole inside a task (uploads are single
-    files of bounded size, below the 2 GB limit of a binary cell), then split and parsed on Spark.
+    One scan per encoding and header layout; layouts are unified by name. FILENAME, FILE_OFFSET and
+    ROW_SEQ give the place of a row: the file, the split inside it and the row inside the split.
     """
-    if encoding is not None:
-        read = spark.read.options(header=True, encoding=encoding, mode="PERMISSIVE").csv(path)
-        return standardise(read).withColumn("FILENAME", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    texts = files.mapInArrow(_decode_batches, "path string, text string")
-    lines = texts.select(
-        "path", F.posexplode(F.split("text", r"\r\n|\n|\r")).alias("row_seq", "line")
-    ).filter(F.trim("line") != "")
-    return _parsed(lines)
-
-
-def _parsed(lines: DataFrame) -> DataFrame:
-    """Lines (path, row_seq, line) to columns; headers may differ between files and are unified by name."""
-    header_of = lines.filter("row_seq = 0").select("path", F.col("line").alias("header"))
-    layouts = header_of.select("header").distinct().collect()
+    layouts = (
+        detect_encodings(spark, inventory).groupBy("encoding", "header").agg(F.collect_list("path").alias("paths")).collect()
+    )
     frames = []
     for layout in layouts:
-        names = [standard_name(n.strip('"')) for n in layout["header"].split(",")]
-        schema = ", ".join(f"`{n}` string" for n in names)
-        own = lines.join(header_of.filter(F.col("header") == layout["header"]).select("path"), "path", "left_semi")
-        cells = own.filter("row_seq > 0").select("path", "row_seq", F.from_csv("line", F.lit(schema)).alias("cells"))
+        names = [standard_name(n.strip().strip('"')) for n in layout["header"].split(",")]
+        wide = layout["encoding"].startswith("UTF-16")
+        reader = spark.read.schema(", ".join(f"`{n}` string" for n in names)).options(
+            header=True, sep=",", encoding=layout["encoding"], multiLine=wide, enforceSchema=True
+        )
+        rows = reader.csv([unquote(p) for p in layout["paths"]])
         frames.append(
-            cells.select(
-                *[F.trim(F.col("cells")[n]).alias(n) for n in names],
-                F.element_at(F.split("path", "/"), -1).alias("FILENAME"),
-                F.col("row_seq").cast("bigint").alias("ROW_SEQ"),
+            rows.select(
+                *[F.trim(F.col(f"`{n}`")).alias(n) for n in names],
+                F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("FILENAME"),
+                F.col("_metadata.file_block_start").alias("FILE_OFFSET"),
+                F.monotonically_increasing_id().alias("ROW_SEQ"),
             )
         )
-    combined = frames[0]
-    for frame in frames[1:]:
-        combined = combined.unionByName(frame, allowMissingColumns=True)
-    return combined
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
