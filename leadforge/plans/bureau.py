@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from leadforge.operators import cleaning as C
 from leadforge.operators.lender_views import LENDERS, lender_view
 from leadforge.operators.reports import EQUIFAX_TABLES, EXPERIAN_TABLES, route
+from leadforge.session import durable
 from leadforge.sources import files as SF
 from leadforge.sources import ledger as LG
 from leadforge.sources.schemas import BUREAUS
@@ -48,7 +49,7 @@ def bureau_ingest(
     out. The number of writes is the number of tables of the bureau, not of files.
     """
     ledger = LG.read_ledger(spark, ledger_path)
-    fresh = LG.unprocessed(routed(inventory, bureau, whole_words=whole_words), ledger)
+    fresh = durable(LG.unprocessed(routed(inventory, bureau, whole_words=whole_words), ledger))
     present = {r["table_name"] for r in fresh.select("table_name").distinct().collect()} - {None}
     results = []
     for table in TABLES[bureau]:

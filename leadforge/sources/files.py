@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from functools import reduce
 from urllib.parse import unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# The few functions that run inside tasks travel with them, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Texts that stand for NULL in bureau files, and the accepted file endings.
 NULL_TOKENS = ("NULL", "NUL", "")
 BUREAU_ENDINGS = (".csv", ".txt", ".xlsx")
