@@ -11,7 +11,9 @@ def comparable(df: DataFrame) -> DataFrame:
     columns = []
     for field in df.schema.fields:
         name = f"`{field.name}`"
-        if isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
+        if isinstance(field.dataType, T.DecimalType) and field.dataType.scale <= 4:
+            name = f"cast({name} as double)"
+        elif isinstance(field.dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
             name = f"round(cast({name} as double), 4)"
         elif isinstance(field.dataType, T.DateType):
             name = f"date_format({name}, 'yyyy-MM-dd')"

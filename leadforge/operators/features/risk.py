@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,13 +21,10 @@ def enquiry_features(enq: DataFrame, customers: DataFrame | None = None) -> Data
     )
     columns = []
     for family, codes in S.ENQUIRY_FAMILIES.items():
-        asked = F.col("purpose").isin(*codes)
-        columns.append(F.count(F.when(asked, 1)).alias(f"nbr_{family}_enquiry_ever"))
-        columns += [
-            F.count(F.when(asked & (F.col("months") <= w), 1)).alias(f"nbr_{family}_enquiry_l{w}m")
-            for w in S.WINDOWS
-        ]
-    counted = typed.groupBy("customer_id").agg(*columns)
+        asked = f"purpose in ({', '.join(map(str, codes))})"
+        columns.append(f"count_if({asked}) as nbr_{family}_enquiry_ever")
+        columns += [f"count_if({asked} and months <= {w}) as nbr_{family}_enquiry_l{w}m" for w in S.WINDOWS]
+    counted = typed.groupBy("customer_id").agg(*[F.expr(c) for c in columns])
     return counted if customers is None else counted.join(customers, "customer_id", "left_semi")
 
 
@@ -45,43 +41,28 @@ def dpd_features(ar: DataFrame) -> DataFrame:
     return typed.groupBy("customer_id").agg(*everything, *secured)
 
 
-def _all_of(*conditions: Column) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+def _cards(limit: int) -> list[str]:
+    return ["nbr_active_cc >= 1", f"max_cc_loan_amt >= {limit}", "nbr_cc >= 1", "current_cc_util < 80"]
 
 
-def _at_least(name: str, value) -> Column:
-    return F.col(name) >= value
+def _home(amount: int, tenure: int) -> list[str]:
+    return [f"max_hl_loan_amt >= {amount}", f"cb_hl_tenure >= {tenure}"]
 
 
-def _at_most(name: str, value) -> Column:
-    return F.col(name) <= value
+def _personal(amount: int) -> list[str]:
+    return [f"max_pl_loan_amt >= {amount}", "nbr_pl >= 1", "current_pl_util <= 50"]
 
 
-def _cards(limit: int) -> list[Column]:
-    return [
-        _at_least("nbr_active_cc", 1), _at_least("max_cc_loan_amt", limit),
-        _at_least("nbr_cc", 1), F.col("current_cc_util") < 80,
-    ]
-
-
-def _home(amount: int, tenure: int) -> list[Column]:
-    return [_at_least("max_hl_loan_amt", amount), _at_least("cb_hl_tenure", tenure)]
-
-
-def _personal(amount: int) -> list[Column]:
-    return [_at_least("max_pl_loan_amt", amount), _at_least("nbr_pl", 1), _at_most("current_pl_util", 50)]
-
-
-def _clean(**worst: int) -> list[Column]:
+def _clean(**worst: int) -> list[str]:
     """``m36=10`` reads: worst delinquency of 36 months at most 10 days."""
-    return [_at_most(f"max_dpd_l{window[1:]}m_all", days) for window, days in worst.items()]
+    return [f"max_dpd_l{window[1:]}m_all <= {days}" for window, days in worst.items()]
 
 
-def _no_new_loans(months: int) -> list[Column]:
-    return [_at_most(f"nbr_pl_opened_l{months}m", 0)]
+def _no_new_loans(months: int) -> list[str]:
+    return [f"nbr_pl_opened_l{months}m <= 0"]
 
 
-def category_ladder() -> list[tuple[str, int, int | None, list[Column]]]:
+def category_ladder() -> list[tuple[str, int, int | None, list[str]]]:
     """(category, least score, least bureau tenure, further conditions); the first match wins."""
     return [
         ("CAT-A1", 760, 48, _cards(100000) + _clean(m36=10) + _no_new_loans(6)),
@@ -94,22 +75,24 @@ def category_ladder() -> list[tuple[str, int, int | None, list[Column]]]:
         ("CAT-C1", 720, 24, _personal(150000) + _clean(m24=10, m12=0) + _no_new_loans(3)),
         ("CAT-C2", 720, 24, _home(2000000, 6) + _clean(m24=10, m12=0) + _no_new_loans(6)),
         ("CAT-C3", 700, 12, _cards(50000) + _clean(m12=10) + _no_new_loans(3)),
-        ("CAT-C4", 700, 12, [_at_least("max_pl_loan_amt", 75000)] + _clean(m12=10) + _no_new_loans(3)),
+        ("CAT-C4", 700, 12, ["max_pl_loan_amt >= 75000"] + _clean(m12=10) + _no_new_loans(3)),
         ("CAT-C5", 700, 12, _cards(50000) + _clean(m12=10)),
-        ("CAT-D1", 700, 12, [_at_least("max_pl_loan_amt", 75000)] + _clean(m12=0)),
+        ("CAT-D1", 700, 12, ["max_pl_loan_amt >= 75000"] + _clean(m12=0)),
         ("CAT-D2", 10, None, []),
     ]
 
 
-def customer_category() -> Column:
-    """Risk category from score, tenure, products, utilisation, delinquency and recent loans."""
-    chain = F
+def category_sql() -> str:
+    """Risk category from score, tenure, products, utilisation, delinquency and recent loans (SQL text)."""
+    branches = []
     for name, score, tenure, further in category_ladder():
-        conditions = [_at_least("score", score)]
-        if tenure is not None:
-            conditions.append(_at_least("credit_bureau_tenure", tenure))
-        chain = chain.when(_all_of(*conditions, *further), name)
-    return chain.otherwise("NO-HIT")
+        conditions = [f"score >= {score}", *([f"credit_bureau_tenure >= {tenure}"] if tenure else []), *further]
+        branches.append(f"when {' and '.join(conditions)} then '{name}'")
+    return f"case {' '.join(branches)} else 'NO-HIT' end"
+
+
+def customer_category() -> Column:
+    return F.expr(category_sql())
 
 
 # Columns that the ladder reads, so that it can be computed without the whole table.
@@ -124,14 +107,11 @@ def categorised(base: DataFrame, ar: DataFrame) -> DataFrame:
     """``base`` (customer_id, score, ...) with its risk category."""
     features = [f for f in S.tradeline_catalogue() if f.name in CATEGORY_INPUTS]
     delinquency = [f for f in T.dpd_catalogue() if f.name in (f"max_dpd_l{w}m_all" for w in (12, 24, 36))]
-    columns = T.block_features(ar, features + delinquency)
-    columns = columns.select(
-        "*",
-        T.ratio(F.col("tot_active_cc_bal"), F.col("tot_active_cc_loan_amt")).alias("current_cc_util"),
-        T.ratio(F.col("tot_active_pl_bal"), F.col("tot_active_pl_loan_amt")).alias("current_pl_util"),
-    )
-    joined = base.join(columns, "customer_id", "left")
-    return joined.select(*[base[c] for c in base.columns], customer_category().alias("customer_category"))
+    wanted = features + delinquency
+    joined = base.join(T.feature_slots(ar, wanted), "customer_id", "left")
+    columns = joined.selectExpr(*base.columns, *T.slot_columns(wanted))
+    columns = columns.selectExpr("*", *T.ratio_columns({"current_cc_util", "current_pl_util"}))
+    return columns.select(*base.columns, customer_category().alias("customer_category"))
 
 
 def feature_base(pii: DataFrame, exchange: DataFrame, batch: str, as_of: dt.date) -> DataFrame:
@@ -162,19 +142,18 @@ def add_tli(
     """The full customer feature table: identity base, tradelines, ratios, enquiries, delinquency, category."""
     base = feature_base(pii, exchange, batch, as_of)
     tradelines, delinquency = S.tradeline_catalogue(), T.dpd_catalogue()
-    accounts = T.with_current_utilisation(T.block_features(ar, tradelines + delinquency))
+    wanted = tradelines + delinquency
     enquiries = enquiry_features(enq)
-    joined = base.join(accounts, "customer_id", "left").join(enquiries, "customer_id", "left")
-    order = (
-        ["customer_id", "score", "dob", "age", "rnk"]
-        + [f.name for f in tradelines]
-        + [name for name, _, _ in S.utilisation_ratios()]
-        + [c for c in enquiries.columns if c != "customer_id"]
-        + [f.name for f in delinquency]
-    )
-    return joined.select(
-        *order,
-        customer_category().alias("customer_category"),
-        "batch_no",
-        F.lit(as_of).alias("created_at"),
+    counted = [c for c in enquiries.columns if c != "customer_id"]
+    # Joined while the account blocks are still one array per customer; the wide rows are made last.
+    joined = base.join(T.feature_slots(ar, wanted), "customer_id", "left").join(enquiries, "customer_id", "left")
+    columns = joined.selectExpr(*base.columns, *T.slot_columns(wanted), *counted, "slots is null as without_accounts")
+    ratios = [
+        f"if(without_accounts, null, {T.ratio(b, a)}) as {name}" for name, b, a in S.utilisation_ratios()
+    ]
+    order = [f.name for f in tradelines] + [name for name, _, _ in S.utilisation_ratios()] + counted
+    order += [f.name for f in delinquency]
+    return columns.selectExpr("*", *ratios).selectExpr(
+        "customer_id", "score", "dob", "age", "rnk", *order,
+        f"{category_sql()} as customer_category", "batch_no", f"date '{as_of}' as created_at",
     )

@@ -231,7 +231,8 @@ class _Slots:
         return result if "utilisation" in metric else f"cast({result} as {AMOUNT})"
 
     def columns(self, features: list[S.Feature]) -> list[str]:
-        return [f"{self.value(f)} as {f.name}" for f in features]
+        """Select-list texts; all are NULL where a left join found no accounts."""
+        return [f"if(slots is null, null, {self.value(f)}) as {f.name}" for f in features]
 
 
 def dpd_catalogue() -> list[S.Feature]:
@@ -240,12 +241,23 @@ def dpd_catalogue() -> list[S.Feature]:
     ]
 
 
+def _blocks_of(features: list[S.Feature]) -> list[str]:
+    return ["everything", *dict.fromkeys(f.block for f in features if f.block != "everything")]
+
+
+def feature_slots(ar: DataFrame, features: list[S.Feature], customers: DataFrame | None = None) -> DataFrame:
+    """(customer_id, slots): the reduced blocks, still narrow enough to be joined cheaply."""
+    return customer_blocks(customer_cells(ar, _needed(features), customers), _blocks_of(features))
+
+
+def slot_columns(features: list[S.Feature]) -> list[str]:
+    """Select-list texts that turn ``slots`` into the feature columns."""
+    return _Slots(_blocks_of(features)).columns(features)
+
+
 def block_features(ar: DataFrame, features: list[S.Feature], customers: DataFrame | None = None) -> DataFrame:
     """Any selection of tradeline and delinquency columns, one row per customer."""
-    blocks = ["everything", *dict.fromkeys(f.block for f in features if f.block != "everything")]
-    cells = customer_cells(ar, _needed(features), customers)
-    slots = _Slots(blocks)
-    return customer_blocks(cells, blocks).selectExpr("customer_id", *slots.columns(features))
+    return feature_slots(ar, features, customers).selectExpr("customer_id", *slot_columns(features))
 
 
 def tradeline_features(ar: DataFrame, customers: DataFrame | None = None) -> DataFrame:
@@ -253,19 +265,17 @@ def tradeline_features(ar: DataFrame, customers: DataFrame | None = None) -> Dat
     return block_features(ar, S.tradeline_catalogue(), customers)
 
 
-def ratio(balance: Column, amount: Column) -> Column:
-    return F.when(amount > 0, balance.cast("double") / amount.cast("double") * 100).otherwise(F.lit(0.0))
+def ratio(balance: str, amount: str) -> str:
+    """Balance as a percentage of the amount, 0 without an amount (SQL text)."""
+    return f"if({amount} > 0, cast({balance} as double) / cast({amount} as double) * 100, 0.0D)"
 
 
-def with_current_utilisation(features: DataFrame) -> DataFrame:
-    ratios = [ratio(F.col(b), F.col(a)).alias(name) for name, b, a in S.utilisation_ratios()]
-    return features.select("*", *ratios)
+def ratio_columns(names: set[str] | None = None) -> list[str]:
+    return [f"{ratio(b, a)} as {name}" for name, b, a in S.utilisation_ratios() if names is None or name in names]
 
 
 def current_utilisation(ar: DataFrame) -> DataFrame:
     """Only the utilisation ratios, reading only the blocks they need."""
     inputs = {c for _, b, a in S.utilisation_ratios() for c in (b, a)}
     features = block_features(ar, [f for f in S.tradeline_catalogue() if f.name in inputs])
-    return features.select(
-        "customer_id", *[ratio(F.col(b), F.col(a)).alias(name) for name, b, a in S.utilisation_ratios()]
-    )
+    return features.selectExpr("customer_id", *ratio_columns())

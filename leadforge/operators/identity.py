@@ -33,7 +33,9 @@ def _contact_days(df: DataFrame, item: str, candidate: str) -> DataFrame:
     )
 
 
-DAYS_TO_LIST = "listagg(day_list, ',') within group (order by date_reported)"
+# A customer whose contacts are all undated has an empty list, not a missing one.
+def _days_to_list(day_list: str) -> Column:
+    return F.expr(f"coalesce(listagg({day_list}, ',') within group (order by date_reported), '')")
 
 
 def phone_summary(phones: DataFrame) -> DataFrame:
@@ -47,7 +49,7 @@ def phone_summary(phones: DataFrame) -> DataFrame:
     return (
         _contact_days(rows, "number", "mobile")
         .groupBy("customer_id")
-        .agg(F.expr(DAYS_TO_LIST).alias("mobile_list"), F.max("newest").alias("newest"))
+        .agg(_days_to_list("day_list").alias("mobile_list"), F.max("newest").alias("newest"))
         .select("customer_id", "mobile_list", F.col("newest.mobile").alias("latest_mobile"))
     )
 
@@ -66,8 +68,8 @@ def address_summary(addresses: DataFrame) -> DataFrame:
     return (
         days.groupBy("customer_id")
         .agg(
-            F.expr("listagg(code_list, ',') within group (order by date_reported)").alias("pincode_list"),
-            F.expr(DAYS_TO_LIST).alias("address_list"),
+            _days_to_list("code_list").alias("pincode_list"),
+            _days_to_list("day_list").alias("address_list"),
             F.max("newest_code").alias("newest_code"),
             F.max("newest_address").alias("newest_address"),
         )

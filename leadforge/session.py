@@ -22,6 +22,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "16g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.sql.files.openCostInBytes", str(512 * 1024))  # small test files still use all cores
     )
     for key, value in {**WIDE_SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(key, value)
