@@ -162,10 +162,10 @@ def _read_layout(spark, paths: list[str], names: list[str], sep: str) -> DataFra
     return reader.csv(paths).withColumn("file_path", F.col("_metadata.file_path"))
 
 
-def _well_formed(names: list[str]):
-    """Rows with the right number of cells. The first cell is named too, always true: Spark refuses scans
-    that ask for the bad-row column alone, as a plain row count would."""
-    return F.col(BAD).isNull() & (F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0)
+def _first_cell_read(names: list[str]) -> Column:
+    """Always true, but names the first cell: Spark refuses scans that ask for the bad-row column alone,
+    as a plain row count would."""
+    return F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
 
 
 def scan_delimited(
@@ -189,6 +189,7 @@ def scan_delimited(
     good, bad = [], []
     for layout in layouts:
         rows = _read_layout(spark, [unquote(p) for p in layout["paths"]], layout["columns"], sep)
+        read = _first_cell_read(layout["columns"])
         upper = {c.upper(): c for c in layout["columns"]}
         names = wanted or layout["columns"]
         cells = [
@@ -196,9 +197,9 @@ def scan_delimited(
             if n.upper() in upper else F.lit(None).cast("string").alias(n)
             for n in names
         ]
-        accepted = rows if tolerant else rows.filter(_well_formed(layout["columns"]))
+        accepted = rows if tolerant else rows.filter(F.col(BAD).isNull() & read)
         good.append(accepted.select(*cells, "file_path"))
-        bad.append(rows.filter(F.col(BAD).isNotNull()).select("file_path", F.col(BAD).alias("line")))
+        bad.append(rows.filter(F.col(BAD).isNotNull() & read).select("file_path", F.col(BAD).alias("line")))
     if not good:
         names = wanted or []
         empty = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "file_path"]])
