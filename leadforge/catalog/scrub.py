@@ -90,7 +90,7 @@ def _flags(table: str):
 
 for _bureau in ("equifax", "experian"):
     _register(
-        f"update_flags_from_batch_{_bureau}",
+        "update_flags_from_batch" if _bureau == "equifax" else f"update_flags_from_batch_{_bureau}",
         lambda v, b=_bureau: S.mark_sent(v.partners_processed, getattr(v, f"{b}_exchange"), "batch_2", AS_OF, b).select(
             "partner_reference_id", "sent_to_scrub", F.col(f"sent_to_{b}").alias("sent_to_bureau"), "scrub_date"),
         _flags(f"{_bureau}_exchange"), "partners_processed", f"{_bureau}_exchange",

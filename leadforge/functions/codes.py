@@ -155,6 +155,18 @@ ATTRIBUTE_RENAMES = {
 }
 
 
+# Columns that the downstream credit model requires.
+REQUIRED_DEMOGRAPHICS = [
+    "CRN", "CUSTOMER_ID", "MEMBER_REFERENCE", "MASKED_PAN", "GENDER", "DOB", "SCORE", "PINCODE", "PINCODE_LIST",
+]
+REQUIRED_ENQUIRIES = ["CUSTOMER_ID", "INQ_PURP_CD", "INQ_DATE", "AMOUNT"]
+
+
+def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
+    have = {c.upper() for c in df.columns}
+    return [c for c in required if c not in have]
+
+
 def account_types(spark: SparkSession) -> DataFrame:
     rows = [(code, text, group, text in CARD_ACCOUNTS) for code, (text, group) in ACCOUNT_TYPES.items()]
     return spark.createDataFrame(rows, "code string, description string, account_class string, is_card boolean")

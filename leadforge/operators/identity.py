@@ -97,7 +97,7 @@ def pii_master(
 
     ``exchange`` needs bureau_id, scrub_batch_no and phone: whichever exchange the bureau ids came from.
     """
-    scored = scores.filter(F.col("batch_no") == batch).select("customer_id", "score_v3")
+    scored = scores.filter(F.col("batch_no") == batch).select("customer_id", "score_v3").distinct()
     sent = (
         exchange.filter(F.col("scrub_batch_no") == batch)
         .select(F.col("bureau_id").alias("customer_id"), F.col("phone").alias("sent_phone"))

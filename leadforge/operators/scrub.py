@@ -158,15 +158,24 @@ def _received(processed: DataFrame, raw: DataFrame) -> DataFrame:
     return rows.groupBy("partner_name", "batch_no", "lead_id").agg(F.max("received").alias("received"))
 
 
-def _exchange_ids(exchange: DataFrame, responses: DataFrame, response_id: str, prefix: str) -> DataFrame:
-    """Distinct (lead, bureau id) of an exchange; the response id is NULL without a response."""
+def _exchange_ids(exchange: DataFrame, responses: DataFrame, response_id: str) -> DataFrame:
+    """Distinct (lead, bureau id) of an exchange; the answer is the bureau id, NULL without a response."""
     answered = responses.select(F.col(response_id).alias("bureau_id")).distinct()
-    ids = exchange.groupBy("lead_id", "bureau_id").agg(F.max("scrub_batch_no").alias(prefix + "batch"))
+    ids = exchange.groupBy("lead_id", "bureau_id").agg(F.max("scrub_batch_no").alias("sent_batch"))
     return flag_in(ids, answered, ["bureau_id"], "_answered").select(
-        "lead_id",
-        F.lit(1).alias(prefix + "sent"),
-        F.when(F.col("_answered"), F.col("bureau_id")).alias(prefix + "answer"),
-        prefix + "batch",
+        "lead_id", F.when(F.col("_answered"), F.col("bureau_id")).alias("answer"), "sent_batch"
+    )
+
+
+def _sent_by_group(ids: DataFrame, leads: DataFrame, group: list[str], sent: str, answered: str, *batch) -> DataFrame:
+    """Distinct sent leads and answers of each group of leads.
+
+    Exchange rows lead the join, so that a lead that was sent very often is spread over many tasks.
+    """
+    members = leads.select(*group, "lead_id").distinct()
+    joined = salted_join(ids, members, ["lead_id"], "inner")
+    return joined.groupBy(*group).agg(
+        F.count_distinct("lead_id").alias(sent), F.count_distinct("answer").alias(answered), *batch
     )
 
 
@@ -176,24 +185,27 @@ def batch_summary(
 ) -> DataFrame:
     """Per partner batch: leads, sent, answered, scrub batch, and the same for the second bureau.
 
-    Every side is reduced to distinct keys before the joins, so no join multiplies rows.
+    Every side is reduced to distinct keys before its join, and each bureau is counted on its own, so no
+    join multiplies rows; only the counts per batch meet at the end.
     """
+    group = ["partner_name", "batch_no"]
     leads = _received(processed, raw)
-    first = _exchange_ids(exchange, responses, response_id, "first_")
-    second = _exchange_ids(second_exchange, second_responses, "customer_id", "second_")
-    joined = leads.join(first, "lead_id", "left").join(second, "lead_id", "left")
-    lead = F.col("lead_id")
+    totals = leads.groupBy(*group).agg(
+        F.max("received").alias("received_date"), F.count("lead_id").alias("total_records")
+    )
+    first = _sent_by_group(
+        _exchange_ids(exchange, responses, response_id), leads, group, "sent_count", "response_count",
+        F.max("sent_batch").alias("scrub_batch_no"),
+    )
+    second = _sent_by_group(
+        _exchange_ids(second_exchange, second_responses, "customer_id"), leads, group,
+        "sent_to_experian_count", "experian_response_count",
+    )
+    counts = ["sent_count", "response_count", "sent_to_experian_count", "experian_response_count"]
     return (
-        joined.groupBy("partner_name", "batch_no")
-        .agg(
-            F.max("received").alias("received_date"),
-            F.count_distinct(lead).alias("total_records"),
-            F.count_distinct(F.when(F.col("first_sent") == 1, lead)).alias("sent_count"),
-            F.count_distinct("first_answer").alias("response_count"),
-            F.max("first_batch").alias("scrub_batch_no"),
-            F.count_distinct(F.when(F.col("second_sent") == 1, lead)).alias("sent_to_experian_count"),
-            F.count_distinct("second_answer").alias("experian_response_count"),
-        )
+        totals.join(first, group, "left").join(second, group, "left").fillna(0, counts)
+        .select(*group, "received_date", "total_records", "sent_count", "response_count", "scrub_batch_no",
+                "sent_to_experian_count", "experian_response_count")
         .orderBy(F.desc("received_date"))
     )
 
@@ -231,20 +243,24 @@ def scrub_monitor(
     )
     sent = recent.groupBy("scrub_batch_no", "lead_id", "bureau_id").agg(F.max("scrub_date").alias("scrub_date"))
     first = salted_join(sent, hits, ["bureau_id"], "left")
-    second = _exchange_ids(second_exchange, second_responses, "customer_id", "second_")
-    joined = first.join(second, "lead_id", "left")
     lead = F.col("lead_id")
     hit = F.when(F.col("answers").isNotNull(), F.col("bureau_id"))
-    counted = joined.groupBy("scrub_batch_no").agg(
+    counted = first.groupBy("scrub_batch_no").agg(
         F.max("scrub_date").alias("scrub_date"),
         F.max("response_date").alias("equifax_response_date"),
         F.count_distinct(lead).alias("sent_to_equifax"),
         F.count_distinct(hit).alias("equifax_hits"),
         F.count_distinct(F.when(F.col("scored"), lead)).alias("score_gte_input"),
-        F.count_distinct(F.when(F.col("second_sent") == 1, lead)).alias("sent_to_experian"),
-        F.count_distinct("second_answer").alias("experian_response"),
     )
-    return counted.withColumn("no_hits", F.col("sent_to_equifax") - F.col("equifax_hits")).orderBy(F.desc("scrub_date"))
+    second = _sent_by_group(
+        _exchange_ids(second_exchange, second_responses, "customer_id"), sent, ["scrub_batch_no"],
+        "sent_to_experian", "experian_response",
+    )
+    return (
+        counted.join(second, "scrub_batch_no", "left").fillna(0, ["sent_to_experian", "experian_response"])
+        .withColumn("no_hits", F.col("sent_to_equifax") - F.col("equifax_hits"))
+        .orderBy(F.desc("scrub_date"))
+    )
 
 
 def response_status(responses: DataFrame, batch: str) -> DataFrame:

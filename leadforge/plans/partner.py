@@ -6,9 +6,13 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadforge.functions.text import null_tokens
 from leadforge.operators import leads as L
+from leadforge.session import durable
+from leadforge.sources.schemas import TABLES
+from leadforge.sources.sinks import append_by_name, in_table_layout, overwrite_partitions
 
 PARTNER_COLUMNS = ["partner_reference_id", "hashed_phone", "masked_phone", "phone", "pan_no", "name", "partner_name"]
 
@@ -38,3 +42,20 @@ def process_batch(
     processed = L.processed_rows(matched, as_of)
     updated = L.mark_processed(marked, processed, partner, batch)
     return updated, processed, L.process_summary(updated, processed)
+
+
+RAW_PARTITIONS = ("partner_name", "batch_no")
+
+
+def store_batch(updated: DataFrame, processed: DataFrame, raw_path: str, processed_path: str) -> None:
+    """Write the results of ``process_batch`` over the stored tables.
+
+    Both frames come from the raw table itself, so they are written to the shared folder first; then only
+    the partitions of the given batches are replaced, and the new leads are appended.
+    """
+    updated, processed = durable(updated), durable(processed)
+    overwrite_partitions(updated, raw_path, RAW_PARTITIONS)
+    append_by_name(
+        in_table_layout(processed, TABLES["partners_processed"]), processed_path,
+        T.StructType.fromDDL(TABLES["partners_processed"]).fieldNames(),
+    )

@@ -64,3 +64,30 @@ LENDER_OFFERS = _text(
     "MAX_TENURE_BY_POLICY", "MAX_EMI", "MIN_TOP_UP_AMOUNT", "PROCESSING_FESS", "OFFER_STATUS", "PERSONAL_EMAIL_ID2",
     "OVERLAP_FLAG",
 )
+
+
+# Columns and types of the stored tables.
+TABLES = {
+    "partners_master": "partner_id string, partner_name string, created_at date",
+    "partners_raw": """partner_reference_id string, hashed_phone string, masked_phone string, phone string, pan_no string,
+        name string, partner_name string, batch_no string, filename string, status string, created_at date,
+        partner_id string""",
+    "partners_processed": """partner_reference_id string, lead_id string, hashed_phone string, masked_phone string,
+        phone string, pan_no string, name string, partner_name string, batch_no string, created_at date,
+        sent_to_scrub boolean, scrub_date date, partner_id string""",
+    "phone_base": "lead_id string, hashed_phone string, phone string",
+    "equifax_exchange": """lead_id string, bureau_id string, hashed_phone string, phone string, pan_no string,
+        scrub_batch_no string, scrub_date date, sent_to_experian boolean""",
+    "experian_exchange": """lead_id string, bureau_id string, hashed_phone string, phone string, pan_no string,
+        scrub_batch_no string, scrub_date date""",
+    "pii_master": """customer_id string, mobile_number string, latest_mobile string, masked_phone string, full_name string,
+        pan_number string, pan_flag string, masked_pan string, gender string, dob date, mobile_list string,
+        pincode string, pincode_list string, address_list string, latest_address string, score decimal(10,2),
+        status string, batch_no string, created_at date""",
+    "lenders_master": """created_at date, id string, lender_code string, lender_name string, bureau_type string,
+        policy_version string, eligible_criteria string, is_active boolean, format_metadata string""",
+    "lenders_shortlisted": """created_at date, bureau_id string, lender_uid string, lender_batch string,
+        lender_name string, bureau_type string""",
+    "lender_offers": """created_at date, lender_uid string, lender_name string, loan_amount decimal(10,2), roi string,
+        tenure string, offer_expiry_date date, lenders_attribute string""",
+}

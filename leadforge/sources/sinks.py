@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_FILE = 30_000_000
 
@@ -27,6 +28,13 @@ def append_by_name(df: DataFrame, path: str, columns: list[str], partition_by: t
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def in_table_layout(df: DataFrame, ddl: str) -> DataFrame:
+    """Columns by name, order and type of a stored table; those the frame lacks are NULL."""
+    target = T.StructType.fromDDL(ddl)
+    named = in_table_order(df, target.fieldNames())
+    return named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("batch_no",)) -> None:
     """Replace only the partitions that ``df`` holds, so that a repeated write changes nothing.
 

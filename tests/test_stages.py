@@ -71,6 +71,21 @@ def test_a_second_run_changes_nothing(spark):
     assert sorted(map(str, again.select("partner_reference_id", "status").collect())) == sorted(map(str, updated.select("partner_reference_id", "status").collect()))
 
 
+def test_stored_batches_are_replaced_in_place(spark, tmp_path):
+    raw_path, leads_path = str(tmp_path / "raw"), str(tmp_path / "leads")
+    other = _raw(spark).withColumn("batch_no", F.lit("batch_2"))
+    _raw(spark).unionByName(other).write.partitionBy(*P.RAW_PARTITIONS).parquet(raw_path)
+    base = spark.createDataFrame([("h1", "lead-1")], "hashed_phone string, lead_id string")
+    for _ in range(2):
+        raw = spark.read.parquet(raw_path).filter("batch_no = 'batch_1'")
+        updated, processed, _ = P.process_batch(raw, base, AS_OF, "alpha", "batch_1")
+        P.store_batch(updated, processed, raw_path, leads_path)
+    stored = spark.read.parquet(raw_path)
+    assert stored.count() == 10
+    assert stored.filter("status = 'processed'").select("batch_no", "partner_reference_id").collect() == [("batch_1", "P1")]
+    assert spark.read.parquet(leads_path).count() == 1
+
+
 def test_second_bureau_export_marks_both_tables(spark):
     exchange = spark.createDataFrame(
         [("l1", "b1", None, None, None, "batch_1", AS_OF, False), ("l2", "b2", None, None, None, "batch_1", AS_OF, False)],
