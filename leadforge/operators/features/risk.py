@@ -33,9 +33,9 @@ def dpd_features(ar: DataFrame) -> DataFrame:
     typed = ar.select(
         "customer_id", F.col("acct_type_cd").try_cast("int").isin(*S.SECURED_CODES).alias("secured"), *T._dpd_columns()
     )
-    everything = [F.max(f"dpd_{w}").cast("bigint").alias(f"max_dpd_l{w}m_all") for w in S.DPD_WINDOWS]
+    everything = [F.max(f"dpd_{w}").alias(f"max_dpd_l{w}m_all") for w in S.DPD_WINDOWS]
     secured = [
-        F.max(F.when(F.col("secured"), F.col(f"dpd_{w}")).otherwise(0)).cast("bigint").alias(f"max_dpd_l{w}m_secured_acct")
+        F.max(F.when(F.col("secured"), F.col(f"dpd_{w}")).otherwise(0)).cast(T.DAYS).alias(f"max_dpd_l{w}m_secured_acct")
         for w in S.DPD_WINDOWS
     ]
     return typed.groupBy("customer_id").agg(*everything, *secured)

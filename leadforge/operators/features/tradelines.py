@@ -17,6 +17,8 @@ from leadforge.functions.dates import month_diff
 from leadforge.operators.features import spec as S
 
 AMOUNT = "decimal(38,2)"
+DAYS = "decimal(10,2)"
+OVERDUE = "decimal(18,5)"
 
 NO_CODE, OTHER_CODE = 0, 1000
 KNOWN_CODES = sorted(
@@ -85,7 +87,7 @@ def account_rows(ar: DataFrame, *, days_past_due: bool = False) -> DataFrame:
         F.col("orig_loan_am").try_cast(AMOUNT).alias("loan"),
         F.col("balance_am").try_cast(AMOUNT).alias("balance"),
         F.col("credit_limit_am").try_cast(AMOUNT).alias("limit"),
-        F.col("past_due_am").try_cast(AMOUNT).alias("past_due"),
+        F.col("past_due_am").try_cast(OVERDUE).alias("past_due"),
         F.col("closed_dt").isNull().alias("active"),
         month_diff(F.col("open_dt"), F.col("created_at")).alias("months"),
         *(_dpd_columns() if days_past_due else []),
@@ -95,7 +97,10 @@ def account_rows(ar: DataFrame, *, days_past_due: bool = False) -> DataFrame:
 
 
 def _dpd_columns() -> list[Column]:
-    months = [F.coalesce(F.col(f"days_past_due_{m:02d}").cast("int"), F.lit(S.DPD_MISSING)) for m in range(1, 37)]
+    months = [
+        F.coalesce(F.col(f"days_past_due_{m:02d}").try_cast(DAYS), F.lit(S.DPD_MISSING).cast(DAYS))
+        for m in range(1, 37)
+    ]
     return [
         (F.greatest(*months[:w]) if w > 1 else months[0]).alias(f"dpd_{w}") for w in S.DPD_WINDOWS
     ]
@@ -226,8 +231,9 @@ class _Slots:
             members = self.raw(block, "count_limited")
         floor = f"coalesce({value}, 0)" if metric.startswith("sum") else f"greatest(coalesce({value}, 0), 0)"
         result = f"if({self._outsiders(members)}, {floor}, {value})"
-        if metric == "tenure" or metric.startswith("dpd"):
-            return f"cast({result} as bigint)"
+        for stem, kind in (("tenure", "bigint"), ("dpd", DAYS), ("overdue", OVERDUE)):
+            if metric.startswith(stem):
+                return f"cast({result} as {kind})"
         return result if "utilisation" in metric else f"cast({result} as {AMOUNT})"
 
     def columns(self, features: list[S.Feature]) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from leadforge.sources import ledger as LG
 from leadforge.sources.schemas import BUREAUS
 from leadforge.sources.sinks import export_delimited, overwrite_partitions, with_audit
 
+RESULT_SCHEMA = "batch string, file_name string, original_count bigint, final_count bigint, status string"
 TABLES = {"experian": EXPERIAN_TABLES, "equifax": EQUIFAX_TABLES}
 
 
@@ -23,12 +25,6 @@ def routed(inventory: DataFrame, bureau: str, *, whole_words: bool = False) -> D
     return inventory.withColumn("table_name", route(F.col("file_name"), TABLES[bureau], whole_words=whole_words))
 
 
-def table_rows(spark: SparkSession, inventory: DataFrame, table: str, bureau: str) -> DataFrame:
-    """All rows of one table's files, cleaned; duplicates are removed inside each file."""
-    rows, _ = SF.scan_delimited(spark, inventory, BUREAUS[bureau][table])
-    return C.clean_bureau_table(SF.with_file_name(rows).drop("file_path"), table, bureau)
-
-
 def bureau_ingest(
     spark: SparkSession,
     inventory: DataFrame,
@@ -51,12 +47,16 @@ def bureau_ingest(
     ledger = LG.read_ledger(spark, ledger_path)
     fresh = durable(LG.unprocessed(routed(inventory, bureau, whole_words=whole_words), ledger))
     present = {r["table_name"] for r in fresh.select("table_name").distinct().collect()} - {None}
+    if not present:
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    heads = durable(SF.header_lines(fresh.filter("table_name is not null")))
     results = []
     for table in TABLES[bureau]:
         if table not in present:
             continue
         own = fresh.filter(F.col("table_name") == table)
-        scanned, _ = SF.scan_delimited(spark, own, BUREAUS[bureau][table])
+        own_heads = heads.join(own.select("path"), "path", "left_semi")
+        scanned, _ = SF.scan_delimited(spark, own, BUREAUS[bureau][table], heads=own_heads)
         read = SF.with_file_name(scanned)
         cleaned = C.clean_bureau_table(read.drop("file_path"), table, bureau)
         path = f"{target}/{table.lower()}"
@@ -73,11 +73,7 @@ def bureau_ingest(
             .fillna(0, ["original_count", "final_count"])
             .withColumn("status", F.when(F.col("original_count") > 0, "Processed").otherwise("Failed"))
         )
-    outcome = None
-    for result in results:
-        outcome = result if outcome is None else outcome.unionByName(result)
-    if outcome is None:
-        return spark.createDataFrame([], "batch string, file_name string, original_count bigint, final_count bigint, status string")
+    outcome = durable(reduce(lambda a, b: a.unionByName(b), results))
     loaded = outcome.filter("status = 'Processed'").withColumn("row_count", F.col("final_count"))
     LG.ledger_rows(loaded, as_of).write.mode("append").parquet(ledger_path)
     return outcome

@@ -35,17 +35,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, one machine) a temporary folder is made.
+    Where the setting is absent, a session on one machine (tests, the benchmark) gets a temporary folder;
+    a cluster has to name one, since a folder of the driver's machine would be of no use to executors.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="leadforge-"))
-        current = context.getCheckpointDir()
-    return current.rstrip("/")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+        folder = tempfile.mkdtemp(prefix="leadforge-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

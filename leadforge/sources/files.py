@@ -176,15 +176,18 @@ def scan_delimited(
     sep: str = "|",
     null_tokens: tuple[str, ...] = NULL_TOKENS,
     tolerant: bool = False,
+    heads: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, bad rows) of all files of an inventory, in one scan per header layout.
 
     Columns are matched by header name; columns that a file lacks are NULL, columns outside ``schema`` are
     dropped (all are kept without a schema). Rows with a wrong number of cells are bad rows, unless
-    ``tolerant``. Files stay splittable, so one very large file is read by many tasks.
+    ``tolerant``. Files stay splittable, so one very large file is read by many tasks. ``heads`` are the
+    header lines of the files where the caller has read them already.
     """
-    heads = header_columns(header_lines(inventory), sep)
-    layouts = heads.groupBy("columns").agg(F.collect_list("path").alias("paths")).collect()
+    if heads is None:
+        heads = header_lines(inventory)
+    layouts = header_columns(heads, sep).groupBy("columns").agg(F.collect_list("path").alias("paths")).collect()
     wanted = [f.name for f in schema.fields] if schema is not None else None
     good, bad = [], []
     for layout in layouts:
