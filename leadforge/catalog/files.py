@@ -14,6 +14,7 @@ from leadforge.catalog.views import AS_OF, Views, oracle
 from leadforge.operators import rules as R
 from leadforge.plans import bureau as PB
 from leadforge.plans import lenders as PL
+from leadforge.plans import partner as PP
 from leadforge.session import durable, scratch_path
 from leadforge.sources import files as SF
 from leadforge.sources import ledger as LG
@@ -143,7 +144,30 @@ def _partner_files(v: Views):
 _register(
     "scan_partner_csv",
     lambda v: PF.scan_partner_csv(v.spark, _partner_files(v)).select("PARTNER_REFERENCE_ID", "HASHED_PHONE", "PHONE", "NAME", "PARTNER_NAME"),
-    """select partner_reference_id as PARTNER_REFERENCE_ID, case when partner_name <> 'beta' then hashed_phone end as HASHED_PHONE, phone as PHONE, name || ' é' as NAME, partner_name as PARTNER_NAME from partners_raw""",
+    """select partner_reference_id as PARTNER_REFERENCE_ID, case when partner_name <> 'beta' then hashed_phone else phone end as HASHED_PHONE, phone as PHONE, name || ' é' as NAME, partner_name as PARTNER_NAME from partners_raw""",
+    "partners_raw",
+)
+
+
+
+def _partner_ingest(v: Views):
+    """Rows per status after the ingest of one upload; files without a reference id are turned away."""
+    inventory = _partner_files(v)
+    broken = scratch_path(v.spark, "partner-broken")
+    write_named(v.partners_raw.select("phone", "name"), f"{broken}/upload", "broken", sep=",", ending="csv")
+    everything = inventory.unionByName(SF.file_inventory(v.spark, broken))
+    partners = v.partners_raw.select("partner_name").distinct().selectExpr("partner_name", "'id-' || partner_name as partner_id")
+    rows, report = PP.ingest_files(v.spark, everything, partners, "alpha", "batch_1", AS_OF)
+    turned_away = report.filter(~F.col("is_valid")).agg(F.lit("turned away files").alias("status"), F.count(F.lit(1)).alias("row_count"))
+    return rows.groupBy("status").agg(F.count(F.lit(1)).alias("row_count")).unionByName(turned_away)
+
+
+_register(
+    "partner_ingest_files", _partner_ingest,
+    f"""with rows as (select case when partner_name <> 'beta' then hashed_phone else phone end as hashed_phone from partners_raw)
+ select 'not processed' as status, count(distinct hashed_phone) + count(*) - count(hashed_phone) as row_count from rows
+ union all select 'duplicate', count(hashed_phone) - count(distinct hashed_phone) from rows
+ union all select 'turned away files', cast({PARTS} as bigint) from (select count(*) from rows)""",
     "partners_raw",
 )
 

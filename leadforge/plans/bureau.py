@@ -38,7 +38,7 @@ def bureau_ingest(
     lender_target: str | None = None,
     whole_words: bool = False,
 ) -> DataFrame:
-    """Load the new files of an inventory, one write per table; returns the load results per file.
+    """Load the new files of one batch's inventory, one write per table; returns the load results per file.
 
     A table's rows are stored under batch and file, and a repeated load of a file replaces its own
     partition, so a run that is cut short can simply be run again. Files already in the ledger are left

@@ -20,7 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Texts that stand for NULL in bureau files, and the accepted file endings.
 NULL_TOKENS = ("NULL", "NUL", "")
 BUREAU_ENDINGS = (".csv", ".txt", ".xlsx")
-PARTNER_ENDINGS = (".csv", ".xls", ".xlsx")
+PARTNER_ENDINGS = (".csv", ".xls", ".xlsx")  # only the first is read here
 
 HEAD_BYTES = 65_536
 
@@ -134,7 +134,7 @@ def partner_header_report(headers: DataFrame, aliases: dict[str, str]) -> DataFr
         return F.upper(chain.otherwise(name))
 
     found = headers.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.transform("columns", standard).alias("found_columns")
+        "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), F.transform("columns", standard).alias("found_columns")
     )
     no_id = ~F.array_contains("found_columns", "PARTNER_REFERENCE_ID")
     no_phone = ~F.arrays_overlap("found_columns", _named_array(["PHONE", "HASHED_PHONE"]))

@@ -58,8 +58,9 @@ def detect_encodings(spark: SparkSession, inventory: DataFrame) -> DataFrame:
 def scan_partner_csv(spark: SparkSession, inventory: DataFrame) -> DataFrame:
     """Partner files as one frame of trimmed text columns under standard names.
 
-    One scan per encoding and header layout; layouts are unified by name. FILENAME, FILE_OFFSET and
-    ROW_SEQ give the place of a row: the file, the split inside it and the row inside the split.
+    One scan per encoding and header layout; layouts are unified by name. A file without a hashed phone uses
+    its phone instead. FILENAME, FILE_OFFSET and ROW_SEQ give the place of a row: the file, the split
+    inside it and the row inside the split.
     """
     layouts = (
         detect_encodings(spark, inventory).groupBy("encoding", "header").agg(F.collect_list("path").alias("paths")).collect()
@@ -72,9 +73,11 @@ def scan_partner_csv(spark: SparkSession, inventory: DataFrame) -> DataFrame:
             header=True, sep=",", encoding=layout["encoding"], multiLine=wide, enforceSchema=True
         )
         rows = reader.csv([unquote(p) for p in layout["paths"]])
+        stand_in = [F.trim(F.col("PHONE")).alias("HASHED_PHONE")] if "PHONE" in names and "HASHED_PHONE" not in names else []
         frames.append(
             rows.select(
                 *[F.trim(F.col(f"`{n}`")).alias(n) for n in names],
+                *stand_in,
                 F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("FILENAME"),
                 F.col("_metadata.file_block_start").alias("FILE_OFFSET"),
                 F.monotonically_increasing_id().alias("ROW_SEQ"),

@@ -5,6 +5,7 @@ import datetime as dt
 from leadforge.operators.leads import mark_duplicates
 from leadforge.plans import bureau as PB
 from leadforge.plans import lenders as PL
+from leadforge.plans import partner as PP
 from leadforge.sources import files as SF
 from leadforge.sources import ledger as LG
 from leadforge.sources import partner_files as PF
@@ -72,6 +73,20 @@ def test_partner_encodings(spark, tmp_path):
     assert marked.filter("duplicate_kind = 'in_file'").count() == 1 and marked.filter("duplicate_kind = 'in_batch'").count() == 6
 
 
+def test_partner_upload_turns_bad_files_away(spark, tmp_path):
+    put(tmp_path / "up" / "a.csv", "PId,phone\nP1,911\nP2,911\n")
+    put(tmp_path / "up" / "b.csv", "pid,hashed_phone\nP3,911\nP4,\n")
+    put(tmp_path / "up" / "c.csv", "phone\n911\n")
+    put(tmp_path / "up" / "d.xlsx", "PId,phone\nP5,912\n")
+    partners = spark.createDataFrame([("alpha", "id-1")], "partner_name string, partner_id string")
+    rows, report = PP.ingest_files(spark, SF.file_inventory(spark, str(tmp_path)), partners, "alpha", "batch_1", AS_OF)
+    got = {r["partner_reference_id"]: (r["status"], r["duplicate_kind"], r["partner_id"]) for r in rows.collect()}
+    assert got == {"P1": ("not processed", None, "id-1"), "P2": ("duplicate", "in_file", "id-1"),
+                   "P3": ("duplicate", "in_batch", "id-1"), "P4": ("not processed", None, "id-1")}
+    verdicts = {r["file_name"]: (r["is_valid"], r["missing_columns"]) for r in report.collect()}
+    assert verdicts["c.csv"] == (False, ["PARTNER_REFERENCE_ID"]) and verdicts["d.xlsx"][0] is False and verdicts["a.csv"][0]
+
+
 HEADER = "CUSTOMER_ID|INQ_PURP_CD|INQ_DATE|M_SUB_ID|AMOUNT\n"
 
 
