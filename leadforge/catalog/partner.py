@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from leadforge.catalog.shape import comparable
 from leadforge.catalog.views import AS_OF, Views, oracle
-from leadforge.functions.text import null_tokens
 from leadforge.operators import leads as L
 from leadforge.plans import partner as P
+from leadforge.sources.partner_files import standardise
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -113,7 +113,7 @@ _register(
 )
 _register(
     "header_standardise",
-    lambda v: __import__("leadforge.sources.partner_files", fromlist=["standardise"]).standardise(
+    lambda v: standardise(
         v.partners_raw.selectExpr("partner_reference_id as ` PId `", "'  ' || name || ' ' as name", "phone", "hashed_phone", "pan_no as `Pan No`")
     ),
     "select partner_reference_id as \"PARTNER_REFERENCE_ID\", name as \"NAME\", phone as \"PHONE\", hashed_phone as \"HASHED_PHONE\", pan_no as \"PAN NO\" from partners_raw",

@@ -77,9 +77,12 @@ def _band_id(amount: Column) -> Column:
 
 
 def account_rows(ar: DataFrame, *, days_past_due: bool = False) -> DataFrame:
-    """Cast once: the typed, narrow account rows that the features need."""
+    """Cast once: the typed, narrow account rows that the features need.
+
+    A code that is no number is still a type: it counts among all accounts, and in no product.
+    """
     code = F.col("acct_type_cd").try_cast("int")
-    known = F.when(code.isNull(), NO_CODE).when(code.isin(KNOWN_CODES), code).otherwise(OTHER_CODE)
+    known = F.when(F.col("acct_type_cd").isNull(), NO_CODE).when(code.isin(KNOWN_CODES), code).otherwise(OTHER_CODE)
     typed = ar.select(
         "customer_id",
         known.alias("code"),

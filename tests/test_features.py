@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -50,7 +51,7 @@ def _accounts(seed: int, customers: int = 60):
 def test_blocks_equal_plain_conditional_aggregates(spark, tmp_path, seed):
     path = str(tmp_path / "accounts")
     frame = spark.createDataFrame(
-        [tuple(__import__("decimal").Decimal(v) if i == 6 and v is not None else v for i, v in enumerate(r)) for r in _accounts(seed)],
+        [tuple(Decimal(v) if i == 6 and v is not None else v for i, v in enumerate(r)) for r in _accounts(seed)],
         ACCOUNT_SCHEMA,
     )
     frame.write.parquet(path)
