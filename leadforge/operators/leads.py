@@ -109,6 +109,17 @@ def mark_processed(
     return flagged.withColumn("status", F.when(done, PROCESSED).otherwise(F.col("status"))).drop("_done")
 
 
+def settle(
+    raw: DataFrame, phone_base: DataFrame, partner: str | None = None, batch: str | None = None, *,
+    label: str = MISSING_ID, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``mark_missing`` and ``mark_processed`` in one join: new rows become processed or carry the error label."""
+    flagged = flag_in(raw, phone_base, ["hashed_phone"], "_known", hot_rows=hot_rows)
+    fresh = _batch_filter(partner, batch) & (F.col("status") == NEW)
+    outcome = F.when(F.col("_known"), PROCESSED).otherwise(label)
+    return flagged.withColumn("status", F.when(fresh, outcome).otherwise(F.col("status"))).drop("_known")
+
+
 def processed_rows(matched: DataFrame, as_of: dt.date, *, id_col: str = "lead_id") -> DataFrame:
     """Matched rows in the shape of the processed table."""
     keep = ["partner_reference_id", id_col, "hashed_phone", "masked_phone", "phone", "pan_no", "name",

@@ -58,11 +58,11 @@ def process_batch(
     """(updated raw rows, new processed rows, summary) of one batch, or of all batches.
 
     Nothing is updated in place: the caller overwrites the raw partitions and appends the processed rows.
+    The new rows that are not missing are just the ones that get processed, so one look at the phone base
+    settles both status changes.
     """
-    marked = L.mark_missing(raw, phone_base, partner, batch)
-    matched = L.match_phone(raw, phone_base, partner, batch)
-    processed = L.processed_rows(matched, as_of)
-    updated = L.mark_processed(marked, processed, partner, batch)
+    processed = L.processed_rows(L.match_phone(raw, phone_base, partner, batch), as_of)
+    updated = L.settle(raw, phone_base, partner, batch)
     return updated, processed, L.process_summary(updated, processed)
 
 

@@ -63,6 +63,15 @@ def test_missing_and_matched_add_up_to_new(spark):
     assert (row["original_count"], row["cleaned_count"], row["duplicates_found"], row["missing_id_count"]) == (5, 1, 1, 3)
 
 
+def test_settling_equals_the_two_single_steps(spark):
+    raw = _raw(spark)
+    base = spark.createDataFrame([("h1", "lead-1"), ("h7", "lead-7")], "hashed_phone string, lead_id string")
+    processed = L.processed_rows(L.match_phone(raw, base), AS_OF)
+    steps = L.mark_processed(L.mark_missing(raw, base), processed)
+    pick = lambda df: sorted(map(str, df.select("partner_reference_id", "status").collect()))
+    assert pick(L.settle(raw, base, hot_rows=1)) == pick(steps)
+
+
 def test_a_second_run_changes_nothing(spark):
     base = spark.createDataFrame([("h1", "lead-1")], "hashed_phone string, lead_id string")
     updated, _, _ = P.process_batch(_raw(spark), base, AS_OF)
