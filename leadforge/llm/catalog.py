@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leadforge.llm import bpe, mixing, warc
+from leadforge.llm import bpe, mixing, onebit, segments, sharding, url_filter, warc
 from leadforge.llm.common import scratch_path, stored, table
 
 
@@ -28,6 +29,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures(warc.assemble(records))
 
 
+def op2_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
@@ -36,10 +41,26 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onebit.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.by_bytes(table(spark, sf_dir, "documents"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_segments": op2_segments,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
+    "op6_onebit": op6_onebit,
+    "op7_sharding": op7_sharding,
+    "op8_url_filter": op8_url_filter,
 }
 
 ORACLES: dict[str, str] = {}
