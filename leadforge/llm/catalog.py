@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadforge.llm import bpe, mixing, onebit, segments, sharding, url_filter, warc
+from leadforge.llm import bpe, mixing, onebit, segments, sharding, simhash, url_filter, warc
 from leadforge.llm.common import scratch_path, stored, table
 
 
@@ -53,6 +53,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(table(spark, sf_dir, "pages"))
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_segments": op2_segments,
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_onebit": op6_onebit,
     "op7_sharding": op7_sharding,
     "op8_url_filter": op8_url_filter,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES: dict[str, str] = {}
