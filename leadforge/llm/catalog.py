@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadforge.llm import bpe, mixing, onebit, segments, sharding, simhash, url_filter, warc
+from leadforge.llm import bpe, mixing, onebit, quality, segments, sharding, simhash, suffixes, url_filter, warc
 from leadforge.llm.common import scratch_path, stored, table
 
 
@@ -41,6 +41,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_onebit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return onebit.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -57,15 +61,21 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_segments": op2_segments,
     "op3_mixing": op3_mixing,
     "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op6_onebit": op6_onebit,
     "op7_sharding": op7_sharding,
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLES: dict[str, str] = {}
