@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 
 from leadforge.llm.common import ship
 
-WORDS_KEPT = 400_000
-PAIRS_KEPT = 1_000_000
+WORDS_KEPT = 300_000
+PAIRS_KEPT = 500_000
 END = "Ā"  # stands behind the last byte of a word; bytes are the characters below it
 NEVER = 1 << 60
 
@@ -63,8 +63,13 @@ class Vocabulary:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self.word = regex.compile(split[0]["pattern"]["Regex"])
-        self._merges(model["merges"])
-        self._automaton()
+        self.automaton = None
+
+    def prepare(self) -> None:
+        """Builds what encoding needs; decoding does without."""
+        if self.automaton is None:
+            self._merges(json.loads(self.spec)["model"]["merges"])
+            self._automaton()
 
     def _merges(self, merges: list) -> None:
         self.rank, self.parts, self.made = {}, {}, {}
@@ -129,12 +134,13 @@ class Vocabulary:
                         todo += [x for x in (a, b) if x not in sound]
             return sound[token]
 
-        self.automaton = ahocorasick.Automaton()
+        automaton = ahocorasick.Automaton()
         for name, token in self.ids.items():
             stem, end = (name[: -len(self.suffix)], END) if name.endswith(self.suffix) and len(name) > len(self.suffix) else (name, "")
             if stem and all(ch in table for ch in stem) and itself(token):
-                self.automaton.add_word("".join(chr(table[ch]) for ch in stem) + end, (token, len(stem)))
-        self.automaton.make_automaton()
+                automaton.add_word("".join(chr(table[ch]) for ch in stem) + end, (token, len(stem)))
+        automaton.make_automaton()
+        self.automaton = automaton
 
     def decode(self, ids) -> str:
         names = self.names
@@ -145,6 +151,7 @@ class Encoder:
     """Encodes texts; keeps the ids of words seen, up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary):
+        vocabulary.prepare()
         self.vocabulary = vocabulary
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
