@@ -33,7 +33,7 @@ def documents(docs: DataFrame) -> DataFrame:
 def _admit(askers: DataFrame, quota: DataFrame, order: str, rows: int, cost: str = "size") -> DataFrame:
     """The askers (with ``target``) whose running bytes per target stay within its quota."""
     line = running_total(askers, ["target"], order, ["doc_id", "size"], cost, "asked", rows)
-    return line.join(F.broadcast(quota), "target").filter("asked <= quota").drop("asked", "quota")  # one row per shard
+    return line.join(F.broadcast(quota), "target").filter("asked <= quota").drop("quota")  # one row per shard
 
 
 def _loads(labelled: DataFrame, shards: int, spark) -> DataFrame:
@@ -53,6 +53,7 @@ def propagate(labelled: DataFrame, shards: int, rounds: int, slack: float, rows:
         wanted = per_label.groupBy("group").agg(
             F.max_by("label", F.struct("here", F.xxhash64("group", "label"))).alias("target"), F.sum("n").alias("members"), F.count("*").alias("labels"),
         ).filter("labels > 1").select("group", "target")
+        wanted = stored(wanted, "wanted")  # written, so that the join below meets two plain shuffles and can split a hot group
         askers = labelled.join(wanted, "group").filter("label <> target")
         # What leaves a shard in this round makes room in it for the next one, so a quota is the room now.
         quota = _loads(labelled, shards, spark).select(F.col("label").alias("target"), F.greatest(F.lit(0), F.lit(capacity) - F.col("load")).alias("room"))
@@ -74,7 +75,7 @@ def settle(labelled: DataFrame, shards: int, rounds: int, rows: int) -> DataFram
     spark = labelled.sparkSession
     total = labelled.agg(F.sum("size")).first()[0] or 0
     share = total / shards
-    members = labelled.groupBy("group").agg(F.count("*").alias("members")).filter("members > 1")
+    members = stored(labelled.groupBy("group").agg(F.count("*").alias("members")).filter("members > 1"), "members")
     labelled = stored(labelled.join(members, "group", "left").withColumn("linked", F.col("members").isNotNull()).drop("members"), "ballast")
     for turn in range(rounds):
         loads = _loads(labelled, shards, spark)
@@ -85,12 +86,14 @@ def settle(labelled: DataFrame, shards: int, rounds: int, rows: int) -> DataFram
         pool = labelled.filter((F.col("size") <= F.lit(largest)) & (~F.col("linked") | F.lit(turn == rounds - 1)))
         # Of a shard's own excess a larger document cannot be part either; it would only use up the quota of others.
         pool = pool.join(F.broadcast(over.withColumnRenamed("target", "label")), "label").filter("size <= quota").drop("quota")
-        spare = _admit(pool.withColumn("target", F.col("label")).withColumn("rank", F.xxhash64("mark", F.lit(turn))), over, "rank", rows).drop("target")
-        # The spare documents in one line, and the openings in one line: each document goes where its middle falls.
-        line = running_total(spare.withColumn("all", F.lit(0)), ["all"], "rank", ["doc_id", "size"], "size", "upto", rows)
-        ends = Window.orderBy("label").rowsBetween(Window.unboundedPreceding, 0)
-        openings = room.filter("room > 0").select(F.col("label").alias("target"), F.sum("room").over(ends).alias("until"), "room")  # at most a row per shard
-        place = F.col("upto") - F.col("size") / 2
+        spare = _admit(pool.withColumn("target", F.col("label")).withColumn("rank", F.xxhash64("mark", F.lit(turn))), over, "rank", rows)
+        # What the shards give up is one line, shard after shard, and so are the openings: a document goes where its middle falls.
+        earlier, upto = Window.orderBy("label").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("label").rowsBetween(Window.unboundedPreceding, 0)
+        spare = stored(spare.drop("target"), "spare")
+        given = spare.groupBy("label").agg(F.max("asked").alias("given")).select("label", F.coalesce(F.sum("given").over(earlier), F.lit(0)).alias("before"))
+        openings = room.filter("room > 0").select(F.col("label").alias("target"), F.sum("room").over(upto).alias("until"), "room")
+        line = spare.join(F.broadcast(given), "label")  # given and openings: at most a row per shard
+        place = F.col("before") + F.col("asked") - F.col("size") / 2
         placed = line.join(F.broadcast(openings), (place <= F.col("until")) & (place > F.col("until") - F.col("room"))).select("row", "target")
         labelled = stored(labelled.join(placed, "row", "left").withColumn("label", F.coalesce("target", "label")).drop("target"), "settled")
     return labelled
