@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from leadforge.llm import grid
 from leadforge.llm.common import ship, stored
 
-SPREAD, SEED, CHUNK, SAMPLE = 2.5, 42, 64, 4096
+SPREAD, SEED, CHUNK, SAMPLE = 1.9, 42, 64, 4096
 
 
 def rotation(bits: int, seed: int = SEED) -> np.ndarray:
@@ -73,10 +73,10 @@ def index(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
 
 
 def _products(q: np.ndarray, c: np.ndarray, qi: np.ndarray, ci: np.ndarray) -> np.ndarray:
-    """Inner products of pairs, added from the first component on, so that equal vectors score the same."""
+    """Inner products of pairs of columns, added from the first component on, so that equal vectors score the same."""
     total = np.zeros(len(qi))
-    for d in range(q.shape[1]):
-        total += q[qi, d] * c[ci, d]
+    for q_row, c_row in zip(q, c):
+        total += q_row[qi] * c_row[ci]
     return total
 
 
@@ -90,6 +90,7 @@ def top(c, c_ids, code, length, cosine, q, q_ids, centre, bits, k, spread=SPREAD
     wide_centre = np.zeros(q.shape[1])
     wide_centre[: len(centre)] = centre
     base = q @ wide_centre
+    q_across, c_across = np.ascontiguousarray(q.T), np.ascontiguousarray(c.T)
     factor = (length / cosine).astype(np.float32)
     error = (length * np.sqrt(np.maximum(0, 1 - cosine**2)) / cosine * spread / np.sqrt(bits - 1)).astype(np.float32)
     for at in range(0, len(q), CHUNK):
@@ -100,14 +101,14 @@ def top(c, c_ids, code, length, cosine, q, q_ids, centre, bits, k, spread=SPREAD
         rows = len(estimate)
         if len(c) > k:
             seeds = np.argpartition(estimate, -k, axis=1)[:, -k:]
-            known = _products(q, c, np.repeat(np.arange(at, at + rows), k), seeds.ravel()).reshape(rows, k)
+            known = _products(q_across, c_across, np.repeat(np.arange(at, at + rows), k), seeds.ravel()).reshape(rows, k)
             known[np.take_along_axis(estimate, seeds, axis=1) == -np.inf] = -np.inf
             least = known.min(axis=1, keepdims=True)
         else:
             least = np.full((rows, 1), -np.inf)
         slack = 1e-5 * (1 + np.abs(least)) if np.isfinite(least).all() else 0.0
         qi, ci = np.nonzero((estimate + error * q_length[part, None].astype(np.float32) >= least - slack) & ~own)
-        scores = _products(q, c, qi + at, ci)
+        scores = _products(q_across, c_across, qi + at, ci)
         edges = np.searchsorted(qi, np.arange(rows + 1))
         for row in range(rows):
             a, b = edges[row], edges[row + 1]
