@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadforge.llm.common import ship
+from leadforge.llm.common import ship, tidy
 
 WORDS_KEPT = 300_000
 PAIRS_KEPT = 500_000
@@ -282,7 +282,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             lists = pa.ListArray.from_arrays(pa.array(offsets), values)
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, ids])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -299,7 +299,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
             texts = [vocabulary.decode(flat[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def ids_digest(ids: str | Column) -> Column:

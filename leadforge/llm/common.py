@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import inspect
 import math
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -35,6 +41,39 @@ def ship(spark: SparkSession) -> None:
     context._leadforge_shipped = True
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Spark keeps Python workers for later stages, which need it for themselves."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """The function over batches, giving back memory when its partition is done."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidied
+
+
+def tidy_group(run: Callable) -> Callable:
+    """The function over groups, giving back memory after each."""
+
+    def tidied(*tables):
+        try:
+            return run(*tables)
+        finally:
+            give_back()
+
+    # Spark reads from the number of parameters whether a group's key is wanted.
+    return (lambda left, right: tidied(left, right)) if len(inspect.signature(run).parameters) == 2 else (lambda table: tidied(table))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The frame as written to the shared folder: computed once, and safe from lost executors."""
     path = scratch_path(df.sparkSession, label)

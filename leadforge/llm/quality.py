@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadforge.llm.common import ship
+from leadforge.llm.common import ship, tidy
 
 STEP, CHUNK, WIDTH, FILTERS = 4, 256, 8, 32
 SAMPLE, PIECES, EPOCHS, BATCH, RATE, SEED = 4000, 12, 10, 32, 0.01, 5
@@ -76,7 +76,7 @@ class Network:
         peaks = np.maximum.reduceat(out, starts, axis=0)
         return np.add.reduceat(peaks, np.cumsum(chunks) - chunks, axis=0) / chunks[:, None]
 
-    def score(self, texts: list[bytes], most: int = 1 << 20) -> np.ndarray:
+    def score(self, texts: list[bytes], most: int = 1 << 18) -> np.ndarray:
         """Probabilities; texts go through in groups of about ``most`` bytes, longer ones in pieces of whole chunks."""
         sums, counts = np.zeros((len(texts), FILTERS)), np.zeros(len(texts))
         group, owners, held = [], [], 0
@@ -178,7 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), pa.array(marks, pa.int32())], names=["id", "text", "label"])
 
     rows = rows.select(F.col("__id").cast("long"), "__text", F.col("__label").cast("int"))
-    found = sorted(tuple(r) for r in rows.mapInArrow(cut, "id long, text binary, label int").collect())
+    found = sorted(tuple(r) for r in rows.mapInArrow(tidy(cut), "id long, text binary, label int").collect())
     if not found:
         return None
     return Network().train([bytes(r[1]) for r in found], np.array([r[2] for r in found], np.float32), **options)
@@ -194,11 +194,13 @@ def score(docs: DataFrame, network: Network | None, text: str = "text", out: str
 
     def run(batches):
         for batch in batches:
-            texts = [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in batch.column(text)]
-            found = network.score(texts).astype(np.float64) if texts else np.zeros(0)
+            found = np.zeros(len(batch))
+            for at in range(0, len(batch), 256):  # copies of a few texts at a time
+                texts = [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in batch.column(text)[at : at + 256]]
+                found[at : at + 256] = network.score(texts)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, out])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(tidy(run), schema)
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -19,15 +19,16 @@ from pyspark.sql.window import Window
 from leadforge.llm.common import running_total, stored
 
 SHARDS, ROUNDS, SETTLING, SLACK = 24, 3, 3, 0.02
+LARGE = 200  # members
 
 
 def documents(docs: DataFrame) -> DataFrame:
-    """Narrow rows: id, size, checksum, group key, and a spread hash that tells repeated rows' copies alike."""
+    """Narrow rows: id, size, checksum, group key, and a spread hash."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return docs.select(
         "doc_id", (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"),
         F.when(F.col("text").isNull(), "null").otherwise(F.sha2(raw, 256)).alias("group"),
-    ).withColumn("mark", F.xxhash64("doc_id", "group"))
+    ).withColumn("mark", F.xxhash64("doc_id", "group"))  # repeated rows share a mark
 
 
 def _admit(askers: DataFrame, quota: DataFrame, order: str, rows: int, cost: str = "size") -> DataFrame:
@@ -52,7 +53,7 @@ def propagate(labelled: DataFrame, shards: int, rounds: int, slack: float, rows:
         per_label = labelled.groupBy("group", "label").agg(F.sum("size").alias("here"), F.count("*").alias("n"))
         wanted = per_label.groupBy("group").agg(
             F.max_by("label", F.struct("here", F.xxhash64("group", "label"))).alias("target"), F.sum("n").alias("members"), F.count("*").alias("labels"),
-        ).filter("labels > 1").select("group", "target")
+        ).filter("labels > 1").select("group", "target", "members")
         wanted = stored(wanted, "wanted")  # written, so that the join below meets two plain shuffles and can split a hot group
         askers = labelled.join(wanted, "group").filter("label <> target")
         # What leaves a shard in this round makes room in it for the next one, so a quota is the room now.
@@ -62,7 +63,9 @@ def propagate(labelled: DataFrame, shards: int, rounds: int, slack: float, rows:
         # Members on their way out free as much room as the average shard admits of its askers.
         flow = quota.join(F.broadcast(leaving.withColumnRenamed("label", "target")), "target", "left").join(F.broadcast(coming.withColumnRenamed("label", "target")), "target", "left")
         quota = flow.select("target", (F.col("room") + F.least(F.coalesce("leaves", F.lit(0)), F.coalesce("comes", F.lit(0)))).alias("quota"))
-        admitted = _admit(askers.withColumn("rank", F.xxhash64("group")), quota, "rank", rows).select("row", "target")
+        # Small groups move whole; the members of one that would fill a bucket of the running total stand in line singly.
+        rank = F.when(F.col("members") > LARGE, F.col("mark")).otherwise(F.xxhash64("group"))
+        admitted = _admit(askers.withColumn("rank", F.xxhash64(rank, "target")), quota, "rank", rows).select("row", "target")
         moved = admitted.count()
         labelled = stored(labelled.join(admitted, "row", "left").withColumn("label", F.coalesce("target", "label")).drop("target"), "labels")
         if not moved:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leadforge.llm.common import guarded_broadcast, ship, stored
+from leadforge.llm.common import guarded_broadcast, ship, stored, tidy
 
 WORDS, DISTANCE, SEED = 3, 3, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
             values = np.array([fingerprint(x.as_py(), words, seed) for x in batch.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "bits"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(run, "doc_id long, bits long")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(tidy(run), "doc_id long, bits long")
 
 
 class Golay:
@@ -187,7 +187,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFra
         pairs = np.unique(np.stack([np.maximum(u, v), np.minimum(u, v)], axis=1), axis=0)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    rows = stored(nodes.select("bits").mapInArrow(spread, "key long, side byte, bits long"), "keys")
+    rows = stored(nodes.select("bits").mapInArrow(tidy(spread), "key long, side byte, bits long"), "keys")
     large = stored(rows.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > hot), "hot")
     large = large.select("key", F.ceil(F.col("n") / hot).cast("long").alias("parts"))
     # A hot bucket becomes a grid: a left row goes to one line of it, a right row to one column.
@@ -196,7 +196,7 @@ def links(nodes: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFra
     steps = F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)
     cells = F.transform(steps, lambda s: F.when(F.col("side") == 0, part * F.coalesce("parts", F.lit(1)) + s).otherwise(s * F.coalesce("parts", F.lit(1)) + part))
     spreaded = cut.select(F.explode(cells).alias("cell"), "key", "side", "bits").select((F.col("cell") * F.lit(1 << 26) + F.col("key")).alias("key"), "side", "bits")
-    met = spreaded.repartition("key").sortWithinPartitions("key", "side").mapInArrow(meet, "a long, b long")
+    met = spreaded.repartition("key").sortWithinPartitions("key", "side").mapInArrow(tidy(meet), "a long, b long")
     return met.distinct()
 
 

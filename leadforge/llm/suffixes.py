@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadforge.llm.common import binary_text, ship
+from leadforge.llm.common import binary_text, ship, tidy_group
 
 LENGTH, GRAM = 50, 16
-SPLIT_BYTES, BATCH_BYTES, BATCH_WINDOWS, LONGEST_RUN = 8 << 20, 1 << 20, 200_000, 64
+SPLIT_BYTES, BATCH_BYTES, BATCH_WINDOWS, LONGEST_RUN = 8 << 20, 1 << 19, 100_000, 64
 LAST = np.iinfo(np.int64).max
 
 
@@ -301,19 +301,19 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tup
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     splits = max(1, math.ceil(total / split_bytes))
     name_buckets = 1 << max(6, math.ceil(math.log2(max(1, splits // 2))))
-    buckets = max(8, splits)
+    buckets = max(8, 2 * splits)
     base = docs.select(
         F.col(doc_id).cast("long").alias("__id"), binary_text(text).alias("__data"), *[F.col(c).alias(f"k_{c}") for c in keep],
     ).withColumn("__split", F.pmod(F.xxhash64("__id"), F.lit(splits)).cast("int")).repartition(splits, "__split")
     # The same exchange of texts serves all three passes over them.
-    listed = base.groupBy("__split").applyInArrow(lambda t: names(t, name_buckets), "bucket int, split int, low binary, many binary")
-    shared = listed.repartition(name_buckets, "bucket").groupBy("bucket").applyInArrow(shared_names, "bucket int, split int, low binary")
-    sent = base.groupBy("__split").cogroup(shared.groupBy("split")).applyInArrow(lambda t, s: candidates(t, s, name_buckets, buckets), "bucket int, split int, kind int, blob binary")
-    spans = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(match, "split int, blob binary")
+    listed = base.groupBy("__split").applyInArrow(tidy_group(lambda t: names(t, name_buckets)), "bucket int, split int, low binary, many binary")
+    shared = listed.repartition(name_buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(shared_names), "bucket int, split int, low binary")
+    sent = base.groupBy("__split").cogroup(shared.groupBy("split")).applyInArrow(tidy_group(lambda t, s: candidates(t, s, name_buckets, buckets)), "bucket int, split int, kind int, blob binary")
+    spans = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(match), "split int, blob binary")
     kinds = [T.StructField(c, docs.schema[c].dataType) for c in keep]
     found = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*kinds, T.StructField("n_bytes", T.LongType()), T.StructField("spans", found), T.StructField("kept", T.BinaryType())])
-    return base.groupBy("__split").cogroup(spans.groupBy("split")).applyInArrow(lambda t, s: cut(t, s, list(keep)), schema)
+    return base.groupBy("__split").cogroup(spans.groupBy("split")).applyInArrow(tidy_group(lambda t, s: cut(t, s, list(keep))), schema)
 
 
 def removed(docs: DataFrame) -> DataFrame:
