@@ -26,8 +26,9 @@ from pyspark.sql import types as T
 
 from leadforge.llm.common import ship, tidy
 
-WORDS_KEPT = 300_000
-PAIRS_KEPT = 500_000
+WORDS_KEPT = 250_000
+PAIRS_KEPT = 400_000
+ROWS = 256
 END = "Ā"  # stands behind the last byte of a word; bytes are the characters below it
 NEVER = 1 << 60
 
@@ -266,23 +267,33 @@ def _share(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast((hash(description), description))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the ids of the whole text as an array of integers."""
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` (all by default) with the ids of the whole text as an array of integers.
+
+    ``decoded`` names a further column for the text that the ids stand for.
+    """
     shared = _share(docs.sparkSession, path)
-    kept = docs.drop(ids)
-    schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in (ids, decoded)]
+    fields = [docs.schema[c] for c in keep] + [T.StructField(ids, T.ArrayType(T.IntegerType()))]
+    if decoded:
+        fields.append(T.StructField(decoded, T.StringType()))
 
     def run(batches):
         encoder = Encoder(_vocabulary(shared))
-        for batch in batches:
-            raws = [encoder.encode(x.as_py()) for x in batch.column(text)]
-            offsets = np.zeros(len(raws) + 1, np.int32)
-            np.cumsum([len(r) // 4 for r in raws], out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(raws), np.int32))
-            lists = pa.ListArray.from_arrays(pa.array(offsets), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, ids])
-
-    return kept.mapInArrow(tidy(run), schema)
+        for whole in batches:
+            for at in range(0, len(whole), ROWS):
+                batch = whole.slice(at, ROWS)
+                raws = [encoder.encode(x.as_py()) for x in batch.column(text)]
+                offsets = np.zeros(len(raws) + 1, np.int32)
+                np.cumsum([len(r) // 4 for r in raws], out=offsets[1:])
+                flat = np.frombuffer(b"".join(raws), np.int32)
+                columns = [*[batch.column(c) for c in keep], pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))]
+                if decoded:
+                    texts = [encoder.vocabulary.decode(np.frombuffer(r, np.int32).tolist()) for r in raws]
+                    columns.append(pa.array(texts, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    return docs.mapInArrow(tidy(run), T.StructType(fields))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -293,11 +304,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
 
     def run(batches):
         vocabulary = _vocabulary(shared)
-        for batch in batches:
-            column = batch.column(ids)
-            flat, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
-            texts = [vocabulary.decode(flat[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded])
+        for whole in batches:
+            for at in range(0, len(whole), ROWS):
+                batch = whole.slice(at, ROWS)
+                texts = [vocabulary.decode(x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ()) for x in batch.column(ids)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, decoded])
 
     return kept.mapInArrow(tidy(run), schema)
 
@@ -310,7 +321,7 @@ def ids_digest(ids: str | Column) -> Column:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """One row per document: number of ids, digest of the ids, digest of the decoded text."""
-    both = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    both = encode(docs.select("doc_id", "text"), path, decoded="decoded", keep=["doc_id"])
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

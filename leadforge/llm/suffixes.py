@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from leadforge.llm.common import binary_text, ship, tidy_group
 
 LENGTH, GRAM = 50, 16
-SPLIT_BYTES, BATCH_BYTES, BATCH_WINDOWS, LONGEST_RUN = 8 << 20, 1 << 19, 100_000, 64
+SPLIT_BYTES, BATCH_BYTES, BATCH_WINDOWS, LONGEST_RUN = 8 << 20, 1 << 18, 100_000, 64
 LAST = np.iinfo(np.int64).max
 
 
