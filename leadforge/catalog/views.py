@@ -1,7 +1,8 @@
 """Domain views over the given tables, in SQL that Spark and DuckDB both read.
 
 The given tables are orders, line items, customers and events; these views give them the shape of leads,
-bureau exchanges, tradelines, enquiries and identity records. Every view covers its whole tables.
+bureau exchanges, tradelines, enquiries and identity records. Every view covers its whole tables; rows
+that are meant to match nothing have keys of their own.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ AS_OF = dt.date(2002, 1, 1)
 VIEWS = {
     "phone_base": """
 select 'L' || lpad(cast(c_custkey as string), 8, '0') as lead_id,
-       'h9' || lpad(cast(c_custkey as string), 9, '0') as hashed_phone,
-       '9' || lpad(cast(c_custkey as string), 9, '0') as phone
-from {customer} where c_custkey % 10 <> 0
+       (case when c_custkey % 10 = 0 then 'x9' else 'h9' end) || lpad(cast(c_custkey as string), 9, '0') as hashed_phone,
+       (case when c_custkey % 10 = 0 then '8' else '9' end) || lpad(cast(c_custkey as string), 9, '0') as phone
+from {customer}
 """,
     "partners_raw": """
 select 'P' || cast(o_orderkey as string) as partner_reference_id,
@@ -45,7 +46,7 @@ from {orders}
 """,
     "partners_processed": """
 select 'P' || cast(o.o_orderkey as string) as partner_reference_id,
-       'L' || lpad(cast(o.o_custkey as string), 8, '0') as lead_id,
+       (case when o.o_custkey % 10 = 0 then 'U' else 'L' end) || lpad(cast(o.o_custkey as string), 8, '0') as lead_id,
        'h9' || lpad(cast(o.o_custkey as string), 9, '0') as hashed_phone,
        '9' || lpad(cast(o.o_custkey as string), 9, '0') as phone,
        'PAN' || cast(o.o_custkey as string) as pan_no,
@@ -54,34 +55,34 @@ select 'P' || cast(o.o_orderkey as string) as partner_reference_id,
        'batch_' || cast(o.o_orderkey % 4 + 1 as string) as batch_no,
        o.o_orderstatus = 'F' as sent_to_scrub,
        case when o.o_orderstatus = 'F' then cast(o.o_orderdate as date) else null end as scrub_date
-from {orders} o where o.o_custkey % 10 <> 0
+from {orders} o
 """,
     "equifax_exchange": """
-select 'L' || lpad(cast(c_custkey as string), 8, '0') as lead_id,
-       'EQ01012002' || lpad(cast(c_custkey + 1 as string), 12, '0') as bureau_id,
+select (case when c_custkey % 10 = 0 then 'V' else 'L' end) || lpad(cast(c_custkey as string), 8, '0') as lead_id,
+       (case when c_custkey % 10 = 0 then 'EQ31122001' else 'EQ01012002' end) || lpad(cast(c_custkey + 1 as string), 12, '0') as bureau_id,
        'h9' || lpad(cast(c_custkey as string), 9, '0') as hashed_phone,
        '9' || lpad(cast(c_custkey as string), 9, '0') as phone,
        'PAN' || cast(c_custkey as string) as pan_no,
        'batch_' || cast(c_custkey % 3 + 1 as string) as scrub_batch_no,
        cast('2001-10-01' as date) + cast(c_custkey % 90 as int) as scrub_date,
        c_custkey % 2 = 0 as sent_to_experian
-from {customer} where c_custkey % 10 <> 0
+from {customer}
 """,
     "equifax_ar": """
-select 'EQ01012002' || lpad(cast(o_custkey + 1 as string), 12, '0') as reference_no,
+select (case when o_custkey % 7 = 0 then 'EQ30122001' else 'EQ01012002' end) || lpad(cast(o_custkey + 1 as string), 12, '0') as reference_no,
        cast(300 + (o_custkey * 37) % 601 as string) as score,
        'batch_' || cast(o_custkey % 3 + 1 as string) as batch_no, cast(o_orderdate as date) as created_at
-from {orders} where o_custkey % 7 <> 0
+from {orders}
 """,
     "experian_exchange": """
-select 'L' || lpad(cast(c_custkey as string), 8, '0') as lead_id,
-       'EX01012002' || lpad(cast(c_custkey + 1 as string), 12, '0') as bureau_id,
+select (case when c_custkey % 4 = 1 then 'L' else 'W' end) || lpad(cast(c_custkey as string), 8, '0') as lead_id,
+       (case when c_custkey % 4 = 1 then 'EX01012002' else 'EX31122001' end) || lpad(cast(c_custkey + 1 as string), 12, '0') as bureau_id,
        'batch_' || cast(c_custkey % 3 + 1 as string) as scrub_batch_no, cast('2001-12-01' as date) as scrub_date
-from {customer} where c_custkey % 4 = 1
+from {customer}
 """,
     "experian_ar": """
-select 'EX01012002' || lpad(cast(o_custkey + 1 as string), 12, '0') as customer_id, cast(o_orderdate as date) as created_at
-from {orders} where o_custkey % 8 = 1
+select (case when o_custkey % 8 = 1 then 'EX01012002' else 'EX30122001' end) || lpad(cast(o_custkey + 1 as string), 12, '0') as customer_id, cast(o_orderdate as date) as created_at
+from {orders}
 """,
     "tradelines": """
 select 'C' || cast(o.o_custkey as string) as customer_id,
@@ -112,15 +113,15 @@ select 'C' || cast(o_custkey as string) as customer_id,
 from {orders}
 """,
     "scores": """
-select 'C' || cast(c_custkey as string) as customer_id, cast(300 + (c_custkey * 37) % 601 as decimal(10,2)) as score_v3, 'batch_1' as batch_no,
+select (case when c_custkey % 17 = 0 then 'D' else 'C' end) || cast(c_custkey as string) as customer_id, cast(300 + (c_custkey * 37) % 601 as decimal(10,2)) as score_v3, 'batch_1' as batch_no,
        date '2002-01-01' as created_at
-from {customer} where c_custkey % 17 <> 0
+from {customer}
 """,
     "bureau_sent": """
-select 'L' || lpad(cast(c_custkey as string), 8, '0') as lead_id, 'C' || cast(c_custkey as string) as bureau_id,
+select 'L' || lpad(cast(c_custkey as string), 8, '0') as lead_id, (case when c_custkey % 13 = 0 then 'E' else 'C' end) || cast(c_custkey as string) as bureau_id,
        case when c_custkey % 5 = 0 then null else '9' || lpad(cast(c_custkey as string), 9, '0') end as phone,
        case when c_custkey % 19 = 0 then 'batch_2' else 'batch_1' end as scrub_batch_no
-from {customer} where c_custkey % 13 <> 0
+from {customer}
 """,
     "phones": """
 select 'C' || cast(user_id as string) as customer_id,

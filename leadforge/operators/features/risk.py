@@ -103,12 +103,17 @@ CATEGORY_INPUTS = (
 )
 
 
+def of_customers(rows: DataFrame, base: DataFrame) -> DataFrame:
+    """Only the rows of the customers in ``base``, so that a batch aggregates no other customer's rows."""
+    return rows.join(base.select("customer_id"), "customer_id", "left_semi")
+
+
 def categorised(base: DataFrame, ar: DataFrame) -> DataFrame:
     """``base`` (customer_id, score, ...) with its risk category."""
     features = [f for f in S.tradeline_catalogue() if f.name in CATEGORY_INPUTS]
     delinquency = [f for f in T.dpd_catalogue() if f.name in (f"max_dpd_l{w}m_all" for w in (12, 24, 36))]
     wanted = features + delinquency
-    joined = base.join(T.feature_slots(ar, wanted), "customer_id", "left")
+    joined = base.join(T.feature_slots(of_customers(ar, base), wanted), "customer_id", "left")
     columns = joined.selectExpr(*base.columns, *T.slot_columns(wanted))
     columns = columns.selectExpr("*", *T.ratio_columns({"current_cc_util", "current_pl_util"}))
     return columns.select(*base.columns, customer_category().alias("customer_category"))
@@ -143,10 +148,10 @@ def add_tli(
     base = feature_base(pii, exchange, batch, as_of)
     tradelines, delinquency = S.tradeline_catalogue(), T.dpd_catalogue()
     wanted = tradelines + delinquency
-    enquiries = enquiry_features(enq)
+    enquiries = enquiry_features(of_customers(enq, base))
     counted = [c for c in enquiries.columns if c != "customer_id"]
     # Joined while the account blocks are still one array per customer; the wide rows are made last.
-    joined = base.join(T.feature_slots(ar, wanted), "customer_id", "left").join(enquiries, "customer_id", "left")
+    joined = base.join(T.feature_slots(of_customers(ar, base), wanted), "customer_id", "left").join(enquiries, "customer_id", "left")
     columns = joined.selectExpr(*base.columns, *T.slot_columns(wanted), *counted, "slots is null as without_accounts")
     ratios = [
         f"if(without_accounts, null, {T.ratio(b, a)}) as {name}" for name, b, a in S.utilisation_ratios()

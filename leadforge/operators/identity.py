@@ -103,6 +103,8 @@ def pii_master(
         .select(F.col("bureau_id").alias("customer_id"), F.col("phone").alias("sent_phone"))
         .distinct()
     )
+    wanted = scored.join(sent, "customer_id", "left_semi").select("customer_id")
+    phones, addresses = (df.join(wanted, "customer_id", "left_semi") for df in (phones, addresses))
     joined = (
         scored.join(sent, "customer_id")
         .join(ids.select("customer_id", "pan").distinct(), "customer_id", "left")

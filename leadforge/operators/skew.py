@@ -5,21 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot from this many rows on; at most this many hot keys are treated specially. Keys beyond
-# the bound still join, by the ordinary path.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
+HOT_ROWS = 1_000_000  # a key is hot from this many rows on
 SALTS = 64
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys of a frame: at most ``MAX_HOT_KEYS`` rows, hence safe to broadcast."""
+    """All keys of a frame with at least ``hot_rows`` rows."""
     return heaviest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys, "_rows", hot_rows)
 
 
 def heaviest(counted: DataFrame, keys: list[str], rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The heaviest keys of an already counted frame, at most ``MAX_HOT_KEYS`` of them."""
-    return counted.filter(F.col(rows) >= hot_rows).orderBy(F.desc(rows), *keys).limit(MAX_HOT_KEYS).select(*keys)
+    """All heavy keys of an already counted frame: at most one for every ``hot_rows`` rows."""
+    return counted.filter(F.col(rows) >= hot_rows).select(*keys)
 
 
 def salted_join(
@@ -41,7 +38,7 @@ def salted_join(
     """
     if hot is None:
         hot = hot_keys(left.dropna(subset=keys), keys, hot_rows)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    hot = hot.withColumn("_hot", F.lit(True))  # adaptive execution broadcasts the list where its size, then known, allows
     spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
     is_null = F.lit(False)
     for k in keys:

@@ -63,8 +63,8 @@ def bureau_ingest(
         overwrite_partitions(with_audit(cleaned, batch_no, as_of), path, ("batch_no", "file_name"))
         stored = spark.read.parquet(path).filter(F.col("batch_no") == batch_no)
         if lender is not None and lender_target is not None and table in LENDERS[lender, bureau][0]:
-            mine = stored.join(own.select("file_name").distinct(), "file_name", "left_semi")
-            export_delimited(lender_view(mine, lender, bureau, table), f"{lender_target}/{batch_no}/{table.lower()}", "|")
+            # The batch as stored so far: a further delivery, or the repeat of a run cut short, replaces the export.
+            export_delimited(lender_view(stored, lender, bureau, table), f"{lender_target}/{batch_no}/{table.lower()}", "|", "overwrite")
         counts = read.groupBy("file_name").agg(F.count(F.lit(1)).alias("original_count"))
         kept = stored.groupBy("file_name").agg(F.count(F.lit(1)).alias("final_count"))
         results.append(

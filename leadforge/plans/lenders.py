@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,19 +45,22 @@ def lender_export(
 ) -> tuple[dict[str, DataFrame], DataFrame] | None:
     """(files with shortlisted rows only, shortlist record); None without a usable rule or score file.
 
+    The shortlist is drawn from all score files together.
+
     Only file names (one per table of a batch) pass through the driver. The id list is written once and
     reused for all files.
     """
     merged = merge_batches(spark, inventory, batches)
-    scored = next((name for name in sorted(merged) if score_file in name.upper()), None)
-    if scored is None:
+    scored = [name for name in sorted(merged) if score_file in name.upper()]
+    if not scored:
         return None
-    ids = R.shortlist_ids(merged[scored], criteria, id_col, score_col=score_col, score_only=score_only)
+    together = lambda files: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), files)
+    ids = R.shortlist_ids(together([merged[name] for name in scored]), criteria, id_col, score_col=score_col, score_only=score_only)
     if ids is None:
         return None
-    ids = durable(ids)
+    ids = durable(ids.distinct())
     kept = {name: R.filter_by_ids(df, ids, id_col) for name, df in merged.items()}
-    record = R.shortlist_record(kept[scored], id_col, lender_batch, lender, bureau, as_of)
+    record = R.shortlist_record(together([kept[name] for name in scored]), id_col, lender_batch, lender, bureau, as_of)
     if target is not None:
         for name, df in kept.items():
             export_delimited(df, f"{target}/{lender}/{lender_batch}/{name}", "|")

@@ -13,6 +13,7 @@ from leadforge.operators import leads as L
 from leadforge.session import durable
 from leadforge.sources import files as SF
 from leadforge.sources import partner_files as PF
+from leadforge.sources.ledger import exists
 from leadforge.sources.schemas import TABLES
 from leadforge.sources.sinks import append_by_name, in_table_layout, overwrite_partitions
 
@@ -69,15 +70,22 @@ def process_batch(
 RAW_PARTITIONS = ("partner_name", "batch_no")
 
 
+LEAD_KEY = ["partner_name", "batch_no", "partner_reference_id", "lead_id"]
+
+
 def store_batch(updated: DataFrame, processed: DataFrame, raw_path: str, processed_path: str) -> None:
     """Write the results of ``process_batch`` over the stored tables.
 
-    Both frames come from the raw table itself, so they are written to the shared folder first; then only
-    the partitions of the given batches are replaced, and the new leads are appended.
+    Both frames come from the raw table itself, so they are written to the shared folder first. The new leads are
+    stored before their raw rows are marked: a run that was cut short in between is simply run again, and leads that
+    are stored already are not appended twice.
     """
     updated, processed = durable(updated), durable(processed)
+    layout = TABLES["partners_processed"]
+    rows = in_table_layout(processed, layout)
+    if exists(processed.sparkSession, processed_path):
+        stored = processed.sparkSession.read.parquet(processed_path).select(*LEAD_KEY).distinct()
+        same = [rows[k].eqNullSafe(stored[k]) for k in LEAD_KEY]
+        rows = rows.join(stored, same, "left_anti")
+    append_by_name(rows, processed_path, T.StructType.fromDDL(layout).fieldNames())
     overwrite_partitions(updated, raw_path, RAW_PARTITIONS)
-    append_by_name(
-        in_table_layout(processed, TABLES["partners_processed"]), processed_path,
-        T.StructType.fromDDL(TABLES["partners_processed"]).fieldNames(),
-    )

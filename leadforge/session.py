@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 WIDE_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra) -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, driver_memory: str = "8g", **extra) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -21,7 +21,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra) -
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.files.openCostInBytes", str(512 * 1024))  # small test files still use all cores
     )

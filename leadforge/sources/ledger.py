@@ -14,11 +14,15 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything was written at a path."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger at a path, empty while nothing was written there."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path) if exists else empty_ledger(spark)
+    return spark.read.schema(LEDGER_SCHEMA).parquet(path) if exists(spark, path) else empty_ledger(spark)
 
 
 def unprocessed(inventory: DataFrame, ledger: DataFrame) -> DataFrame:

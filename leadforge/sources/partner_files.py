@@ -83,4 +83,5 @@ def scan_partner_csv(spark: SparkSession, inventory: DataFrame) -> DataFrame:
                 F.monotonically_increasing_id().alias("ROW_SEQ"),
             )
         )
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    nothing = spark.createDataFrame([], ", ".join(f"{n} string" for n in dict.fromkeys(HEADER_ALIASES.values())) + ", FILENAME string, FILE_OFFSET long, ROW_SEQ long")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else nothing

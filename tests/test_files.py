@@ -122,6 +122,16 @@ def test_ingest_loads_once_and_reports(spark, tmp_path):
     assert LG.reset_batch(ledger, "batch_1").count() == 0
 
 
+def test_a_second_delivery_completes_the_export(spark, tmp_path):
+    _bureau(tmp_path)
+    _load(spark, tmp_path)
+    put(tmp_path / "in" / "batch_1" / "enq_3.txt", HEADER + "C3|13|01/01/2001|NBF|5\n")
+    _, results = _load(spark, tmp_path)
+    assert [r["file_name"] for r in results.collect()] == ["enq_3.txt"]
+    sent = spark.read.options(header=True, sep="|").csv(str(tmp_path / "lender" / "batch_1" / "enq"))
+    assert {r["CUSTOMER_ID"] for r in sent.collect()} == {"PRFRC1", "PRFRC2", "PRFRC3"}
+
+
 def test_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
     _bureau(tmp_path)
     source = tmp_path / "stream"

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from leadforge.operators import leads as L
@@ -95,6 +96,27 @@ def test_stored_batches_are_replaced_in_place(spark, tmp_path):
     assert spark.read.parquet(leads_path).count() == 1
 
 
+def test_a_run_cut_short_between_leads_and_raw_rows_loses_and_doubles_nothing(spark, tmp_path, monkeypatch):
+    raw_path, leads_path = str(tmp_path / "raw"), str(tmp_path / "leads")
+    _raw(spark).write.partitionBy(*P.RAW_PARTITIONS).parquet(raw_path)
+    base = spark.createDataFrame([("h1", "lead-1")], "hashed_phone string, lead_id string")
+
+    def store():
+        updated, processed, _ = P.process_batch(spark.read.parquet(raw_path), base, AS_OF, "alpha", "batch_1")
+        P.store_batch(updated, processed, raw_path, leads_path)
+
+    def broken(*_):
+        raise OSError("cut short")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(P, "overwrite_partitions", broken)
+        with pytest.raises(OSError):
+            store()
+    store()
+    assert spark.read.parquet(leads_path).count() == 1
+    assert spark.read.parquet(raw_path).filter("status = 'processed'").count() == 1
+
+
 def test_second_bureau_export_marks_both_tables(spark):
     exchange = spark.createDataFrame(
         [("l1", "b1", None, None, None, "batch_1", AS_OF, False), ("l2", "b2", None, None, None, "batch_1", AS_OF, False)],
