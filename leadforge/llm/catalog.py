@@ -78,4 +78,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffixes": op10_suffixes,
 }
 
-ORACLES: dict[str, str] = {}
+# Base32 of SHA-1: each 5 of the 40 hex digits make 4 letters of 5 bits.
+ORACLES: dict[str, str] = {
+    "op1_warc": """
+with p as (select page_id, coalesce(html, '') as body from pages),
+d as (select page_id, strlen(body) as payload_bytes, sha1(body) as hex, max(page_id) over (partition by body) as newest from p)
+select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+           list_reduce(list_transform(range(5), lambda j: cast(strpos('0123456789abcdef', substr(hex, cast(5 * (i // 4) + j + 1 as int), 1)) - 1 as bigint)), lambda a, b: a * 16 + b)
+           // cast(power(32, 3 - i % 4) as bigint) % 32 as int), 1)), '') as payload_digest,
+       case when page_id = newest then 'response' else 'revisit' end as record_type,
+       case when page_id <> newest then newest end as refers_to
+from d""",
+    "op2_segments": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score
+      from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from s)
+select query_id, rank, vec_id, score from r where rank <= 5""",
+}
