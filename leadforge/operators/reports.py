@@ -39,13 +39,16 @@ def standard_file_name(file_name: Column) -> Column:
 
 
 def load_report(results: DataFrame) -> DataFrame:
-    """Files, rows read, rows stored and rows dropped per standard name, batch and status."""
+    """Files, rows read, rows stored and rows dropped per standard name, batch and status; of those dropped, the bad rows
+    where the results count them."""
+    bad = [F.sum("bad_count").alias("bad_rows")] if "bad_count" in results.columns else []
     named = results.withColumn("file_name", standard_file_name(F.col("file_name")))
     return named.groupBy("file_name", "batch", "status").agg(
         F.count(F.lit(1)).alias("nnr_of_files"),
         F.sum("original_count").alias("original_count"),
         F.sum("final_count").alias("final_count"),
         F.sum(F.col("original_count") - F.col("final_count")).alias("duplicates_and_nulls"),
+        *bad,
     )
 
 

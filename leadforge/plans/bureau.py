@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadforge.operators import cleaning as C
 from leadforge.operators.lender_views import LENDERS, lender_view
@@ -17,14 +18,59 @@ from leadforge.sources import ledger as LG
 from leadforge.sources.schemas import BUREAUS
 from leadforge.sources.sinks import export_delimited, overwrite_partitions, with_audit
 
-RESULT_SCHEMA = "batch string, file_name string, original_count bigint, final_count bigint, status string"
+RESULT_SCHEMA = "batch string, folder string, file_name string, original_count bigint, bad_count bigint, final_count bigint, status string"
 TABLES = {"experian": EXPERIAN_TABLES, "equifax": EQUIFAX_TABLES}
+FILE = ["folder", "file_name"]  # what names a file
+BAD_ROWS = "bad_rows"
 
 
 def routed(inventory: DataFrame, bureau: str, *, whole_words: bool = False) -> DataFrame:
     return inventory.withColumn("table_name", route(F.col("file_name"), TABLES[bureau], whole_words=whole_words))
 
 
+def stored_rows(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """A stored table's rows. Batch, folder and file are read as the text they are, never as numbers or dates."""
+    path = f"{target}/{table.lower()}"
+    names = ("batch_no", "table_name", *FILE)
+    layout = [T.StructField(f.name, T.StringType() if f.name in names else f.dataType) for f in spark.read.parquet(path).schema]
+    return spark.read.schema(T.StructType(layout)).parquet(path)
+
+
+def load_table(
+    spark: SparkSession,
+    files: DataFrame,
+    target: str,
+    table: str,
+    bureau: str,
+    batch_no: str,
+    as_of: dt.date,
+    *,
+    sep: str = "|",
+    heads: DataFrame | None = None,
+) -> DataFrame:
+    """Load a listing's files into one table below ``target``; returns rows read, bad and stored per file.
+
+    Text is parsed once, into the shared folder; cleaning and counts read that. Rows are stored by batch, folder and
+    file, rows with a wrong number of cells as text below ``bad_rows``. A repeated load of a file replaces its partitions.
+    """
+    path = f"{target}/{table.lower()}"
+    landed = durable(SF.scan_rows(spark, files, BUREAUS[bureau][table], sep=sep, heads=heads))
+    named = landed.join(files.select(F.col("path").alias("file_path"), *FILE), "file_path")  # broadcast where its size allows
+    good = named.filter(F.col(SF.BAD).isNull()).drop("file_path", SF.BAD)
+    cleaned = with_audit(C.clean_bureau_table(good, table, bureau), batch_no, as_of)
+    overwrite_partitions(cleaned, path, ("batch_no", *FILE))
+    bad = named.filter(F.col(SF.BAD).isNotNull()).select(F.col(SF.BAD).alias("line"), *FILE)
+    bad = with_audit(bad.withColumn("table_name", F.lit(table)), batch_no, as_of)
+    overwrite_partitions(bad, f"{target}/{BAD_ROWS}", ("batch_no", "table_name", *FILE))
+    read = named.groupBy(*FILE).agg(F.count(F.lit(1)).alias("original_count"), F.count(SF.BAD).alias("bad_count"))
+    stored = stored_rows(spark, target, table).filter(F.col("batch_no") == batch_no)
+    kept = stored.groupBy(*FILE).agg(F.count(F.lit(1)).alias("final_count"))
+    counted = files.select("batch", *FILE).join(read, FILE, "left").join(kept, FILE, "left")
+    filled = counted.fillna(0, ["original_count", "bad_count", "final_count"])
+    usable = F.col("original_count") > F.col("bad_count")
+    return filled.withColumn("status", F.when(usable, "Processed").otherwise("Failed"))
+
+
 def bureau_ingest(
     spark: SparkSession,
     inventory: DataFrame,
@@ -40,9 +86,9 @@ def bureau_ingest(
 ) -> DataFrame:
     """Load the new files of one batch's inventory, one write per table; returns the load results per file.
 
-    A table's rows are stored under batch and file, and a repeated load of a file replaces its own
-    partition, so a run that is cut short can simply be run again. Files already in the ledger are left
-    out. The number of writes is the number of tables of the bureau, not of files.
+    A file is known by its folder and name. A repeated load of a file replaces its own partitions, and the lender export is
+    replaced by the batch as stored so far, so a run that is cut short can simply be run again. Files already in the ledger
+    are left out. The number of writes grows with the tables of the bureau, not with the files.
     """
     ledger = LG.read_ledger(spark, ledger_path)
     fresh = durable(LG.unprocessed(routed(inventory, bureau, whole_words=whole_words), ledger))
@@ -56,23 +102,10 @@ def bureau_ingest(
             continue
         own = fresh.filter(F.col("table_name") == table)
         own_heads = heads.join(own.select("path"), "path", "left_semi")
-        scanned, _ = SF.scan_delimited(spark, own, BUREAUS[bureau][table], heads=own_heads)
-        read = SF.with_file_name(scanned)
-        cleaned = C.clean_bureau_table(read.drop("file_path"), table, bureau)
-        path = f"{target}/{table.lower()}"
-        overwrite_partitions(with_audit(cleaned, batch_no, as_of), path, ("batch_no", "file_name"))
-        stored = spark.read.parquet(path).filter(F.col("batch_no") == batch_no)
+        results.append(load_table(spark, own, target, table, bureau, batch_no, as_of, heads=own_heads))
         if lender is not None and lender_target is not None and table in LENDERS[lender, bureau][0]:
-            # The batch as stored so far: a further delivery, or the repeat of a run cut short, replaces the export.
+            stored = stored_rows(spark, target, table).filter(F.col("batch_no") == batch_no)
             export_delimited(lender_view(stored, lender, bureau, table), f"{lender_target}/{batch_no}/{table.lower()}", "|", "overwrite")
-        counts = read.groupBy("file_name").agg(F.count(F.lit(1)).alias("original_count"))
-        kept = stored.groupBy("file_name").agg(F.count(F.lit(1)).alias("final_count"))
-        results.append(
-            own.select("batch", "file_name")
-            .join(counts, "file_name", "left").join(kept, "file_name", "left")
-            .fillna(0, ["original_count", "final_count"])
-            .withColumn("status", F.when(F.col("original_count") > 0, "Processed").otherwise("Failed"))
-        )
     outcome = durable(reduce(lambda a, b: a.unionByName(b), results))
     loaded = outcome.filter("status = 'Processed'").withColumn("row_count", F.col("final_count"))
     LG.ledger_rows(loaded, as_of).write.mode("append").parquet(ledger_path)

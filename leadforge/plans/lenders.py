@@ -21,10 +21,9 @@ def merge_batches(spark: SparkSession, inventory: DataFrame, batches: list[str],
     """Every file name once, holding the rows of that name in all chosen batches."""
     chosen = inventory.filter(F.col("batch").isin(*batches))
     names = [r["file_name"] for r in SF.common_unique(chosen).select("file_name").orderBy("file_name").collect()]
-    return {
-        name: SF.scan_delimited(spark, chosen.filter(F.col("file_name") == name), sep=sep, null_tokens=())[0].drop("file_path")
-        for name in names
-    }
+    heads = durable(chosen.join(SF.header_lines(chosen), "path").select("path", "file_name", "header", "marker"))
+    scan = lambda own: SF.scan_delimited(spark, own, sep=sep, null_tokens=(), heads=own)[0].drop("file_path")
+    return {name: scan(heads.filter(F.col("file_name") == name)) for name in names}
 
 
 def lender_export(

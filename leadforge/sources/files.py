@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
-from urllib.parse import unquote
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -25,18 +26,37 @@ PARTNER_ENDINGS = (".csv", ".xls", ".xlsx")  # only the first is read here
 HEAD_BYTES = 65_536
 
 
-def file_inventory(spark: SparkSession, root: str, batches: list[str] | None = None) -> DataFrame:
-    """Files below ``root`` as (path, batch, file_name, bytes); the batch is the file's own folder.
+def decoded(file_path: Column) -> Column:
+    """A path as listings spell it, from the percent-encoded form that scans report."""
+    return F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+
+
+def _folder(spark: SparkSession, path: Column, root: str) -> Column:
+    """The folder of a file as seen from ``root``; a dot for files in the root itself."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    top = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop_path).toString().rstrip("/")
+    parent = F.regexp_replace(path, r"/[^/]+$", "")
+    below = F.substr(parent, F.lit(len(top) + 2))
+    return F.when(parent == top, ".").when(F.startswith(parent, F.lit(top + "/")), below).otherwise(parent)
+
 
-    Only the listing is read, never the content.
+def listing(listed: DataFrame, root: str) -> DataFrame:
+    """(path, folder, batch, file_name, bytes) of a frame of files (path, length).
+
+    ``folder`` and ``file_name`` together name a file; the batch is the last part of its folder.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    files = listed.select(
+    return listed.select(
         "path",
+        _folder(listed.sparkSession, F.col("path"), root).alias("folder"),
         F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("batch"),
         F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
         F.col("length").alias("bytes"),
     ).distinct()
+
+
+def file_inventory(spark: SparkSession, root: str, batches: list[str] | None = None) -> DataFrame:
+    """The listing of all files below ``root``; only the listing is read, never the content."""
+    files = listing(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root), root)
     return files if batches is None else files.filter(F.col("batch").isin(*batches))
 
 
@@ -60,7 +80,7 @@ def common_unique(inventory: DataFrame) -> DataFrame:
 
 def _head(path: str) -> bytes:
     """The first line of a file, read in small pieces."""
-    location = unquote(path).replace("s3a://", "s3://", 1)
+    location = quote(path, safe="/:").replace("s3a://", "s3://", 1)
     filesystem, inner = pafs.FileSystem.from_uri(location)
     taken = b""
     with filesystem.open_input_stream(inner) as stream:
@@ -112,17 +132,21 @@ def _named_array(names: list[str]) -> Column:
 
 
 def header_report(headers: DataFrame, schema: T.StructType, *, strict: bool = False) -> DataFrame:
-    """Per file: expected columns that are missing, unexpected ones, missing required ones, and the verdict."""
+    """Per file: expected columns that are missing, unexpected ones, missing required ones, and the verdict.
+
+    A header that names a column twice is not valid.
+    """
     expected = _named_array([f.name for f in schema.fields])
     required = _named_array([f.name for f in schema.fields if not f.nullable])
     compared = headers.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+        "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
         F.array_except(expected, "columns").alias("missing_columns"),
         F.array_except("columns", expected).alias("extra_columns"),
         F.array_except(required, "columns").alias("missing_required"),
+        (F.size(F.array_distinct("columns")) < F.size("columns")).alias("repeated"),
     )
-    valid = F.size("missing_required") == 0
-    return compared.withColumn("is_valid", valid & (F.size("extra_columns") == 0) if strict else valid)
+    valid = (F.size("missing_required") == 0) & ~F.col("repeated")
+    return compared.withColumn("is_valid", valid & (F.size("extra_columns") == 0) if strict else valid).drop("repeated")
 
 
 def partner_header_report(headers: DataFrame, aliases: dict[str, str]) -> DataFrame:
@@ -148,6 +172,25 @@ def partner_header_report(headers: DataFrame, aliases: dict[str, str]) -> DataFr
 BAD = "_bad_row"
 
 
+def distinct_names(names: Iterable[str]) -> list[str]:
+    """Column names; those that repeat an earlier one get a number."""
+    seen: set[str] = set()
+    out = []
+    for name in names:
+        fresh, turn = name, 1
+        while fresh.upper() in seen:
+            turn += 1
+            fresh = f"{name}__{turn}"
+        seen.add(fresh.upper())
+        out.append(fresh)
+    return out
+
+
+def literal(path: str) -> str:
+    """A path with the characters escaped that readers take for wildcards."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _read_layout(spark, paths: list[str], names: list[str], sep: str) -> DataFrame:
     """All rows of files with one header layout; rows with a wrong number of cells keep their text in BAD.
 
@@ -159,7 +202,7 @@ def _read_layout(spark, paths: list[str], names: list[str], sep: str) -> DataFra
         header=True, sep=sep, quote='"', mode="PERMISSIVE", columnNameOfCorruptRecord=BAD,
         enforceSchema=True, columnPruning=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    return reader.csv(paths).withColumn("file_path", F.col("_metadata.file_path"))
+    return reader.csv([literal(p) for p in paths]).withColumn("file_path", decoded(F.col("_metadata.file_path")))
 
 
 def _first_cell_read(names: list[str]) -> Column:
@@ -168,61 +211,67 @@ def _first_cell_read(names: list[str]) -> Column:
     return F.length(F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))) >= 0
 
 
-def scan_delimited(
+def scan_rows(
     spark: SparkSession,
     inventory: DataFrame,
     schema: T.StructType | None = None,
     *,
     sep: str = "|",
     null_tokens: tuple[str, ...] = NULL_TOKENS,
-    tolerant: bool = False,
     heads: DataFrame | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(rows, bad rows) of all files of an inventory, in one scan per header layout.
+) -> DataFrame:
+    """All rows of all files of an inventory, in one scan per header layout: cells, ``file_path`` and BAD.
 
     Columns are matched by header name; columns that a file lacks are NULL, columns outside ``schema`` are
-    dropped (all are kept without a schema). Rows with a wrong number of cells are bad rows, unless
-    ``tolerant``. Files stay splittable, so one very large file is read by many tasks. ``heads`` are the
-    header lines of the files where the caller has read them already.
+    dropped (all are kept without a schema). BAD is the text of rows with a wrong number of cells. Files
+    stay splittable, so one very large file is read by many tasks. ``heads`` are the header lines of the
+    files where the caller has read them already.
     """
     if heads is None:
         heads = header_lines(inventory)
-    layouts = header_columns(heads, sep).groupBy("columns").agg(F.collect_list("path").alias("paths")).collect()
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for row in header_columns(heads, sep).toLocalIterator():  # a path per file, as Spark's own file index holds them
+        layouts.setdefault(tuple(row["columns"]), []).append(row["path"])
     wanted = [f.name for f in schema.fields] if schema is not None else None
-    good, bad = [], []
-    for layout in layouts:
-        rows = _read_layout(spark, [unquote(p) for p in layout["paths"]], layout["columns"], sep)
-        read = _first_cell_read(layout["columns"])
-        upper = {c.upper(): c for c in layout["columns"]}
-        names = wanted or layout["columns"]
+    scans = []
+    for header, paths in layouts.items():
+        columns = distinct_names(header)
+        rows = _read_layout(spark, sorted(paths), columns, sep)
+        upper = {c.upper(): c for c in columns}
         cells = [
             F.when(~F.col(f"`{upper[n.upper()]}`").isin(*null_tokens), F.col(f"`{upper[n.upper()]}`")).alias(n)
             if n.upper() in upper else F.lit(None).cast("string").alias(n)
-            for n in names
+            for n in wanted or columns
         ]
-        accepted = rows if tolerant else rows.filter(F.col(BAD).isNull() & read)
-        good.append(accepted.select(*cells, "file_path"))
-        bad.append(rows.filter(F.col(BAD).isNotNull() & read).select("file_path", F.col(BAD).alias("line")))
-    if not good:
-        names = wanted or []
-        empty = T.StructType([T.StructField(n, T.StringType()) for n in [*names, "file_path"]])
-        return spark.createDataFrame([], empty), spark.createDataFrame([], "file_path string, line string")
-    return (
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), good),
-        reduce(lambda a, b: a.unionByName(b), bad),
-    )
+        scans.append(rows.filter(_first_cell_read(columns)).select(*cells, "file_path", BAD))
+    if not scans:
+        names = [*(wanted or []), "file_path", BAD]
+        return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def with_file_name(df: DataFrame) -> DataFrame:
-    return df.withColumn("file_name", F.regexp_extract("file_path", r"([^/]+)$", 1))
+def scan_delimited(
+    spark: SparkSession,
+    inventory: DataFrame,
+    schema: T.StructType | None = None,
+    *,
+    sep: str = "|",
+    null_tokens: tuple[str, ...] = NULL_TOKENS,
+    tolerant: bool = False,
+    heads: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad rows) of ``scan_rows``: rows with a wrong number of cells are bad rows, unless ``tolerant``."""
+    rows = scan_rows(spark, inventory, schema, sep=sep, null_tokens=null_tokens, heads=heads)
+    good = rows if tolerant else rows.filter(F.col(BAD).isNull())
+    return good.drop(BAD), rows.filter(F.col(BAD).isNotNull()).select("file_path", F.col(BAD).alias("line"))
 
 
 def empty_file_report(inventory: DataFrame, rows: DataFrame, reports: DataFrame) -> DataFrame:
     """Per file: number of rows and a message for files without rows or with a wrong header."""
-    counted = with_file_name(rows).groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
+    counted = rows.groupBy(F.col("file_path").alias("path")).agg(F.count(F.lit(1)).alias("row_count"))
     joined = (
-        inventory.select("batch", "file_name").join(counted, "file_name", "left").fillna(0, ["row_count"])
-        .join(reports.select("file_name", "is_valid"), "file_name", "left")
+        inventory.select("path", "batch", "file_name").join(counted, "path", "left").fillna(0, ["row_count"])
+        .join(reports.select("path", "is_valid"), "path", "left").drop("path")
     )
     message = F.when(~F.col("is_valid"), "schema mismatched").when(F.col("row_count") == 0, "no records found")
     return joined.withColumn("message", message)

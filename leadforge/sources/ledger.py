@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LEDGER_SCHEMA = "batch string, file_name string, row_count bigint, loaded_on date"
+LEDGER_SCHEMA = "batch string, folder string, file_name string, row_count bigint, loaded_on date"
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:
@@ -25,13 +25,19 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LEDGER_SCHEMA).parquet(path) if exists(spark, path) else empty_ledger(spark)
 
 
+def _names(files: DataFrame) -> DataFrame:
+    """Folder and name of each file, and its batch; entries without a folder are known by their batch."""
+    folder = F.coalesce("folder", "batch") if "folder" in files.columns else F.col("batch")
+    return files.select("batch", folder.alias("folder"), "file_name").distinct()
+
+
 def unprocessed(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
-    return inventory.join(ledger.select("batch", "file_name").distinct(), ["batch", "file_name"], "left_anti")
+    return inventory.join(_names(ledger).drop("batch"), ["folder", "file_name"], "left_anti")
 
 
 def ledger_rows(loaded: DataFrame, as_of: dt.date) -> DataFrame:
-    """Ledger entries of loaded files (batch, file_name, row_count)."""
-    return loaded.select("batch", "file_name", F.col("row_count").cast("bigint").alias("row_count"), F.lit(as_of).alias("loaded_on"))
+    """Ledger entries of loaded files (batch, folder, file_name, row_count)."""
+    return loaded.select("batch", "folder", "file_name", F.col("row_count").cast("bigint").alias("row_count"), F.lit(as_of).alias("loaded_on"))
 
 
 def reset_batch(ledger: DataFrame, batch: str) -> DataFrame:
@@ -40,9 +46,9 @@ def reset_batch(ledger: DataFrame, batch: str) -> DataFrame:
 
 def batch_status(inventory: DataFrame, ledger: DataFrame) -> DataFrame:
     """Success when the listed files are exactly the loaded ones, per batch."""
-    listed = inventory.select("batch", "file_name").distinct().withColumn("listed", F.lit(1))
-    loaded = ledger.select("batch", "file_name").distinct().withColumn("loaded", F.lit(1))
-    both = listed.join(loaded, ["batch", "file_name"], "full").fillna(0, ["listed", "loaded"])
+    listed = _names(inventory).withColumn("listed", F.lit(1))
+    loaded = _names(ledger).withColumn("loaded", F.lit(1))
+    both = listed.join(loaded, ["batch", "folder", "file_name"], "full").fillna(0, ["listed", "loaded"])
     return both.groupBy("batch").agg(
         F.sum("listed").alias("files_listed"),
         F.sum("loaded").alias("files_loaded"),

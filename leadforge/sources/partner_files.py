@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadforge.sources.files import header_lines
+from leadforge.sources.files import decoded, distinct_names, header_lines, literal
 
 # Header spellings that partners use.
 HEADER_ALIASES = {
@@ -43,14 +42,13 @@ def detect_encodings(spark: SparkSession, inventory: DataFrame) -> DataFrame:
     latin1, which reads all bytes. Lines are checked where they lie, so large files are split over tasks.
     """
     heads = header_lines(inventory)
-    paths = [unquote(r["path"]) for r in inventory.select("path").distinct().collect()]
+    paths = [literal(r["path"]) for r in inventory.select("path").distinct().toLocalIterator()]
     checked = (
-        spark.read.text(paths)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
+        spark.read.schema("value string").text(paths)
+        .groupBy(decoded(F.col("_metadata.file_path")).alias("path"))
         .agg(F.bool_and(F.expr("is_valid_utf8(value)")).alias("clean"))
     )
-    name = F.regexp_replace("path", "^file:/+", "/")
-    judged = heads.withColumn("key", name).join(checked.select(name.alias("key"), "clean"), "key", "left")
+    judged = heads.join(checked, "path", "left")
     plain = F.when(F.coalesce("clean", F.lit(True)), "UTF-8").otherwise("ISO-8859-1")
     return judged.select("path", F.coalesce("marker", plain).alias("encoding"), "header")
 
@@ -62,23 +60,23 @@ def scan_partner_csv(spark: SparkSession, inventory: DataFrame) -> DataFrame:
     its phone instead. FILENAME, FILE_OFFSET and ROW_SEQ give the place of a row: the file, the split
     inside it and the row inside the split.
     """
-    layouts = (
-        detect_encodings(spark, inventory).groupBy("encoding", "header").agg(F.collect_list("path").alias("paths")).collect()
-    )
+    layouts: dict[tuple[str, str], list[str]] = {}
+    for row in detect_encodings(spark, inventory).toLocalIterator():
+        layouts.setdefault((row["encoding"], row["header"]), []).append(row["path"])
     frames = []
-    for layout in layouts:
-        names = [standard_name(n.strip().strip('"')) for n in layout["header"].split(",")]
-        wide = layout["encoding"].startswith("UTF-16")
+    for (encoding, header), paths in layouts.items():
+        names = distinct_names(standard_name(n.strip().strip('"')) for n in header.split(","))
+        wide = encoding.startswith("UTF-16")
         reader = spark.read.schema(", ".join(f"`{n}` string" for n in names)).options(
-            header=True, sep=",", encoding=layout["encoding"], multiLine=wide, enforceSchema=True
+            header=True, sep=",", encoding=encoding, multiLine=wide, enforceSchema=True
         )
-        rows = reader.csv([unquote(p) for p in layout["paths"]])
+        rows = reader.csv([literal(p) for p in sorted(paths)])
         stand_in = [F.trim(F.col("PHONE")).alias("HASHED_PHONE")] if "PHONE" in names and "HASHED_PHONE" not in names else []
         frames.append(
             rows.select(
                 *[F.trim(F.col(f"`{n}`")).alias(n) for n in names],
                 *stand_in,
-                F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("FILENAME"),
+                F.regexp_extract(decoded(F.col("_metadata.file_path")), r"([^/]+)$", 1).alias("FILENAME"),
                 F.col("_metadata.file_block_start").alias("FILE_OFFSET"),
                 F.monotonically_increasing_id().alias("ROW_SEQ"),
             )

@@ -5,14 +5,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leadforge.functions.text import null_tokens
-from leadforge.operators.cleaning import clean_bureau_table
-from leadforge.sources.files import NULL_TOKENS
-from leadforge.sources.schemas import BUREAUS
-from leadforge.sources.sinks import overwrite_partitions, with_audit
+from leadforge.plans.bureau import load_table
+from leadforge.session import durable
+from leadforge.sources.files import listing
+
+# What a stream of files carries; the content itself is never read through it.
+FILES = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def incremental_ingest(
@@ -27,24 +27,20 @@ def incremental_ingest(
     *,
     sep: str = "|",
 ) -> StreamingQuery:
-    """Load the files that arrived since the last run, then stop.
+    """Load the files that arrived since the last run into ``target``/``table``, then stop.
 
-    The stream's checkpoint replaces a ledger of finished files. Each micro-batch replaces the partitions
-    of its own files, so one that is repeated after a failure leaves the same rows.
+    The stream carries the names of new files; each micro-batch loads its files as a batch does, bound by header, bad
+    rows stored apart. The stream's checkpoint replaces a ledger of finished files. A micro-batch that is repeated after a
+    failure replaces the partitions of its own files.
     """
-    schema = BUREAUS[bureau][table]
-    arriving = spark.readStream.schema(schema).options(header=True, sep=sep, quote='"', recursiveFileLookup=True).csv(folder)
-    cells = arriving.select(
-        *[null_tokens(F.col(f.name), NULL_TOKENS).alias(f.name) for f in schema.fields],
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("file_name"),
-    )
+    arriving = spark.readStream.format("binaryFile").schema(FILES).option("recursiveFileLookup", True).load(folder)
 
     def load(micro_batch: DataFrame, _: int) -> None:
-        cleaned = with_audit(clean_bureau_table(micro_batch, table, bureau), batch_no, as_of)
-        overwrite_partitions(cleaned, target, ("batch_no", "file_name"))
+        files = durable(listing(micro_batch, folder))
+        load_table(micro_batch.sparkSession, files, target, table, bureau, batch_no, as_of, sep=sep)
 
     return (
-        cells.writeStream.foreachBatch(load)
+        arriving.select("path", "length").writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

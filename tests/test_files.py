@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from leadforge.operators.leads import mark_duplicates
 from leadforge.plans import bureau as PB
 from leadforge.plans import lenders as PL
@@ -132,6 +134,49 @@ def test_a_second_delivery_completes_the_export(spark, tmp_path):
     assert {r["CUSTOMER_ID"] for r in sent.collect()} == {"PRFRC1", "PRFRC2", "PRFRC3"}
 
 
+def test_odd_names_orders_and_ragged_rows(spark, tmp_path):
+    """One name in two folders, blanks, percent signs and wildcards in names, another column order, a repeated column."""
+    put(tmp_path / "in" / "007" / "enq [1]+%20 é.txt", HEADER + "C1|13|01/01/2001|NBF|5\nC2|13\n")
+    put(tmp_path / "in" / "day 2" / "enq [1]+%20 é.txt", "INQ_PURP_CD|CUSTOMER_ID|AMOUNT|M_SUB_ID|INQ_DATE\n13|C3|5|NBF|01/01/2001\n")
+    put(tmp_path / "in" / "day 2" / "enq_twice.txt", "CUSTOMER_ID|INQ_PURP_CD|AMOUNT|AMOUNT\nC4|13|1|2\n")
+    put(tmp_path / "in" / "day 2" / "enq_ragged.txt", HEADER + "C5\n")
+    inventory, results = _load(spark, tmp_path)
+    got = {(r["folder"], r["file_name"]): (r["original_count"], r["bad_count"], r["final_count"], r["status"]) for r in results.collect()}
+    odd = "enq [1]+%20 é.txt"
+    assert got == {("007", odd): (2, 1, 1, "Processed"), ("day 2", odd): (1, 0, 1, "Processed"),
+                   ("day 2", "enq_twice.txt"): (1, 0, 1, "Processed"), ("day 2", "enq_ragged.txt"): (1, 1, 0, "Failed")}
+    stored = PB.stored_rows(spark, str(tmp_path / "tables"), "ENQ")
+    assert {(r["CUSTOMER_ID"], r["folder"], r["INQ_PURP_CD"]) for r in stored.collect()} == {("C1", "007", "13"), ("C3", "day 2", "13"), ("C4", "day 2", "13")}
+    bad = PB.stored_rows(spark, str(tmp_path / "tables"), PB.BAD_ROWS).collect()
+    assert {(r["folder"], r["file_name"], r["line"]) for r in bad} == {("007", odd, "C2|13"), ("day 2", "enq_ragged.txt", "C5")}
+    report = SF.header_report(SF.header_columns(SF.header_lines(inventory)), SC.EXPERIAN["ENQ"])
+    assert {r["file_name"] for r in report.filter("not is_valid").collect()} == {"enq_twice.txt"}
+    target, checkpoint = str(tmp_path / "streamed"), str(tmp_path / "checkpoint")
+    incremental_ingest(spark, str(tmp_path / "in"), target, checkpoint, "ENQ", "experian", "batch_1", AS_OF).awaitTermination()
+    streamed = PB.stored_rows(spark, target, "ENQ")
+    assert sorted(map(str, streamed.collect())) == sorted(map(str, stored.select(*streamed.columns).collect()))
+    assert PB.stored_rows(spark, target, PB.BAD_ROWS).count() == 2
+
+
+def test_a_run_cut_short_is_run_again(spark, tmp_path, monkeypatch):
+    _bureau(tmp_path)
+    with monkeypatch.context() as broken:
+        broken.setattr(LG, "ledger_rows", lambda *_: (_ for _ in ()).throw(RuntimeError("cut short")))
+        with pytest.raises(RuntimeError):
+            _load(spark, tmp_path)
+    assert LG.read_ledger(spark, str(tmp_path / "ledger")).count() == 0
+    _, results = _load(spark, tmp_path)
+    assert results.count() == 3 and PB.stored_rows(spark, str(tmp_path / "tables"), "ENQ").count() == 3
+    sent = spark.read.options(header=True, sep="|").csv(str(tmp_path / "lender" / "batch_1" / "enq"))
+    assert sent.count() == 3
+
+
+def test_partner_files_with_odd_names(spark, tmp_path):
+    put(tmp_path / "up load" / "a+b [x] 100%.csv", "PId,phone,phone\nP1,911,912\n")
+    rows = PF.scan_partner_csv(spark, SF.file_inventory(spark, str(tmp_path))).collect()
+    assert [(r["PARTNER_REFERENCE_ID"], r["PHONE"], r["FILENAME"]) for r in rows] == [("P1", "911", "a+b [x] 100%.csv")]
+
+
 def test_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
     _bureau(tmp_path)
     source = tmp_path / "stream"
@@ -139,7 +184,7 @@ def test_stream_equals_batch_and_repeats_nothing(spark, tmp_path):
 
     def run():
         incremental_ingest(spark, str(source), target, checkpoint, "ENQ", "experian", "batch_1", AS_OF).awaitTermination()
-        return sorted(map(str, spark.read.parquet(target).select("CUSTOMER_ID", "INQ_DATE", "AMOUNT", "file_name").collect()))
+        return sorted(map(str, PB.stored_rows(spark, target, "ENQ").select("CUSTOMER_ID", "INQ_DATE", "AMOUNT", "file_name").collect()))
 
     for name in ("enq_1.txt", "enq_2.txt"):
         put(source / name, (tmp_path / "in" / "batch_1" / name).read_text())
