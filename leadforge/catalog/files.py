@@ -247,10 +247,10 @@ _register(
 
 
 def _empty_report(v: Views):
-    """Every file of two tables, and the rows of one of them after a filter that empties some files."""
+    """Every file of two tables, scanned by the layout of one of them."""
     root, inventory = _written(v, "empty", batch_1__enq=_enq(v), batch_1__score=_score(v))
     headers = SF.header_columns(SF.header_lines(inventory))
-    rows, _ = SF.scan_delimited(v.spark, inventory.filter(F.col("file_name").startswith("enq")), SC.EXPERIAN["ENQ"])
+    rows, _ = SF.scan_delimited(v.spark, inventory, SC.EXPERIAN["ENQ"])
     report = SF.empty_file_report(inventory, rows, SF.header_report(headers, SC.EXPERIAN["ENQ"]))
     return report.groupBy("batch", _stem(), "message").agg(
         F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("row_count"))
@@ -259,7 +259,7 @@ def _empty_report(v: Views):
 _register(
     "empty_file_report", _empty_report,
     f"""select 'batch_1' as batch, 'enq' as stem, cast(null as varchar) as message, cast({PARTS} as bigint) as files, count(*) as row_count from enquiries
- union all select 'batch_1', 'score', 'schema mismatched', cast({PARTS} as bigint), cast(0 as bigint) from (select count(*) from scores)""",
+ union all select 'batch_1', 'score', 'schema mismatched', cast({PARTS} as bigint), count(*) from scores""",
     "enquiries", "scores",
 )
 
@@ -325,74 +325,106 @@ _register(
 # -- pipelines ---------------------------------------------------------------------------------------
 
 
-def _bureau_root(v: Views):
-    phones = v.phones.select(F.col("customer_id").alias("CUSTOMER_ID"), F.col("phone").alias("PHONE"), F.date_format("date_reported", "dd/MM/yyyy").alias("DATE_REPORTED"))
-    return _written(v, "bureau", batch_1__enq=_enq(v), batch_1__score=_score(v), batch_1__phone=phones, batch_1__other=_score(v))
+def _phones(v: Views, condition: str = "true") -> DataFrame:
+    return v.phones.filter(condition).select(
+        F.col("customer_id").alias("CUSTOMER_ID"), F.col("phone").alias("PHONE"), F.date_format("date_reported", "dd/MM/yyyy").alias("DATE_REPORTED"))
 
 
-def _ingested(v: Views):
-    _, inventory = _bureau_root(v)
-    base = scratch_path(v.spark, "warehouse")
-    arguments = (v.spark, inventory, f"{base}/ledger", f"{base}/tables", "batch_1", "experian", AS_OF)
-    results = PB.bureau_ingest(*arguments, lender="prefr", lender_target=f"{base}/lender")
-    return base, inventory, durable(results), arguments
+LATE_HEADER = "INQ_PURP_CD|CUSTOMER_ID|AMOUNT|M_SUB_ID|INQ_DATE"
+
 
+def _late_lines(v: Views) -> DataFrame:
+    """Lines of a later delivery: another column order, and a row of two cells for every score."""
+    cells = [F.coalesce(c, F.lit("")) for c in LATE_HEADER.split("|")]
+    good = _enq(v, "batch_no <> 'batch_1'").select(F.concat_ws("|", *cells).alias(LATE_HEADER))
+    return good.unionByName(v.scores.select(F.concat("customer_id", F.lit("|13")).alias(LATE_HEADER)))
 
-def _bureau_ingest(v: Views):
-    """Rows stored after two runs; the second run finds nothing new."""
-    base, _, _, arguments = _ingested(v)
-    PB.bureau_ingest(*arguments)
-    return v.spark.read.parquet(f"{base}/tables/enq").select("CUSTOMER_ID", "INQ_PURP_CD", "INQ_DATE", "M_SUB_ID", "AMOUNT", "batch_no", "created_at")
 
+def _deliveries(v: Views) -> tuple[str, list[DataFrame]]:
+    """Two deliveries of bureau files: the listing after the first, and after the second.
 
+    The second brings files of the same names in another folder, and a folder and names with blanks.
+    """
+    root = scratch_path(v.spark, "bureau")
+    early, late = "customer_id < 'C5'", "not customer_id < 'C5'"
+    for stem, frame in (("enq", _enq(v, "batch_no = 'batch_1'")), ("score", _score(v)), ("phone", _phones(v, early)), ("other", _score(v))):
+        write_named(frame, f"{root}/batch_1", stem)
+    first = durable(SF.file_inventory(v.spark, root))
+    write_named(_late_lines(v), f"{root}/second delivery", "enq of today", sep="\t", quote="")
+    write_named(_phones(v, late), f"{root}/second delivery", "phone")
+    return root, [first, SF.file_inventory(v.spark, root)]
+
+
+def _ingested(v: Views):
+    """Both deliveries loaded, each with the lender's export; a third run finds nothing new."""
+    _, listings = _deliveries(v)
+    base = scratch_path(v.spark, "warehouse")
+    results = [
+        PB.bureau_ingest(v.spark, files, f"{base}/ledger", f"{base}/tables", "batch_1", "experian", AS_OF, lender="prefr", lender_target=f"{base}/lender")
+        for files in (*listings, listings[-1])
+    ]
+    return base, listings[-1], durable(reduce(lambda a, b: a.unionByName(b), results))
+
+
+STORED_ENQ = ("CUSTOMER_ID", "INQ_PURP_CD", "INQ_DATE", "M_SUB_ID", "AMOUNT")
+STORED_ENQ_SQL = f"select customer_id as CUSTOMER_ID, inq_purp_cd as INQ_PURP_CD, {day('inq_date')} as INQ_DATE, m_sub_id as M_SUB_ID, {dbl('amount')} as AMOUNT"
 _register(
-    "bureau_ingest", _bureau_ingest,
-    f"""select customer_id as CUSTOMER_ID, inq_purp_cd as INQ_PURP_CD, {day('inq_date')} as INQ_DATE, m_sub_id as M_SUB_ID, {dbl('amount')} as AMOUNT, 'batch_1' as batch_no, '2002-01-01' as created_at from enquiries""",
-    "enquiries",
+    "bureau_ingest",
+    lambda v: PB.stored_rows(v.spark, f"{_ingested(v)[0]}/tables", "ENQ").select(*STORED_ENQ, "batch_no", "created_at"),
+    STORED_ENQ_SQL + ", 'batch_1' as batch_no, '2002-01-01' as created_at from enquiries", "enquiries",
 )
 
 
 def _ingest_report(v: Views):
-    _, _, results, _ = _ingested(v)
-    return results.groupBy("batch", _stem(), "status").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("original_count").alias("original_count"), F.sum("final_count").alias("final_count"))
+    return _ingested(v)[2].groupBy("batch", _stem(), "status").agg(
+        F.count(F.lit(1)).alias("files"), *[F.sum(c).alias(c) for c in ("original_count", "bad_count", "final_count")])
 
 
 _register(
     "bureau_ingest_report", _ingest_report,
-    f"""select 'batch_1' as batch, stem, 'Processed' as status, cast({PARTS} as bigint) as files, n as original_count, n as final_count from (
- select 'enq' as stem, count(*) as n from enquiries union all select 'score', count(*) from scores union all select 'phone', count(*) from phones)""",
+    f"""select batch, stem, 'Processed' as status, cast({PARTS} as bigint) as files, cast(n + bad as bigint) as original_count, cast(bad as bigint) as bad_count, cast(n as bigint) as final_count from (
+ select 'batch_1' as batch, 'enq' as stem, count(*) as n, 0 as bad from enquiries where batch_no = 'batch_1'
+ union all select 'second delivery', 'enq of today', count(*), (select count(*) from scores) from enquiries where batch_no <> 'batch_1'
+ union all select 'batch_1', 'score', count(*), 0 from scores
+ union all select 'batch_1', 'phone', count(*), 0 from phones where customer_id < 'C5'
+ union all select 'second delivery', 'phone', count(*), 0 from phones where not customer_id < 'C5')""",
     "enquiries", "scores", "phones",
 )
 
 
 def _ledger(v: Views):
-    base, inventory, _, _ = _ingested(v)
+    base, inventory, _ = _ingested(v)
     ledger = LG.read_ledger(v.spark, f"{base}/ledger")
     left = LG.unprocessed(inventory, ledger).groupBy("batch").agg(F.count(F.lit(1)).alias("files_left"))
-    return LG.batch_status(inventory, ledger).join(left, "batch", "left")
+    return LG.batch_status(inventory, ledger).join(left, "batch", "left").fillna(0, ["files_left"])
 
 
 _register(
     "processed_file_ledger", _ledger,
-    f"""select 'batch_1' as batch, cast({4 * PARTS} as bigint) as files_listed, cast({3 * PARTS} as bigint) as files_loaded, cast({PARTS} as bigint) as files_left, 'failed' as final_status from (select count(*) from scores)""",
+    f"""select batch, cast((loaded + other) * {PARTS} as bigint) as files_listed, cast(loaded * {PARTS} as bigint) as files_loaded, cast(other * {PARTS} as bigint) as files_left,
+ case when other > 0 then 'failed' else 'success' end as final_status
+ from (select 'batch_1' as batch, 3 as loaded, 1 as other, count(*) as n from scores union all select 'second delivery', 2, 0, count(*) from scores)""",
     "scores",
 )
 
 
 def _incremental(v: Views):
-    """Two arrivals of files, loaded by two runs of the stream."""
+    """Two deliveries of files, loaded by two runs of the stream; the second binds another column order."""
     base = scratch_path(v.spark, "stream")
-    folder, target, checkpoint = f"{base}/in", f"{base}/table", f"{base}/checkpoint"
-    for run, condition in enumerate(("batch_no = 'batch_1'", "batch_no = 'batch_2'")):
-        write_named(_enq(v, condition), f"{folder}/run_{run}", f"enq_{run}")
+    folder, target, checkpoint = f"{base}/in", f"{base}/tables", f"{base}/checkpoint"
+    for run, (frame, options) in enumerate(((_enq(v, "batch_no = 'batch_1'"), {}), (_late_lines(v), {"sep": "\t", "quote": ""}))):
+        write_named(frame, f"{folder}/run {run}", "enq", **options)
         incremental_ingest(v.spark, folder, target, checkpoint, "ENQ", "experian", "batch_1", AS_OF).awaitTermination()
-    return v.spark.read.parquet(target).select("CUSTOMER_ID", "INQ_PURP_CD", "INQ_DATE", "M_SUB_ID", "AMOUNT")
+    rows = PB.stored_rows(v.spark, target, "ENQ").select("folder", *STORED_ENQ)
+    bad = PB.stored_rows(v.spark, target, PB.BAD_ROWS).select("folder", F.split_part("line", F.lit("|"), F.lit(1)).alias("CUSTOMER_ID"))
+    return rows.unionByName(bad, allowMissingColumns=True)
 
 
 _register(
     "incremental_file_ingest", _incremental,
-    f"select customer_id as CUSTOMER_ID, inq_purp_cd as INQ_PURP_CD, {day('inq_date')} as INQ_DATE, m_sub_id as M_SUB_ID, {dbl('amount')} as AMOUNT from enquiries", "enquiries",
+    STORED_ENQ_SQL + """, case when batch_no = 'batch_1' then 'run 0' else 'run 1' end as folder from enquiries
+ union all select customer_id, null, null, null, null, 'run 1' from scores""",
+    "enquiries", "scores",
 )
 
 
@@ -421,14 +453,9 @@ _register(
 
 
 def _lender_export(v: Views):
-    """Shortlisted rows of every score file, in the record layout."""
-    _, inventory = _lender_root(v)
-    records = []
-    for index in range(PARTS):
-        chosen = inventory.filter(F.col("file_name") == f"score_{index}.txt")
-        exported = PL.lender_export(v.spark, chosen, ["batch_1", "batch_2"], PREFR_CRITERIA, "prefr", "experian", "lender_batch_1", AS_OF)
-        records.append(exported[1])
-    return reduce(lambda a, b: a.unionByName(b), records)
+    """Shortlisted rows of all score files of two batches, in the record layout."""
+    inventory = _lender_root(v)[1]
+    return PL.lender_export(v.spark, inventory, ["batch_1", "batch_2"], PREFR_CRITERIA, "prefr", "experian", "lender_batch_1", AS_OF)[1]
 
 
 _register(
