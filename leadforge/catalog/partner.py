@@ -98,12 +98,12 @@ _register(
 
 
 def _partners(v: Views):
-    """Partner master derived from the leads; one partner is left out on purpose."""
-    names = v.partners_raw.select("partner_name").filter("partner_name <> 'gamma'").distinct()
+    """Partner master derived from the leads; one partner stands there under a name that no lead has."""
+    names = v.partners_raw.selectExpr("replace(partner_name, 'gamma', 'gamma inc') as partner_name").distinct()
     return names.selectExpr("partner_name", "'id-' || partner_name as partner_id")
 
 
-PARTNERS_SQL = "partners as (select distinct partner_name, 'id-' || partner_name as partner_id from partners_raw where partner_name <> 'gamma')"
+PARTNERS_SQL = "partners as (select distinct replace(partner_name, 'gamma', 'gamma inc') as partner_name, 'id-' || replace(partner_name, 'gamma', 'gamma inc') as partner_id from partners_raw)"
 _register(
     "partner_lookup",
     lambda v: L.lookup_partner(v.partners_raw, _partners(v)).select("partner_reference_id", "partner_name", "partner_id"),
@@ -182,11 +182,9 @@ def _log(sql):
 _register(
     "next_partner_batch",
     lambda v: L.next_partner_batch(_log(LOG_SQL)(v), AS_OF),
-    f"""with log as ({LOG_SQL.format(orders='orders')}), parsed as (select line_no, trim(regexp_extract(value, '(?i)partner:\\s*([^,]+),\\s*batch(?: no)?:\\s*(\\d+),\\s*date:\\s*(.+)', 1)) as partner_name,
- regexp_extract(value, '(?i)partner:\\s*([^,]+),\\s*batch(?: no)?:\\s*(\\d+),\\s*date:\\s*(.+)', 2) as batch,
- regexp_extract(value, '(?i)partner:\\s*([^,]+),\\s*batch(?: no)?:\\s*(\\d+),\\s*date:\\s*(.+)', 3) as day from log where value ilike '%partner:%')
- select partner_name, cast(batch as bigint) + case when day[1:10] = '2002-01-01' then 0 else 1 end as next_batch
- from (select *, row_number() over (partition by partner_name order by line_no desc, cast(batch as int) desc, day desc) as rn from parsed) where rn = 1""",
+    """with lines as (select o_orderpriority as partner_name, o_orderkey % 7 + 1 as batch, row_number() over (partition by o_orderpriority order by o_orderkey desc) as age,
+ o_orderkey % 9 = 0 or cast(o_orderdate as date) = date '2002-01-01' as today from orders where o_orderkey % 5 <> 0)
+ select partner_name, cast(case when today then batch else batch + 1 end as bigint) as next_batch from lines where age = 1""",
 )
 _register(
     "next_scrub_batch",

@@ -144,11 +144,15 @@ def _summary(v: Views, bureau: str):
 
 def _summary_sql(bureau: str) -> str:
     table, responses, column = {"equifax": ("equifax_exchange", "equifax_ar", "reference_no"), "experian": ("experian_exchange", "experian_ar", "customer_id")}[bureau]
-    return f"""summary as (select p.partner_name, p.batch_no, max(r.created_at) as received_date, count(distinct p.lead_id) as total_records, count(distinct b.lead_id) as sent_count,
- count(distinct a.{column}) as response_count, max(b.scrub_batch_no) as scrub_batch_no, count(distinct x.lead_id) as sent_to_experian_count, count(distinct xa.customer_id) as experian_response_count
- from partners_processed p join (select partner_reference_id, max(created_at) as created_at from partners_raw group by 1) r on r.partner_reference_id = p.partner_reference_id
- left join {table} b on b.lead_id = p.lead_id left join (select distinct {column} from {responses}) a on a.{column} = b.bureau_id
- left join experian_exchange x on x.lead_id = p.lead_id left join (select distinct customer_id from experian_ar) xa on xa.customer_id = x.bureau_id group by 1, 2)"""
+    return f"""arrived as (select partner_reference_id, max(created_at) as arrived_on from partners_raw group by 1),
+known as (select partner_name, batch_no, lead_id, max(arrived_on) as arrived_on from partners_processed join arrived using (partner_reference_id) group by 1, 2, 3),
+own as (select partner_name, batch_no, count(distinct lead_id) as sent_count, count(distinct case when answered then bureau_id end) as response_count, max(scrub_batch_no) as scrub_batch_no
+ from known join (select lead_id, bureau_id, scrub_batch_no from {table}) using (lead_id) left join (select distinct {column} as bureau_id, true as answered from {responses}) using (bureau_id) group by 1, 2),
+second as (select partner_name, batch_no, count(distinct lead_id) as sent_to_experian_count, count(distinct case when answered then bureau_id end) as experian_response_count
+ from known join (select lead_id, bureau_id from experian_exchange) using (lead_id) left join (select distinct customer_id as bureau_id, true as answered from experian_ar) using (bureau_id) group by 1, 2),
+whole as (select partner_name, batch_no, max(arrived_on) as received_date, count(distinct lead_id) as total_records from known group by 1, 2),
+summary as (select * replace (coalesce(sent_count, 0) as sent_count, coalesce(response_count, 0) as response_count, coalesce(sent_to_experian_count, 0) as sent_to_experian_count,
+ coalesce(experian_response_count, 0) as experian_response_count) from whole left join own using (partner_name, batch_no) left join second using (partner_name, batch_no))"""
 
 
 SUMMARY_VIEWS = ("partners_processed", "partners_raw", "equifax_exchange", "equifax_ar", "experian_exchange", "experian_ar")
@@ -164,16 +168,21 @@ _register(
 _register(
     "pending_summary",
     lambda v: S.pending_summary(v.partners_processed, v.partners_raw, v.equifax_exchange, AS_OF),
-    f"""select p.partner_name, p.batch_no, {day('max(r.created_at)')} as received_date, count(distinct p.lead_id) as pending_records, max(b.scrub_batch_no) as last_scrub_batch
- from partners_processed p join partners_raw r on r.partner_reference_id = p.partner_reference_id left join equifax_exchange b on b.lead_id = p.lead_id
- where p.sent_to_scrub = false or p.scrub_date < date '2002-01-01' - 90 group by 1, 2 having count(distinct p.lead_id) > 0""",
+    f"""with arrived as (select partner_reference_id, max(created_at) as arrived_on from partners_raw group by 1),
+ last_batch as (select lead_id, max(scrub_batch_no) as scrub_batch_no from equifax_exchange group by 1),
+ waiting as (select partner_name, batch_no, lead_id, partner_reference_id from partners_processed where not sent_to_scrub or scrub_date < date '2002-01-01' - 90)
+ select partner_name, batch_no, {day('max(arrived_on)')} as received_date, count(distinct lead_id) as pending_records, max(scrub_batch_no) as last_scrub_batch
+ from waiting join arrived using (partner_reference_id) left join last_batch using (lead_id) group by 1, 2 having count(lead_id) > 0""",
     "partners_processed", "partners_raw", "equifax_exchange",
 )
-MONITOR = """monitor as (select e.scrub_batch_no, max(e.scrub_date) as scrub_date, max(a.created_at) as equifax_response_date, count(distinct e.lead_id) as sent_to_equifax,
- count(distinct a.reference_no) as equifax_hits, count(distinct e.lead_id) - count(distinct a.reference_no) as no_hits,
- count(distinct case when try_cast(a.score as double) >= 600 then e.lead_id end) as score_gte_input, count(distinct x.lead_id) as sent_to_experian, count(distinct xa.customer_id) as experian_response
- from equifax_exchange e left join equifax_ar a on a.reference_no = e.bureau_id left join experian_exchange x on x.lead_id = e.lead_id
- left join (select distinct customer_id from experian_ar) xa on xa.customer_id = x.bureau_id where e.scrub_date >= date '2002-01-01' - 60 group by 1)"""
+MONITOR = """recent as (select scrub_batch_no, scrub_date, lead_id, bureau_id from equifax_exchange where scrub_date >= date '2002-01-01' - 60),
+answers as (select reference_no as bureau_id, true as hit, max(created_at) as answered_on, max(try_cast(score as double)) as best from equifax_ar group by 1),
+first as (select scrub_batch_no, max(scrub_date) as scrub_date, max(answered_on) as equifax_response_date, count(distinct lead_id) as sent_to_equifax,
+ count(distinct case when hit then bureau_id end) as equifax_hits, count(distinct case when best >= 600 then lead_id end) as score_gte_input from recent left join answers using (bureau_id) group by 1),
+second as (select scrub_batch_no, count(distinct lead_id) as sent_to_experian, count(distinct case when heard then second_id end) as experian_response
+ from recent join (select lead_id, bureau_id as second_id from experian_exchange) using (lead_id) left join (select distinct customer_id as second_id, true as heard from experian_ar) using (second_id) group by 1),
+monitor as (select * replace (coalesce(sent_to_experian, 0) as sent_to_experian, coalesce(experian_response, 0) as experian_response), sent_to_equifax - equifax_hits as no_hits
+ from first left join second using (scrub_batch_no))"""
 MONITOR_VIEWS = ("equifax_exchange", "equifax_ar", "experian_exchange", "experian_ar")
 MONITOR_COLUMNS = f"scrub_batch_no, {day('scrub_date')} as scrub_date, {day('equifax_response_date')} as equifax_response_date, sent_to_equifax, equifax_hits, no_hits, score_gte_input, sent_to_experian, experian_response"
 
@@ -209,7 +218,7 @@ _register(
 
 
 def _scrub_status(v: Views):
-    counts = S.response_counts(v.equifax_ar.filter("batch_no <> 'batch_3'"))
+    counts = S.response_counts(v.equifax_ar.withColumn("batch_no", F.replace("batch_no", F.lit("batch_3"), F.lit("batch_30"))))
     joined = _monitor(v).join(counts, "scrub_batch_no", "left")
     answered = F.coalesce(F.col("record_count"), F.lit(0)) > 0
     status = ST.scrub_batch_status(answered, F.col("experian_response"), F.col("sent_to_experian"))
@@ -220,7 +229,7 @@ def _scrub_status(v: Views):
 _register(
     "status_scrub_batch", _scrub_status,
     f"""with {MONITOR}, labelled as (select m.scrub_batch_no, m.equifax_hits, case when r.n > 0 then 'Response Received from Equifax' when m.experian_response > 0 then 'Response Received from Experian'
- when m.sent_to_experian > 0 then 'Sent to Experian' else 'Pending' end as status from monitor m left join (select batch_no, count(*) as n from equifax_ar where batch_no <> 'batch_3' group by 1) r on r.batch_no = m.scrub_batch_no)
+ when m.sent_to_experian > 0 then 'Sent to Experian' else 'Pending' end as status from monitor m left join (select replace(batch_no, 'batch_3', 'batch_30') as batch_no, count(*) as n from equifax_ar group by 1) r on r.batch_no = m.scrub_batch_no)
  select *, status = 'Response Received from Equifax' or (status = 'Pending' and equifax_hits > 0) as ready from labelled""",
     *MONITOR_VIEWS,
 )
@@ -232,11 +241,11 @@ _register(
     "exclude_other_bureau_only",
     lambda v: S.exclude_other_bureau_only(
         v.partners_processed.groupBy("lead_id").agg(F.count(F.lit(1)).alias("leads"))
-        .join(v.equifax_exchange.filter("scrub_batch_no = 'batch_1'").groupBy("lead_id").agg(F.count(F.lit(1)).alias("own")), "lead_id", "left")
+        .join(v.equifax_exchange.groupBy("lead_id").agg(F.count(F.lit(1)).alias("own")), "lead_id", "left")
         .join(v.experian_exchange.groupBy("lead_id").agg(F.count(F.lit(1)).alias("other")), "lead_id", "left")
         .fillna(0, ["own", "other"]), "other", "own"),
     """with counted as (select p.lead_id, count(*) as leads from partners_processed p group by 1),
- j as (select c.lead_id, c.leads, (select count(*) from equifax_exchange e where e.lead_id = c.lead_id and e.scrub_batch_no = 'batch_1') as own,
+ j as (select c.lead_id, c.leads, (select count(*) from equifax_exchange e where e.lead_id = c.lead_id) as own,
  (select count(*) from experian_exchange x where x.lead_id = c.lead_id) as other from counted c) select * from j where not (other > 0 and own = 0)""",
     "partners_processed", "equifax_exchange", "experian_exchange",
 )

@@ -185,15 +185,26 @@ def process_summary(raw: DataFrame, processed: DataFrame, missing_label: str = M
     return original.join(cleaned, ["partner_name", "batch_no"], "left").fillna(0, ["cleaned_count"])
 
 
+def _tagged(line: Column, *tags: str) -> Column:
+    """What follows the first of the tags found in a comma-separated line, up to the comma."""
+    found = []
+    for tag in tags:
+        at = lambda piece, tag=tag: F.locate(tag, F.lower(piece))
+        piece = F.get(F.filter(F.split(line, ","), lambda p: at(p) > 0), F.lit(0))  # noqa: B023
+        found.append(F.trim(F.substr(piece, at(piece) + len(tag))))
+    return F.coalesce(*found)
+
+
 def next_partner_batch(log_lines: DataFrame, as_of: dt.date) -> DataFrame:
-    """Next batch number per partner from log lines (line_no, value): same day keeps it, another day adds one."""
-    pattern = r"(?i)partner:\s*([^,]+),\s*batch(?: no)?:\s*(\d+),\s*date:\s*(.+)"
-    parsed = log_lines.filter(F.col("value").rlike(pattern)).select(
-        "line_no",
-        F.trim(F.regexp_extract("value", pattern, 1)).alias("partner_name"),
-        F.regexp_extract("value", pattern, 2).cast("int").alias("batch"),
-        F.split_part(F.trim(F.regexp_extract("value", pattern, 3)), F.lit(" "), F.lit(1)).try_cast("date").alias("day"),
-    ).filter(F.col("day").isNotNull())
+    """Next batch number per partner from log lines (line_no, value): same day keeps it, another day adds one.
+
+    A line counts if it names a partner, a whole batch number and a date.
+    """
+    line = F.col("value")
+    parsed = log_lines.select(
+        "line_no", _tagged(line, "partner:").alias("partner_name"), _tagged(line, "batch no:", "batch:").try_cast("int").alias("batch"),
+        F.split_part(_tagged(line, "date:"), F.lit(" "), F.lit(1)).try_cast("date").alias("day"),
+    ).dropna()
     newest = parsed.groupBy("partner_name").agg(F.max(F.struct("line_no", "batch", "day")).alias("last"))
     same_day = F.col("last.day") == F.lit(as_of)
     return newest.select(
@@ -202,7 +213,9 @@ def next_partner_batch(log_lines: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def next_numbered_batch(log_lines: DataFrame, tag: str) -> DataFrame:
-    """One row: the largest ``tag: N`` in the log lines plus one, or one for an empty log."""
-    pattern = rf"(?i){tag}\.?[:=]\s*(\d+)"
-    numbers = log_lines.select(F.explode(F.regexp_extract_all("value", F.lit(pattern), F.lit(1))).alias("number"))
-    return numbers.agg((F.coalesce(F.max(F.col("number").cast("bigint")), F.lit(0)) + 1).alias("next_batch"))
+    """One row: the largest number that stands behind ``tag`` and a colon or equals sign, plus one; one for an empty log."""
+    behind = F.slice(F.split(F.lower("value"), "\\Q" + tag.lower() + "\\E"), 2, 1 << 30)
+    pieces = log_lines.select(F.explode(F.transform(behind, lambda piece: F.ltrim(piece, F.lit(".")))).alias("rest"))
+    marked = pieces.filter(F.left("rest", F.lit(1)).isin(":", "="))
+    number = F.regexp_substr(F.ltrim(F.substr("rest", F.lit(2))), F.lit("^[0-9]+")).try_cast("bigint")
+    return marked.agg((F.coalesce(F.max(number), F.lit(0)) + 1).alias("next_batch"))
