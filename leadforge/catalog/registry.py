@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("features", "identity", "partner", "scrub", "cleaning", "lenders", "files")
+MODULES = ("features", "identity", "partner", "scrub", "cleaning", "lenders", "files", "stored")
 
 
 def _merged(attribute: str) -> dict:

@@ -30,6 +30,15 @@ def criteria_rows(lenders: DataFrame) -> DataFrame:
     )
 
 
+def stored_criteria(lenders: DataFrame, lender: str, bureau: str) -> dict | None:
+    """The newest active readable criteria of one lender and bureau; one cell comes to the driver."""
+    own = (F.lower("lender_name") == lender.lower()) & (F.lower("bureau_type") == bureau.lower()) & F.col("is_active")
+    rules = F.from_json("eligible_criteria", CRITERIA_SCHEMA)
+    readable = lenders.filter(own).withColumn("_rules", rules).filter("_rules.rules is not null")
+    newest = readable.agg(F.max_by("_rules", F.struct("created_at", "eligible_criteria")).alias("rules")).first()
+    return None if newest["rules"] is None else newest["rules"].asDict(recursive=True)
+
+
 def _test(rule: dict, names: dict[str, str]) -> Column | None:
     compare = OPERATORS.get(rule.get("operator", ">="))
     if compare is None:

@@ -54,7 +54,9 @@ def lender_export(
     if not scored:
         return None
     together = lambda files: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), files)
-    ids = R.shortlist_ids(together([merged[name] for name in scored]), criteria, id_col, score_col=score_col, score_only=score_only)
+    scores = together([merged[name] for name in scored])
+    score_col = next((c for c in (score_col, *R.SCORE_FIELDS) if c in scores.columns), score_col)  # a layout may rename it
+    ids = R.shortlist_ids(scores, criteria, id_col, score_col=score_col, score_only=score_only)
     if ids is None:
         return None
     ids = durable(ids.distinct())
@@ -62,10 +64,40 @@ def lender_export(
     record = R.shortlist_record(together([kept[name] for name in scored]), id_col, lender_batch, lender, bureau, as_of)
     if target is not None:
         for name, df in kept.items():
-            export_delimited(df, f"{target}/{lender}/{lender_batch}/{name}", "|")
+            export_delimited(df, f"{target}/{lender}/{lender_batch}/{name}", "|", "overwrite")
     return kept, record
 
 
+# File kind, score column and key column of each lender and bureau.
+SCORE_SOURCES = {
+    ("prefr", "experian"): ("SCORE", "SCORE_V3", "CUSTOMER_ID"),
+    ("zype", "experian"): ("SCORE", "SCORE_V3", "CUSTOMER_ID"),
+    ("zype", "equifax"): ("AR", "SCORE", "CUSTOMER_ID"),
+}
+
+
+def export_for_lender(
+    spark: SparkSession,
+    lenders: DataFrame,
+    inventory: DataFrame,
+    batches: list[str],
+    lender: str,
+    bureau: str,
+    lender_batch: str,
+    as_of: dt.date,
+    target: str | None = None,
+) -> tuple[dict[str, DataFrame], DataFrame] | None:
+    """``lender_export`` by the lender's active stored criteria; None where it has none or the bureau is not served."""
+    source = SCORE_SOURCES.get((lender.lower(), bureau.lower()))
+    criteria = R.stored_criteria(lenders, lender, bureau)
+    if source is None or criteria is None:
+        return None
+    score_file, score_col, id_col = source
+    return lender_export(
+        spark, inventory, batches, criteria, lender, bureau, lender_batch, as_of, target,
+        id_col=id_col, score_file=score_file, score_col=score_col)
+
+
 def lender_offers(spark: SparkSession, inventory: DataFrame, as_of: dt.date, *, sep: str = ",", lender_name: str = "0") -> DataFrame:
     """All offer files of a folder, parsed and brought to the offers layout."""
     rows, _ = SF.scan_delimited(spark, inventory, LENDER_OFFERS, sep=sep, tolerant=True)
