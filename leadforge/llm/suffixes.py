@@ -6,14 +6,16 @@ A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts in
    names, and neighbouring windows mostly share theirs, so a text falls into runs of windows of one name.
 2. *Names.* The names of each split of documents are compared, as sorted arrays of hashes only. A name that one document
    alone has cannot repeat, and its windows are done with.
-3. *Index.* The text of the remaining runs goes to the bucket of its name. In a bucket, batches in the order of ids get a
+3. *Index.* The text of the remaining runs goes to the bucket of its name. A name with more than ``HOT_RUNS`` runs is a frequent
+   gram in many contexts; its windows are dealt out one by one, by the hash of all their bytes. In a bucket, batches in the order of ids get a
    suffix array (their suffixes sorted, read up to ``LENGTH`` bytes), which is merge-scanned against the arrays of the levels
    before it; suffixes that no level holds form a new level, and levels of like size merge, so that sizes fall geometrically.
    Strings are compared byte by byte; hashes only decide what is compared.
 4. *Cut.* The spans found come back to their documents.
 
 Text that repeats wholly inside a split is settled there and its first copy alone travels, so that a passage in many
-documents reaches a bucket once per split. Splits and buckets have bounded text by the hash that deals them out.
+documents reaches a bucket once per split. Where there are more than ``FAN`` splits, buckets past ``LARGE_BUCKET`` bytes settle
+it once more by groups of ``FAN`` splits. Splits and buckets have bounded text by the hash that deals them out.
 
 Cases: a null text is empty; texts shorter than ``LENGTH`` stay whole; rows of one id never remove each other's text; a null
 id counts as the largest; an empty table gives no rows. Columns named in ``keep`` are carried along.
@@ -31,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadforge.llm.common import binary_text, ship, tidy_group
+from leadforge.llm.common import binary_text, guarded_broadcast, ship, stored, tidy_group
 
 LENGTH, GRAM = 50, 16
 SPLIT_BYTES, BATCH_BYTES, BATCH_WINDOWS, LONGEST_RUN = 8 << 20, 1 << 18, 100_000, 64
+HOT_RUNS, FAN, LARGE_BUCKET = 20_000, 4096, 16 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -54,6 +57,14 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return mix(h ^ (h >> np.uint64(29)), 0xD6E8FEB86659FD93)
 
 
+def window_hashes(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A hash of all LENGTH (50) bytes from each place on, from the grams that cover them."""
+    grams, whole = gram_hashes(data), np.zeros(len(places), np.uint64)
+    for step in (*range(0, LENGTH - GRAM, GRAM), LENGTH - GRAM):
+        whole = mix(whole ^ grams[places + step], 0xC2B2AE3D27D4EB4F)
+    return whole
+
+
 def least_in_window(h: np.ndarray, width: int) -> np.ndarray:
     reach = 1
     while reach * 2 <= width:
@@ -102,18 +113,20 @@ def ordered(table: pa.Table) -> tuple[pa.Table, np.ndarray, list[bytes]]:
 
 
 def names(table: pa.Table, buckets: int, low_bits: int = 32) -> pa.Table:
-    """The distinct names of a split by bucket: sorted low halves, and a mark at those that several ids have."""
+    """The distinct names of a split by bucket: sorted low halves, a mark at those that several ids have, and
+    the logarithm of each name's runs."""
     split = table.column("__split")[0].as_py()
     _, ids, texts = ordered(table)
     found = [(name, ids[at + owner]) for at, _, _, owner, _, _, name in runs(texts)]
     if not found:
-        return pa.table({"bucket": pa.array([], pa.int32()), "split": pa.array([], pa.int32()), "low": pa.array([], pa.binary()), "many": pa.array([], pa.binary())})
+        return pa.table({"bucket": pa.array([], pa.int32()), "split": pa.array([], pa.int32()), "low": pa.array([], pa.binary()), "many": pa.array([], pa.binary()), "times": pa.array([], pa.binary())})
     name = np.concatenate([f[0] for f in found]) >> np.uint64(64 - low_bits - int(math.log2(buckets)))
     owner = np.concatenate([f[1] for f in found])
     order = np.argsort(name, kind="stable")
     name, owner = name[order], owner[order]
     heads = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1]]))
     many = np.minimum.reduceat(owner, heads) != np.maximum.reduceat(owner, heads)
+    times = np.ceil(np.log2(np.diff(np.append(heads, len(name))))).astype(np.uint8)
     name = name[heads]
     edges = np.searchsorted(name, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(low_bits))
     low = (name & np.uint64(0xFFFFFFFF)).astype(np.uint32)
@@ -122,24 +135,29 @@ def names(table: pa.Table, buckets: int, low_bits: int = 32) -> pa.Table:
         "bucket": pa.array(filled, pa.int32()), "split": pa.array(np.full(len(filled), split), pa.int32()),
         "low": pa.array([low[edges[b] : edges[b + 1]].tobytes() for b in filled], pa.binary()),
         "many": pa.array([np.packbits(many[edges[b] : edges[b + 1]]).tobytes() for b in filled], pa.binary()),
+        "times": pa.array([times[edges[b] : edges[b + 1]].tobytes() for b in filled], pa.binary()),
     })
 
 
-def shared_names(table: pa.Table) -> pa.Table:
-    """Of a bucket of names, those of each split that another split or several ids of one split have as well."""
+def shared_names(table: pa.Table, hot_runs: int = HOT_RUNS) -> pa.Table:
+    """Of a bucket of names, those of each split that another split or several ids of one split have as well; marks at hot ones."""
     lows = [np.frombuffer(x, np.uint32) for x in table.column("low").to_pylist()]
     sizes = np.array([len(x) for x in lows])
     many = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(table.column("many").to_pylist(), sizes)])
+    times = 1 << np.frombuffer(b"".join(table.column("times").to_pylist()), np.uint8).astype(np.int64)
     low = np.concatenate(lows)
     order = np.argsort(low, kind="stable")
     heads = np.flatnonzero(np.concatenate([[True], low[order][1:] != low[order][:-1]]))
     count = np.diff(np.append(heads, len(low)))
     wide = (count > 1) | (np.maximum.reduceat(many[order], heads) > 0)
-    kept = np.empty(len(low), bool)
+    kept, hot = np.empty(len(low), bool), np.empty(len(low), bool)
     kept[order] = np.repeat(wide, count)
+    hot[order] = np.repeat(np.add.reduceat(times[order], heads) > hot_runs, count)
     ends = np.cumsum(sizes)
-    blobs = [low[e - n : e][kept[e - n : e]].tobytes() for e, n in zip(ends, sizes)]
-    return pa.table({"bucket": table.column("bucket"), "split": table.column("split"), "low": pa.array(blobs, pa.binary())}).filter(pc.greater(pc.binary_length(pa.array(blobs, pa.binary())), 0))
+    blobs = pa.array([low[e - n : e][kept[e - n : e]].tobytes() for e, n in zip(ends, sizes)], pa.binary())
+    marks = pa.array([np.packbits(hot[e - n : e][kept[e - n : e]]).tobytes() for e, n in zip(ends, sizes)], pa.binary())
+    found = pa.table({"bucket": table.column("bucket"), "split": table.column("split"), "low": blobs, "hot": marks})
+    return found.filter(pc.greater(pc.binary_length(blobs), 0))
 
 
 def pack(*arrays: np.ndarray, text: bytes = b"") -> bytes:
@@ -161,7 +179,10 @@ def candidates(table: pa.Table, shared: pa.Table, name_buckets: int, buckets: in
         return empty
     split = table.column("__split")[0].as_py()
     _, ids, texts = ordered(table)
-    wanted = np.sort(np.concatenate([np.uint64(b << 32) | np.frombuffer(x, np.uint32).astype(np.uint64) for b, x in zip(shared.column("bucket").to_pylist(), shared.column("low").to_pylist())]))
+    wanted = np.concatenate([np.uint64(b << 32) | np.frombuffer(x, np.uint32).astype(np.uint64) for b, x in zip(shared.column("bucket").to_pylist(), shared.column("low").to_pylist())])
+    hot = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=len(x) // 4) for m, x in zip(shared.column("hot").to_pylist(), shared.column("low").to_pylist())]) > 0
+    order = np.argsort(wanted)
+    wanted, hot = wanted[order], hot[order]
     shift = np.uint64(64 - 32 - int(math.log2(name_buckets)))
     first: dict[bytes, int] = {}
     settled: list[tuple[int, int, int]] = []
@@ -170,9 +191,16 @@ def candidates(table: pa.Table, shared: pa.Table, name_buckets: int, buckets: in
         short = name >> shift
         place = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
         hit = np.flatnonzero(wanted[place] == short)
-        home = (mix(name[hit], 0xE7037ED1A0B428DB) >> np.uint64(32)) % np.uint64(buckets)
-        row = at + owner[hit]
-        for r, d, s, a, w, h in zip(row.tolist(), ids[row].tolist(), starts[hit].tolist(), begins[owner[hit]].tolist(), windows[hit].tolist(), home.tolist()):
+        key, owner, starts, windows, single = name[hit], owner[hit], starts[hit], windows[hit], hot[place[hit]]
+        if single.any():  # a hot name's windows travel one by one
+            n = np.where(single, windows, 1)
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            key, owner, starts, windows, single = (np.repeat(x, n) for x in (key, owner, starts, windows, single))
+            starts, windows = starts + step, np.where(single, 1, windows)
+            key[single] = window_hashes(np.frombuffer(joined, np.uint8), starts[single])
+        home = (mix(key, 0xE7037ED1A0B428DB) >> np.uint64(32)) % np.uint64(buckets)
+        row = at + owner
+        for r, d, s, a, w, h in zip(row.tolist(), ids[row].tolist(), starts.tolist(), begins[owner].tolist(), windows.tolist(), home.tolist()):
             text = joined[s : s + w + LENGTH - 1]
             seen = first.setdefault(text, d)
             if seen < d:
@@ -188,6 +216,45 @@ def candidates(table: pa.Table, shared: pa.Table, name_buckets: int, buckets: in
     })
 
 
+def settle(table: pa.Table) -> pa.Table:
+    """A bucket's text from a group of splits: of equal runs only those of the smallest id stay, the others are settled spans."""
+    parts = [(s, *unpack(b, 4)) for s, b in zip(table.column("split").to_pylist(), table.column("blob").to_pylist())]
+    bucket, first, seen = table.column("bucket")[0].as_py(), {}, []
+    for split, (owner, row, start, windows), text in parts:
+        ends = np.cumsum(windows + LENGTH - 1)
+        for d, r, s, w, e in zip(owner.tolist(), row.tolist(), start.tolist(), windows.tolist(), ends.tolist()):
+            run = text[e - w - LENGTH + 1 : e]
+            seen.append((split, d, r, s, w, run))
+            first[run] = min(first.get(run, d), d)
+    send: dict[int, list] = {}
+    settled: dict[int, list] = {}
+    for split, d, r, s, w, run in seen:
+        if first[run] < d:
+            settled.setdefault(split, []).append((r, s, s + w + LENGTH - 1))
+        else:
+            send.setdefault(split, []).append((d, r, s, w, run))
+    rows = [(x, 1, pack(*np.array([f[:4] for f in found], np.int64).T, text=b"".join(f[4] for f in found))) for x, found in send.items()]
+    rows += [(x, 0, pack(*np.array(found, np.int64).T)) for x, found in settled.items()]
+    return pa.table({
+        "bucket": pa.array([bucket] * len(rows), pa.int32()), "split": pa.array([r[0] for r in rows], pa.int32()),
+        "kind": pa.array([r[1] for r in rows], pa.int32()), "blob": pa.array([r[2] for r in rows], pa.binary()),
+    })
+
+
+def settled_once_more(sent: DataFrame, splits: int, fan: int, large_bucket: int) -> DataFrame:
+    """``sent`` with equal runs of the large buckets settled by groups of splits; spans that are settled go home another way."""
+    sent = stored(sent, "runs")
+    sizes = sent.filter("kind = 1").groupBy("bucket").agg(F.sum(F.octet_length("blob")).alias("bytes"))
+    large = stored(sizes.filter(F.col("bytes") > large_bucket).select("bucket", F.lit(True).alias("large")), "large")
+    marked = sent.join(guarded_broadcast(large, large.count()), "bucket", "left")
+    through = marked.filter("large and kind = 1").drop("large")
+    group = F.floor(F.col("split") / max(fan, math.ceil(math.sqrt(splits))))
+    again = through.groupBy("bucket", group.alias("group")).applyInArrow(tidy_group(settle), "bucket int, split int, kind int, blob binary")
+    # Spans need no bucket of their own, so they do not fill the large one.
+    away = F.when(F.col("kind") == 0, F.col("split")).otherwise(F.col("bucket")).alias("bucket")
+    return marked.filter("large is null or kind = 0").drop("large").unionByName(again.select(away, "split", "kind", "blob"))
+
+
 class Family:
     """Suffix arrays of geometrically falling size: sorted strings of LENGTH bytes, each with the smallest id it starts in."""
 
@@ -295,7 +362,8 @@ def cut(table: pa.Table, spans: pa.Table, keep: list[str]) -> pa.Table:
     })
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ("doc_id",), split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ("doc_id",), split_bytes: int = SPLIT_BYTES,
+          hot_runs: int = HOT_RUNS, fan: int = FAN, large_bucket: int = LARGE_BUCKET) -> DataFrame:
     """Per document the columns in ``keep``, its bytes, the removed runs (start, end) and the bytes kept."""
     ship(docs.sparkSession)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -306,9 +374,11 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tup
         F.col(doc_id).cast("long").alias("__id"), binary_text(text).alias("__data"), *[F.col(c).alias(f"k_{c}") for c in keep],
     ).withColumn("__split", F.pmod(F.xxhash64("__id"), F.lit(splits)).cast("int")).repartition(splits, "__split")
     # The same exchange of texts serves all three passes over them.
-    listed = base.groupBy("__split").applyInArrow(tidy_group(lambda t: names(t, name_buckets)), "bucket int, split int, low binary, many binary")
-    shared = listed.repartition(name_buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(shared_names), "bucket int, split int, low binary")
+    listed = base.groupBy("__split").applyInArrow(tidy_group(lambda t: names(t, name_buckets)), "bucket int, split int, low binary, many binary, times binary")
+    shared = listed.repartition(name_buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(lambda t: shared_names(t, hot_runs)), "bucket int, split int, low binary, hot binary")
     sent = base.groupBy("__split").cogroup(shared.groupBy("split")).applyInArrow(tidy_group(lambda t, s: candidates(t, s, name_buckets, buckets)), "bucket int, split int, kind int, blob binary")
+    if splits > fan:
+        sent = settled_once_more(sent, splits, fan, large_bucket)
     spans = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(match), "split int, blob binary")
     kinds = [T.StructField(c, docs.schema[c].dataType) for c in keep]
     found = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))

@@ -342,6 +342,27 @@ def test_repeats_by_brute_force(spark, docs, nothing):
     assert suffixes.removed(nothing).count() == 0
 
 
+@pytest.mark.parametrize("hot_runs, fan", [(0, 10**9), (3, 2), (10**9, 1)])
+def test_hot_names_and_large_buckets_change_no_result(spark, hot_runs, fan):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(9))
+    gram, passage = "the same gram everywhere, ", " ".join(word() for _ in range(12))
+    texts = [" ".join(word() for _ in range(rng.randrange(4))) + gram + " ".join(word() for _ in range(rng.randrange(9))) + (passage if i % 3 else "") for i in range(60)]
+    texts += [(gram + word()) * 30, gram * 40, "z" * 500, "z" * 500]
+    df = spark.createDataFrame([(i // 2 if i < 8 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    keep = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    cut = suffixes.dedup(df, split_bytes=900, hot_runs=hot_runs, fan=fan, large_bucket=0)
+    got = cut.select("doc_id", "n_bytes", keep, F.size("spans").cast("long"), F.sha2("kept", 256))
+    plain = [(i // 2 if i < 8 else i, t.encode()) for i, t in enumerate(texts)]
+    assert rows_of(got) == sorted(((d, *w) for (d, _), w in zip(plain, repeated(plain))), key=str)
+
+
+def test_windows_of_equal_bytes_have_equal_hashes():
+    data = np.frombuffer(b"0123456789" * 30, np.uint8)
+    found = suffixes.window_hashes(data, np.arange(200))
+    assert len(set(found.tolist())) == 10 and (found[:190] == found[10:]).all()
+
+
 def test_family_levels_fall_geometrically():
     family, rng = suffixes.Family(), np.random.default_rng(1)
     seen = {}
