@@ -9,8 +9,8 @@ their id, each with at most ``pieces`` chunks spread evenly over its text. The s
 fixed, so reruns agree.
 
 Cases: a null text is scored like an empty one, as a single chunk without letters; labels other than 0 and 1 and labels of
-unknown documents are not learned; without labels every score is 0.5. Rows that repeat an id are scored each; their
-labels count as often as they stand there. Extra columns are kept by ``score`` and never read.
+unknown documents are not learned; without labels every score is 0.5. Rows that repeat an id are scored each, and learned
+from once per label, by their smallest text, so that an id of very many rows brings no more to the driver. Extra columns are kept by ``score`` and never read.
 """
 
 from __future__ import annotations
@@ -162,7 +162,7 @@ class Network:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, pieces: int = PIECES, **options) -> Network | None:
     """The trained network; None without labels. Only rows that are not held out are learned from."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id)).select(F.col(doc_id).alias("__id"), F.col(label).alias("__label"))
-    chosen = known.orderBy(F.xxhash64("__id"), "__id", "__label").limit(sample)
+    chosen = known.distinct().orderBy(F.xxhash64("__id"), "__id", "__label").limit(sample)
     rows = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text")).join(F.broadcast(chosen), "__id")  # at most ``sample`` rows
 
     def cut(batches):
@@ -177,6 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 marks.append(mark)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), pa.array(marks, pa.int32())], names=["id", "text", "label"])
 
+    rows = rows.groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
     rows = rows.select(F.col("__id").cast("long"), "__text", F.col("__label").cast("int"))
     found = sorted(tuple(r) for r in rows.mapInArrow(tidy(cut), "id long, text binary, label int").collect())
     if not found:

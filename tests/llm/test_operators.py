@@ -211,6 +211,15 @@ def test_quality_learns_and_covers_whole_texts(spark, folder, nothing):
     assert [r.score for r in quality.predictions(odd, empty).collect()] == [0.5, 0.5]
 
 
+def test_rows_that_repeat_an_id_are_learned_from_once(spark):
+    rows = [(i, ("clean words here " if i % 2 else "%$ 0x00 ## ") * 20, i % 2) for i in range(12)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    hot = docs.filter("doc_id = 2").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(300)))).drop("n")
+    once, often = quality.fit(docs, labels, epochs=1), quality.fit(docs.unionAll(hot), labels.unionAll(labels), epochs=1)
+    assert all((getattr(once, n) == getattr(often, n)).all() for n in once.names())
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 
