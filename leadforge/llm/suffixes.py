@@ -15,7 +15,11 @@ A byte goes if it is covered by a string of ``LENGTH`` bytes that also starts in
 
 Text that repeats wholly inside a split is settled there and its first copy alone travels, so that a passage in many
 documents reaches a bucket once per split. Where there are more than ``FAN`` splits, buckets past ``LARGE_BUCKET`` bytes settle
-it once more by groups of ``FAN`` splits. Splits and buckets have bounded text by the hash that deals them out.
+it once more by groups of ``FAN`` splits.
+
+Splits have bounded text by the hash of id and text that deals the rows out, so rows of one id, or without an id, are spread
+like any others; owners are compared by id wherever they meet. Rows that agree in both would share a split: where they hold
+more than a split's bytes, one row stands for them in all passes, and its result is joined to them at the end.
 
 Cases: a null text is empty; texts shorter than ``LENGTH`` stay whole; rows of one id never remove each other's text; a null
 id counts as the largest; an empty table gives no rows. Columns named in ``keep`` are carried along.
@@ -340,8 +344,9 @@ def merged_spans(row: np.ndarray, start: np.ndarray, end: np.ndarray, rows: int)
     return np.searchsorted(row[heads], np.arange(rows + 1)), start[heads], (reach - row * wide)[lasts]
 
 
-def cut(table: pa.Table, spans: pa.Table, keep: list[str]) -> pa.Table:
-    """The rows of a split with their removed runs and the bytes that stay."""
+def cut(table: pa.Table, spans: pa.Table, keep: list[str], marked: bool = False) -> pa.Table:
+    """The rows of a split with their removed runs and the bytes that stay; ``marked`` ones as they came in, the text only of
+    those that stand for many."""
     table, _, texts = ordered(table)
     parts = [unpack(b, 3)[0] for b in spans.column("blob").to_pylist()]
     row, start, end = (np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, np.int64) for i in range(3))
@@ -356,23 +361,38 @@ def cut(table: pa.Table, spans: pa.Table, keep: list[str]) -> pa.Table:
         kept.append(b"".join([*pieces, text[at:]]) if mine else text)
         pairs.append([{"start": a, "end": b} for a, b in mine])
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    return pa.table({
-        **{c: table.column(f"k_{c}") for c in keep}, "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
-        "spans": pa.array(pairs, kind), "kept": pa.array(kept, pa.binary()),
-    })
+    found = {"n_bytes": pa.array([len(t) for t in texts], pa.int64()), "spans": pa.array(pairs, kind), "kept": pa.array(kept, pa.binary())}
+    if not marked:
+        return pa.table({**{c: table.column(f"k_{c}") for c in keep}, **found})
+    many = table.column("__many").to_pylist()
+    data = pa.array([t if m else None for t, m in zip(texts, many)], pa.binary())
+    return pa.table({"__key": table.column("__key"), "__id": table.column("__id"), "__data": data, "__many": table.column("__many"), **{f"k_{c}": table.column(f"k_{c}") for c in keep}, **found})
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ("doc_id",), split_bytes: int = SPLIT_BYTES,
           hot_runs: int = HOT_RUNS, fan: int = FAN, large_bucket: int = LARGE_BUCKET) -> DataFrame:
     """Per document the columns in ``keep``, its bytes, the removed runs (start, end) and the bytes kept."""
     ship(docs.sparkSession)
-    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("__id"), binary_text(text).alias("__data"), *[F.col(c).alias(f"k_{c}") for c in keep],
+    ).withColumn("__key", F.xxhash64("__id", "__data"))
+    sizes = rows.groupBy("__key").agg(F.sum(F.octet_length("__data")).alias("bytes"), F.count("*").alias("n"))
+    sizes = stored(sizes, "sizes")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
     splits = max(1, math.ceil(total / split_bytes))
     name_buckets = 1 << max(6, math.ceil(math.log2(max(1, splits // 2))))
     buckets = max(8, 2 * splits)
-    base = docs.select(
-        F.col(doc_id).cast("long").alias("__id"), binary_text(text).alias("__data"), *[F.col(c).alias(f"k_{c}") for c in keep],
-    ).withColumn("__split", F.pmod(F.xxhash64("__id"), F.lit(splits)).cast("int")).repartition(splits, "__split")
+    large = sizes.filter((F.col("n") > 1) & (F.col("bytes") > split_bytes)).select("__key")
+    copied = large.count()
+    if copied:
+        large = guarded_broadcast(large, copied)
+        copies = rows.join(large, "__key", "left_semi")
+        one = copies.select("__key", "__id", "__data").distinct()
+        stand_in = one.select("__id", "__data", *[F.lit(None).cast(docs.schema[c].dataType).alias(f"k_{c}") for c in keep], "__key", F.lit(True).alias("__many"))
+        rows = rows.join(large, "__key", "left_anti").select("__id", "__data", *[f"k_{c}" for c in keep], "__key", F.lit(False).alias("__many")).unionByName(stand_in)
+    else:
+        rows = rows.withColumn("__many", F.lit(False))
+    base = rows.withColumn("__split", F.pmod("__key", F.lit(splits)).cast("int")).repartition(splits, "__split")
     # The same exchange of texts serves all three passes over them.
     listed = base.groupBy("__split").applyInArrow(tidy_group(lambda t: names(t, name_buckets)), "bucket int, split int, low binary, many binary, times binary")
     shared = listed.repartition(name_buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(lambda t: shared_names(t, hot_runs)), "bucket int, split int, low binary, hot binary")
@@ -382,8 +402,18 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tup
     spans = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(tidy_group(match), "split int, blob binary")
     kinds = [T.StructField(c, docs.schema[c].dataType) for c in keep]
     found = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([*kinds, T.StructField("n_bytes", T.LongType()), T.StructField("spans", found), T.StructField("kept", T.BinaryType())])
-    return base.groupBy("__split").cogroup(spans.groupBy("split")).applyInArrow(tidy_group(lambda t, s: cut(t, s, list(keep))), schema)
+    results = [T.StructField("n_bytes", T.LongType()), T.StructField("spans", found), T.StructField("kept", T.BinaryType())]
+    if not copied:
+        return base.groupBy("__split").cogroup(spans.groupBy("split")).applyInArrow(tidy_group(lambda t, s: cut(t, s, list(keep))), T.StructType([*kinds, *results]))
+    marks = [T.StructField("__key", T.LongType()), T.StructField("__id", T.LongType()), T.StructField("__data", T.BinaryType()), T.StructField("__many", T.BooleanType())]
+    names_of = [f"k_{c}" for c in keep]
+    wide = T.StructType([*marks, *[T.StructField(n, k.dataType) for n, k in zip(names_of, kinds)], *results])
+    done = stored(base.groupBy("__split").cogroup(spans.groupBy("split")).applyInArrow(tidy_group(lambda t, s: cut(t, s, list(keep), marked=True)), wide), "cut")
+    shown = [*[F.col(n).alias(c) for n, c in zip(names_of, keep)], "n_bytes", "spans", "kept"]
+    one = done.filter("__many").select("__key", F.col("__id").alias("__id_one"), F.col("__data").alias("__data_one"), "n_bytes", "spans", "kept")
+    same = (F.col("__data") == F.col("__data_one")) & F.col("__id").eqNullSafe(F.col("__id_one"))
+    # The copies of one row can be many: Spark's join splits their side.
+    return done.filter("not __many").select(*shown).unionByName(copies.join(one, "__key").filter(same).select(*shown))
 
 
 def removed(docs: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from leadforge.llm import bpe, catalog, mixing, onebit, quality, segments, sharding, simhash, suffixes, url_filter, warc
@@ -366,6 +367,33 @@ def test_hot_names_and_large_buckets_change_no_result(spark, hot_runs, fan):
     assert rows_of(got) == sorted(((d, *w) for (d, _), w in zip(plain, repeated(plain))), key=str)
 
 
+def test_rows_of_one_id_or_none_share_no_split(spark, monkeypatch):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdef") for _ in range(9))
+    prose, copy, passage = lambda n: " ".join(word() for _ in range(n)), "copied " * 30, " ".join(word() for _ in range(12))
+    rows = [(None, prose(40) + passage) for _ in range(40)] + [(7, prose(40) + (passage if i % 2 else "")) for i in range(40)]
+    rows += [(None, copy)] * 60 + [(9, copy)] * 60 + [(i, prose(30) + passage) for i in range(20)] + [(30, copy + prose(3))]
+    df = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, k long")
+    held = spark.sparkContext.accumulator(0)
+    most, ordered = 1 << 14, suffixes.ordered
+
+    def watched(table):
+        if sum(map(len, table.column("__data").to_pylist())) > most:
+            held.add(1)
+        return ordered(table)
+
+    monkeypatch.setattr(suffixes, "ordered", watched)
+    cloudpickle.register_pickle_by_value(suffixes)  # so that tasks run the watched function
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    cut = suffixes.dedup(df, keep=("doc_id", "k"), split_bytes=3000).select("k", "n_bytes", removed, F.size("spans").cast("long"), F.sha2("kept", 256))
+    plain = [(suffixes.LAST if d is None else d, t.encode()) for d, t in rows]
+    try:
+        assert sorted(tuple(r) for r in cut.collect()) == [(i, *w) for i, w in enumerate(repeated(plain))]
+    finally:
+        cloudpickle.unregister_pickle_by_value(suffixes)
+    assert held.value == 0
+
+
 def test_windows_of_equal_bytes_have_equal_hashes():
     data = np.frombuffer(b"0123456789" * 30, np.uint8)
     found = suffixes.window_hashes(data, np.arange(200))
