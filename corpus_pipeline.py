@@ -1,7 +1,7 @@
 """The corpus pipeline: quality, near-duplicates, repeated passages, mixing, token ids.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame, which is written and read again as the next stage's documents.
-All stages but the last return the columns of ``documents``.
+All stages but the last return the columns of ``documents``; further ones are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadforge.llm import bpe, mixing, quality, simhash, suffixes
 from leadforge.llm.catalog import tokenizer_path
-from leadforge.llm.common import stored, table
+from leadforge.llm.common import plain, stored, table, unused
 
 WORDS, DISTANCE = 3, 3
 
@@ -19,7 +19,8 @@ WORDS, DISTANCE = 3, 3
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones stay. It learns from the labelled rows of its own input."""
     network = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, network, out="__score").filter("__score >= 0.5").select(*docs.columns)
+    out = unused(docs, "__score")
+    return quality.score(docs, network, out=out).filter(F.col(out) >= 0.5).select(*plain(docs))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,14 +31,18 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     groups = simhash.near_duplicates(docs, words=WORDS, distance=DISTANCE)
     first = groups.filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    return named.select(*plain(docs)).unionByName(docs.filter("doc_id is null"))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document has are cut out; a character cut through becomes the replacement character."""
-    cut = suffixes.dedup(docs, keep=("doc_id", "lang", "source"))
+    # The operator sees its two columns and the others under names that its own do not have.
+    carried = {c: f"__kept_{i}" for i, c in enumerate(docs.columns) if c not in ("text", "n_chars")}
+    seen = docs.select("text", *[x.alias(carried[c]) for c, x in zip(docs.columns, plain(docs)) if c in carried])
+    cut = suffixes.dedup(seen, doc_id=carried["doc_id"], keep=tuple(carried.values()))
     text = F.make_valid_utf8(F.col("kept").cast("string"))
-    return cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    own = {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return cut.select(*[own.get(c, F.col(carried.get(c, "kept"))).alias(c) for c in docs.columns])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,6 +81,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain(df: DataFrame) -> list[Column]:
+    """The frame's columns, whatever their names."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until the frame has no column that Spark takes for the same."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def binary_text(column: str | Column) -> Column:
     """The UTF-8 bytes of a text; a null text has none."""
     column = F.col(column) if isinstance(column, str) else column

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from leadforge.llm.common import guarded_broadcast, running_total, stored
+from leadforge.llm.common import guarded_broadcast, plain, running_total, stored
 
 WEIGHTS, SHARE, REPEATS, SEED = (3, 1, 2), 1.5, 2, 20
 BINS = 1024
@@ -110,11 +110,16 @@ def _narrow(rows: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mixed documents in queue order: a row for each time a document is taken, with the columns of ``docs``."""
-    rows = keyed(docs, doc_id, text, source)
+    # The columns travel under names of their own, so that none is taken for the queue's.
+    kept = [f"__kept_{i}" for i in range(len(docs.columns))]
+    named = docs.select(*[c.alias(k) for c, k in zip(plain(docs), kept)])
+    own = {c: kept[docs.columns.index(c)] for c in (doc_id, text, source)}
+    rows = keyed(named, own[doc_id], own[text], own[source])
     _, line = queue(stored(_narrow(rows), "sizes"), **options)
-    order = line.select(*[F.col(k).alias(f"{k}_q") for k in KEY], "finish", "place")
+    order = line.select(*[F.col(k).alias(f"{k}_q") for k in KEY], F.col("finish").alias("__finish"), F.col("place").alias("__place"))
     same = [F.col(k) == F.col(f"{k}_q") for k in KEY]
-    return rows.join(order, same).repartitionByRange("finish", "place").sortWithinPartitions("finish", "place").select(*[F.col(c) for c in docs.columns])
+    mixed = rows.join(order, same).repartitionByRange("__finish", "__place").sortWithinPartitions("__finish", "__place")
+    return mixed.select(*[F.col(k).alias(c) for k, c in zip(kept, docs.columns)])
 
 
 def taken(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:

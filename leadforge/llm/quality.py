@@ -191,17 +191,19 @@ def score(docs: DataFrame, network: Network | None, text: str = "text", out: str
         return docs.withColumn(out, F.lit(0.5))
     ship(docs.sparkSession)
     kept = docs.drop(out)
+    place, names = kept.columns.index(text), [*kept.columns, out]
     schema = T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches):
         for batch in batches:
             found = np.zeros(len(batch))
             for at in range(0, len(batch), 256):  # copies of a few texts at a time
-                texts = [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in batch.column(text)[at : at + 256]]
+                texts = [(x.as_py() or "").encode("utf-8", "surrogatepass") for x in batch.column(place)[at : at + 256]]
                 found[at : at + 256] = network.score(texts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=names)
 
-    return kept.mapInArrow(tidy(run), schema)
+    # Under plain names, as any name of a column will do.
+    return kept.toDF(*[f"__kept_{i}" for i in range(len(kept.columns))]).mapInArrow(tidy(run), schema)
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:

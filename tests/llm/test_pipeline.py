@@ -43,3 +43,18 @@ def test_stages(spark, folder, kept):
 def test_run_names_and_columns(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 0
+
+
+def test_extra_and_clashing_columns(spark, folder):
+    names = ["n_bytes", "spans", "kept", "finish", "place", "__score", "__id", "__data", "__size", "__kept_0", "k_doc_id", "words", "score", "bits", "component_id", "root", "digest", "a.b`c", "__split", "__key", "__many", "label"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    wide = docs.select(*[F.concat_ws("/", F.lit(n), F.col("doc_id")).alias(n) for n in names], "*", F.array("lang").alias("list"), F.create_map("lang", F.col("doc_id")).alias("map"), F.struct("lang").alias("pair"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        want = sorted(tuple(r) for r in stage(spark, docs, folder).collect())
+        out = stage(spark, wide, folder)
+        assert out.columns == wide.columns
+        rows = out.collect()
+        assert sorted(tuple(r[c] for c in docs.columns) for r in rows) == want and want
+        assert all(r[n] == f"{n}/{r.doc_id}" for r in rows for n in names)
+        assert all(r["list"] == [r.lang] and r["map"] == {r.lang: r.doc_id} and r["pair"].lang == r.lang for r in rows)
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, folder).count() == docs.count()
