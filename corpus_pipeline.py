@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from leadforge.llm import bpe, mixing, quality, simhash, suffixes
 from leadforge.llm.catalog import tokenizer_path
-from leadforge.llm.common import plain, stored, table, unused
+from leadforge.llm.common import binary_text, plain, stored, table, unused
 
 WORDS, DISTANCE = 3, 3
 
@@ -24,14 +24,20 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays; rows without an id all stay.
+    """Of each group of near-duplicates the document with the smallest id stays; of a group without any id, the row whose text
+    has the smallest digest.
 
     Of rows that share the id kept, those of different texts stay.
     """
-    groups = simhash.near_duplicates(docs, words=WORDS, distance=DISTANCE)
-    first = groups.filter("doc_id = component_id").select("doc_id").distinct()
+    digest = F.when(F.col("doc_id").isNull(), F.sha2(binary_text("text"), 256))
+    members = simhash.members(docs.select("doc_id", "text", digest.alias("digest")), words=WORDS, distance=DISTANCE, keep=("digest",))
+    groups = stored(members.filter("doc_id = component_id or component_id is null").select("doc_id", "digest", "root"), "groups")
+    first = groups.filter("doc_id is not null").select("doc_id").distinct()
     named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.select(*plain(docs)).unionByName(docs.filter("doc_id is null"))
+    mark = unused(docs, "__digest")
+    chosen = groups.filter("doc_id is null").groupBy("root").agg(F.min("digest").alias(mark)).select(mark)
+    nameless = docs.filter("doc_id is null").withColumn(mark, digest).join(chosen, mark, "left_semi").dropDuplicates([mark])
+    return named.select(*plain(docs)).unionByName(nameless.select(*plain(docs)))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from leadforge.llm.common import guarded_broadcast, ship, stored, tidy
 
@@ -55,16 +56,17 @@ def fingerprint(text: str | None, words: int = WORDS, seed: int = SEED) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, seed: int = SEED) -> DataFrame:
-    """Rows (doc_id, bits): the fingerprint of every whole text as a signed long."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, bits): the fingerprint of every whole text as a signed long; columns named in ``keep`` are carried along."""
     ship(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
             values = np.array([fingerprint(x.as_py(), words, seed) for x in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], names=["doc_id", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values), *batch.columns[2:]], names=["doc_id", "bits", *keep])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text).mapInArrow(tidy(run), "doc_id long, bits long")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("bits", T.LongType()), *[docs.schema[c] for c in keep]])
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), text, *keep).mapInArrow(tidy(run), schema)
 
 
 class Golay:
@@ -217,12 +219,16 @@ def components(edges: DataFrame) -> DataFrame:
         seen = state
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, its fingerprint in hex, and the smallest id of its component."""
-    prints = stored(fingerprints(docs, doc_id, text, words, seed), "prints")
+def members(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE, seed: int = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per document: doc_id, bits, the columns in ``keep``, its component's smallest fingerprint (root) and smallest id."""
+    prints = stored(fingerprints(docs, doc_id, text, words, seed, keep), "prints")
     nodes = stored(prints.groupBy("bits").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(links(nodes, distance))
     homes = nodes.join(roots.withColumnRenamed("a", "bits"), "bits", "left").select("bits", F.coalesce("b", "bits").alias("root"), "first")
     named = homes.groupBy("root").agg(F.min("first").alias("component_id"))
-    member = homes.join(named, "root").select("bits", "component_id")
-    return prints.join(member, "bits").select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
+    return prints.join(homes.join(named, "root").select("bits", "root", "component_id"), "bits")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, distance: int = DISTANCE, seed: int = SEED) -> DataFrame:
+    """One row per document: doc_id, its fingerprint in hex, and the smallest id of its component."""
+    return members(docs, doc_id, text, words, distance, seed).select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")

@@ -58,3 +58,12 @@ def test_extra_and_clashing_columns(spark, folder):
         assert all(r[n] == f"{n}/{r.doc_id}" for r in rows for n in names)
         assert all(r["list"] == [r.lang] and r["map"] == {r.lang: r.doc_id} and r["pair"].lang == r.lang for r in rows)
     assert corpus_pipeline.STAGES[-1][1](spark, wide, folder).count() == docs.count()
+
+
+def test_rows_without_an_id_are_compared_too(spark, folder):
+    base = [" ".join(f"w{k}x{i}" for i in range(300)) for k in range(4)]
+    rows = [(1, base[0]), (None, base[0]), (None, base[0].upper()), (None, base[1]), (None, base[1]), (None, base[1].upper()), (None, base[2]), (4, base[3]), (4, base[3])]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.without_near_duplicates(spark, docs, folder).collect()
+    first = min(base[1], base[1].upper(), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, base[0]), (None, first), (None, base[2]), (4, base[3])], key=str)
