@@ -162,7 +162,9 @@ class Network:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, pieces: int = PIECES, **options) -> Network | None:
     """The trained network; None without labels. Only rows that are not held out are learned from."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id)).select(F.col(doc_id).alias("__id"), F.col(label).alias("__label"))
-    chosen = known.distinct().orderBy(F.xxhash64("__id"), "__id", "__label").limit(sample)
+    # Labels of unknown documents take no place in the sample.
+    present = docs.select(F.col(doc_id).alias("__id")).filter(F.col("__id").isNotNull()).distinct()
+    chosen = known.distinct().join(present, "__id", "left_semi").orderBy(F.xxhash64("__id"), "__id", "__label").limit(sample)
     rows = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text")).join(F.broadcast(chosen), "__id")  # at most ``sample`` rows
 
     def cut(batches):

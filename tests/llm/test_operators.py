@@ -221,6 +221,15 @@ def test_rows_that_repeat_an_id_are_learned_from_once(spark):
     assert all((getattr(once, n) == getattr(often, n)).all() for n in once.names())
 
 
+def test_labels_of_unknown_documents_take_no_place_in_the_sample(spark):
+    rows = [(i, ("clean words here " if i % 2 else "%$ 0x00 ## ") * 20, i % 2) for i in range(12)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    more = spark.range(1000, 9000).selectExpr("id as doc_id", "1 as quality")
+    known, among = quality.fit(docs, labels, sample=6, epochs=1), quality.fit(docs, labels.unionAll(more), sample=6, epochs=1)
+    assert all((getattr(known, n) == getattr(among, n)).all() for n in known.names())
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 
