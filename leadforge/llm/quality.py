@@ -4,9 +4,9 @@ Every byte has a learned vector; learned filters over 8 bytes run along the docu
 overlapping by a step so that no window is lost between them, are max-pooled per filter. A learned layer turns the mean
 over the document's chunks into one probability. All bytes of a document are read, whatever its length.
 
-The network is trained on a bounded sample: of the rows that may be learned from, the ``sample`` with the smallest hash of
-their id, each with at most ``pieces`` chunks spread evenly over its text. The sample's order and the random start are
-fixed, so reruns agree.
+The network is trained on the whole texts of a bounded sample: of the rows that may be learned from, the ``sample`` with the
+smallest hash of their id, in that order and as many as ``held`` bytes of text have room for. A text that alone has more
+bytes is not learned from. The sample's order and the random start are fixed, so reruns agree.
 
 Cases: a null text is scored like an empty one, as a single chunk without letters; labels other than 0 and 1 and labels of
 unknown documents are not learned; without labels every score is 0.5. Rows that repeat an id are scored each, and learned
@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leadforge.llm.common import ship, tidy
+from leadforge.llm.common import ship, stored, tidy
 
 STEP, CHUNK, WIDTH, FILTERS = 4, 256, 8, 32
-SAMPLE, PIECES, EPOCHS, BATCH, RATE, SEED = 4000, 12, 10, 32, 0.01, 5
+SAMPLE, HELD, EPOCHS, BATCH, RATE, SEED = 4000, 16 << 20, 10, 32, 0.01, 5
 PER_CHUNK = CHUNK // STEP
 
 
@@ -133,33 +133,60 @@ class Network:
                     getattr(self, name)[...] -= rate * (first / (1 - 0.9**tick)) / (np.sqrt(second / (1 - 0.999**tick)) + 1e-8)
         return self
 
-    def _gradients(self, texts: list[bytes], labels: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-        blocks, starts, chunks = lay_out(texts)
+    def _gradients(self, texts: list[bytes], labels: np.ndarray, weight: np.ndarray, most: int = 1 << 19) -> dict[str, np.ndarray]:
+        """Long batches go through in groups of about ``most`` bytes, forward for the means and once more for the gradients."""
+        groups, counts = list(grouped(texts, most)), np.array([max(1, -(-len(t) // CHUNK)) for t in texts])
+        sums = np.zeros((len(texts), FILTERS), np.float32)
+        for group in groups:
+            forward = self._peaks(group)
+            np.add.at(sums, forward[-1], forward[-2])
+        mean = sums / counts[:, None]
+        error = ((1 / (1 + np.exp(-(mean @ self.head + self.bias[0]))) - labels) * weight / len(texts)).astype(np.float32)
+        total = {"head": (error @ mean).astype(np.float32), "bias": error.sum(keepdims=True)}
+        for group in groups:
+            blocks, x, out, where, peaks, owner = self._peaks(group) if len(groups) > 1 else forward
+            d_peaks = (error / counts)[owner][:, None] * self.head * (peaks > 0)
+            d_out = np.zeros_like(out)
+            np.add.at(d_out, (where, np.broadcast_to(np.arange(FILTERS), where.shape)), d_peaks)
+            d_x = d_out @ self.now.T
+            d_x[1:] += d_out[:-1] @ self.next.T
+            d_table = np.zeros_like(self.table)
+            used = np.flatnonzero(d_x.any(axis=1))
+            np.add.at(d_table, blocks[used].ravel(), d_x[used].reshape(-1, WIDTH))
+            for name, part in (("shift", d_out.sum(axis=0)), ("now", x.T @ d_out), ("next", x[1:].T @ d_out[:-1]), ("table", d_table)):
+                total[name] = total[name] + part if name in total else part
+        return total
+
+    def _peaks(self, group: list[tuple[int, bool, bytes]]):
+        """Blocks, vectors, filters, and per chunk the place and value of each filter's peak and the chunk's text. An overlap's
+        own chunk has peaks of zero, which learn nothing."""
+        blocks, starts, chunks = lay_out([piece for _, _, piece in group])
         x, out = self._windows(blocks)
         ends = np.append(starts[1:], len(blocks))
-        width = int((ends - starts).max())
-        place = np.minimum(starts[:, None] + np.arange(width), ends[:, None] - 1)
+        place = np.minimum(starts[:, None] + np.arange(int((ends - starts).max())), ends[:, None] - 1)
         grid = out[place]
-        where = np.take_along_axis(place, grid.argmax(axis=1), axis=1)
-        peaks = grid.max(axis=1)
-        owner = np.repeat(np.arange(len(texts)), chunks)
-        mean = np.add.reduceat(peaks, np.cumsum(chunks) - chunks, axis=0) / chunks[:, None]
-        error = ((1 / (1 + np.exp(-(mean @ self.head + self.bias[0]))) - labels) * weight / len(texts)).astype(np.float32)
-        d_peaks = (error / chunks)[owner][:, None] * self.head * (peaks > 0)
-        d_out = np.zeros_like(out)
-        np.add.at(d_out, (where, np.broadcast_to(np.arange(FILTERS), where.shape)), d_peaks)
-        d_x = d_out @ self.now.T
-        d_x[1:] += d_out[:-1] @ self.next.T
-        d_table = np.zeros_like(self.table)
-        used = np.flatnonzero(d_x.any(axis=1))
-        np.add.at(d_table, blocks[used].ravel(), d_x[used].reshape(-1, WIDTH))
-        return {
-            "head": (error @ mean).astype(np.float32), "bias": error.sum(keepdims=True), "shift": d_out.sum(axis=0),
-            "now": x.T @ d_out, "next": x[1:].T @ d_out[:-1], "table": d_table,
-        }
-
-
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, pieces: int = PIECES, **options) -> Network | None:
+        where, peaks = np.take_along_axis(place, grid.argmax(axis=1), axis=1), grid.max(axis=1)
+        peaks[np.cumsum(chunks)[[inner for _, inner, _ in group]] - 1] = 0
+        return blocks, x, out, where, peaks, np.repeat([i for i, _, _ in group], chunks)
+
+
+def grouped(texts: list[bytes], most: int):
+    """Lists of (text's place, whether the text goes on, bytes) of about ``most`` bytes; longer texts are cut at whole chunks, and
+    a piece carries a step of the next one."""
+    group, held = [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, max(1, len(text)), most):
+            inner = at + most < len(text)
+            piece = text[at : at + most + STEP * inner]
+            if group and held + len(piece) > most:
+                yield group
+                group, held = [], 0
+            group.append((i, inner, piece))
+            held += len(piece)
+    yield group
+
+
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, held: int = HELD, **options) -> Network | None:
     """The trained network; None without labels. Only rows that are not held out are learned from."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id)).select(F.col(doc_id).alias("__id"), F.col(label).alias("__label"))
     # Labels of unknown documents take no place in the sample.
@@ -167,21 +194,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     chosen = known.distinct().join(present, "__id", "left_semi").orderBy(F.xxhash64("__id"), "__id", "__label").limit(sample)
     rows = docs.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text")).join(F.broadcast(chosen), "__id")  # at most ``sample`` rows
 
-    def cut(batches):
-        for batch in batches:
-            ids, texts, marks = [], [], []
-            for i, raw, mark in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
-                data = raw.as_py().encode("utf-8", "surrogatepass")
-                n = -(-len(data) // CHUNK)
-                places = range(n) if n <= pieces else sorted({round(k * (n - 1) / (pieces - 1)) for k in range(pieces)})
-                ids.append(i)
-                texts.append(b"".join(data[p * CHUNK : (p + 1) * CHUNK] for p in places))
-                marks.append(mark)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary()), pa.array(marks, pa.int32())], names=["id", "text", "label"])
-
     rows = rows.groupBy("__id", "__label").agg(F.min("__text").alias("__text"))
-    rows = rows.select(F.col("__id").cast("long"), "__text", F.col("__label").cast("int"))
-    found = sorted(tuple(r) for r in rows.mapInArrow(tidy(cut), "id long, text binary, label int").collect())
+    rows = rows.select(F.col("__id").cast("long").alias("id"), F.col("__text").cast("binary").alias("text"), F.col("__label").cast("int").alias("label"))
+    place = F.struct(F.xxhash64("id"), "id", "label")
+    rows = stored(rows.filter(F.octet_length("text") <= held).withColumn("place", place), "learned")
+    last, room = None, held
+    for place, size in sorted(tuple(r) for r in rows.select("place", F.octet_length("text")).collect()):  # at most ``sample`` rows
+        room -= size
+        if room < 0:
+            break
+        last = place
+    chosen = rows.filter(F.col("place") <= F.struct(*[F.lit(x) for x in last]).cast(rows.schema["place"].dataType)) if last else rows.limit(0)
+    found = sorted(tuple(r) for r in chosen.select("id", "text", "label").collect())
     if not found:
         return None
     return Network().train([bytes(r[1]) for r in found], np.array([r[2] for r in found], np.float32), **options)

@@ -230,6 +230,28 @@ def test_labels_of_unknown_documents_take_no_place_in_the_sample(spark):
     assert all((getattr(known, n) == getattr(among, n)).all() for n in known.names())
 
 
+def test_whole_texts_are_learned_from(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice("abc é") for _ in range(rng.choice([0, 90, 9000]))), i % 2) for i in range(30)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    may = {(t.encode(), float(q)) for i, t, q in rows if zlib.crc32(str(i).encode()) % 3 != 1}
+    seen = []
+    monkeypatch.setattr(quality.Network, "train", lambda self, texts, marks, **_: seen.append(list(zip(texts, marks.tolist()))) or self)
+    quality.fit(docs, labels)
+    assert set(seen[0]) == may and max(len(t) for t, _ in may) > 9000
+    quality.fit(docs, labels, held=25_000)
+    assert set(seen[1]) < may and 0 < sum(len(t) for t, _ in seen[1]) <= 25_000
+
+
+def test_gradients_of_long_texts_in_groups():
+    rng, network = np.random.default_rng(4), quality.Network()
+    for n in (0, 3, 255, 256, 257, 1024, 1025, 5000, 8192):
+        texts = [rng.integers(0, 256, n).astype(np.uint8).tobytes()]
+        once, often = (network._gradients(texts, np.ones(1, np.float32), np.ones(1), most=m) for m in (1 << 20, 1024))
+        assert all(often[k] == pytest.approx(once[k], rel=1e-3, abs=1e-5) for k in once)
+
+
 # 7 ------------------------------------------------------------------------------------------------------------------
 
 
