@@ -5,12 +5,12 @@ the rule's; the longest fitting rule gives the verdict. Urls with a rule label t
 
 * **Template tree.** Per host, paths are split at ``/`` and read level by level. Numbers become ``*``; so do the segments that
   make up less than ``share`` of their parent's urls, where the parent has at least ``variety`` of them. All others stay
-  literal. Levels past ``depth`` are one branch ``**``.
+  literal. Paths are read to their end; only where ``depth`` is given, levels past it are one branch ``**``.
 * **Merging.** Literal siblings whose labelled share of blocked urls does not differ from that of their parent's other
   labelled urls by more than ``z`` standard errors say the same, and become one branch ``+``.
 * **Purity.** Down the tree, a template's share of blocked urls is smoothed with its parent's: (blocked + a * parent) /
-  (labelled + a), at the root with the share over all labelled urls. A template is rejected at ``cut`` or more, if at
-  least ``support`` labelled urls stand behind it. Urls of templates without evidence are allowed.
+  (labelled + a), at the root with the share over all labelled urls. A template is rejected at ``cut`` or more, however few
+  labelled urls it has. Urls of templates without any are allowed.
 
 Cases: a null url, or one without ``://``, has an empty host and path and is allowed; repeated urls count as often as they
 occur; an empty table gives no rows. Extra columns are not read.
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from leadforge.llm.common import stored
 
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
-DEPTH, SHARE, VARIETY, SUPPORT, Z, SMOOTHING, CUT = 4, 0.05, 12, 5, 2.0, 4.0, 0.5
+SHARE, VARIETY, Z, SMOOTHING, CUT = 0.05, 12, 2.0, 4.0, 0.5
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -55,7 +55,7 @@ def _evidence(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("n").alias("urls"), F.sum("labelled").alias("labels"), F.sum("blocked").alias("blocks"))
 
 
-def templates(paths: DataFrame, depth: int = DEPTH, share: float = SHARE, variety: int = VARIETY, z: float = Z, smoothing: float = SMOOTHING) -> DataFrame:
+def templates(paths: DataFrame, depth: int | None = None, share: float = SHARE, variety: int = VARIETY, z: float = Z, smoothing: float = SMOOTHING) -> DataFrame:
     """``paths`` (host, path, n, labelled, blocked) with ``template``, its labels and its smoothed purity."""
     whole = paths.agg(F.sum("labelled").alias("labels"), F.sum("blocked").alias("blocks")).first()
     prior = (whole["blocks"] or 0) / whole["labels"] if whole["labels"] else 0.0
@@ -63,8 +63,10 @@ def templates(paths: DataFrame, depth: int = DEPTH, share: float = SHARE, variet
     rows = paths.withColumns({"segments": segments, "template": F.lit("")})
     root = _evidence(rows, "host").withColumn("purity", (F.col("blocks") + F.lit(smoothing * prior)) / (F.col("labels") + F.lit(smoothing)))
     tree = root.withColumn("template", F.lit(""))
-    for level in range(1, depth + 1):
-        # The last level stands for all that is left of a path; a path that has ended goes no further.
+    deepest = paths.agg(F.max(F.size(segments))).first()[0] or 0
+    over = None
+    for level in range(1, depth + 1 if depth else max(2, deepest)):
+        # A last level that is given stands for all that is left of a path; a path that has ended goes no further.
         segment = F.get("segments", F.lit(level))
         rest = F.size("segments") > level + 1
         here = F.when(segment.isNull(), F.lit(None)).when(F.lit(level == depth) & rest, F.lit("**")).when(segment.rlike(r"^\d+(\.[A-Za-z]+)?$"), F.lit("*")).otherwise(segment)
@@ -89,13 +91,14 @@ def templates(paths: DataFrame, depth: int = DEPTH, share: float = SHARE, variet
         tree = stored(tree.select("host", F.col("child").alias("template"), "urls", "labels", "blocks", "purity"), "level")
         ended = rows.filter("segment is null")
         going = rows.filter("segment is not null").join(names, ["host", "template", "segment"]).withColumn("template", F.col("child")).drop("child")
-        rows = going.unionByName(ended)
+        over = ended if over is None else over.unionByName(ended)
+        rows = going
         root = root.select("host", "urls", "labels", "blocks", "purity", *(["template"] if "template" in root.columns else [F.lit("").alias("template")])).unionByName(tree)
     judged = root.select("host", "template", "labels", "purity")
-    return rows.drop("segments", "segment").join(judged, ["host", "template"])
+    return rows.unionByName(over).drop("segments", "segment").join(judged, ["host", "template"])
 
 
-def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url", cut: float = CUT, support: int = SUPPORT, **options) -> DataFrame:
+def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url", cut: float = CUT, **options) -> DataFrame:
     """``pages`` (its other columns kept) with host, path, rule, template, purity and verdict."""
     host, path = split_url(F.col(url))
     outputs = ("host", "path", "rule", "template", "purity", "verdict")
@@ -105,7 +108,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str =
     counted = rows.groupBy("host", "path").agg(
         F.count("*").alias("n"), F.count("label").alias("labelled"), F.count_if(F.col("label") == "block").alias("blocked"))
     found = templates(stored(counted, "urls"), **options).select("host", "path", "template", "labels", "purity")
-    rejected = (F.col("purity") >= cut) & (F.col("labels") >= support)
+    rejected = (F.col("purity") >= cut) & (F.col("labels") > 0)
     return rows.join(found, ["host", "path"]).withColumn("verdict", F.coalesce("label", F.when(rejected & (F.col("host") != ""), "block").otherwise("allow"))).drop("label", "labels")
 
 

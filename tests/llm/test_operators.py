@@ -287,6 +287,14 @@ def test_url_rules_and_templates(spark):
     assert url_filter.verdicts(df.limit(0)).count() == 0
 
 
+def test_thin_templates_are_judged_and_paths_read_to_their_end(spark):
+    urls = ["http://q.net/fr/x", "http://q.net/fr/y", "http://q.net/fr", "http://r.net/fr", "http://r.com/a", "http://q.net/en/a/b/c/d/e/f/g", "http://q.net/en/a/b/c/d/e/f/h", "http://q.net", None]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.verdicts(df).collect()}
+    assert [got[i].verdict for i in range(len(urls))] == ["block", "block", "block", "allow", "allow", "allow", "allow", "block", "allow"]
+    assert [got[i].template for i in (5, 6)] == ["/en/a/b/c/d/e/f/g", "/en/a/b/c/d/e/f/h"]
+
+
 # 9 ------------------------------------------------------------------------------------------------------------------
 
 
