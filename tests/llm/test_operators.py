@@ -142,6 +142,19 @@ def test_one_bit_recall(spark):
     assert onebit.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_one_bit_bound_loses_few_neighbours():
+    rng = np.random.default_rng(5)
+    x, q = rng.standard_normal((4000, 32)), rng.standard_normal((50, 32))
+    bits = onebit.code_bits(32)
+    code, length, cosine = onebit.encode(x, np.zeros(32), bits)
+    signs = (np.unpackbits(code, axis=1, count=bits) * 2.0 - 1) / np.sqrt(bits)
+    wide = np.zeros((50, bits))
+    wide[:, :32] = q
+    estimate = (wide @ onebit.rotation(bits).T) @ signs.T * (length / cosine)
+    error = length * np.sqrt(1 - cosine**2) / cosine * onebit.SPREAD / np.sqrt(bits - 1)
+    assert (estimate + error * np.sqrt((q**2).sum(axis=1))[:, None] < q @ x.T).mean() < 0.01
+
+
 # 3 ------------------------------------------------------------------------------------------------------------------
 
 
