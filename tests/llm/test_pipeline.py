@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from leadforge.llm import quality
-from test_operators import classes, plain_print, repeated
+from llm_plain import classes, plain_print, repeated
 
 
 @pytest.fixture(scope="module")
