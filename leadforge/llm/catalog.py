@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadforge.llm import bpe, mixing, onebit, quality, segments, sharding, simhash, suffixes, url_filter, warc
+from leadforge.llm import bpe, filter_audit, mixing, onebit, quality, repair, segments, sharding, simhash, suffixes, url_filter, warc
 from leadforge.llm.common import scratch_path, stored, table
 
 
@@ -65,6 +65,14 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.removed(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_segments": op2_segments,
@@ -76,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_simhash": op9_simhash,
     "op10_suffixes": op10_suffixes,
+    "op11_filter_audit": op11_filter_audit,
+    "op13_repair": op13_repair,
 }
 
 # Base32 of SHA-1: each 5 of the 40 hex digits make 4 letters of 5 bits.
@@ -97,4 +107,29 @@ s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as
       from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
 r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from s)
 select query_id, rank, vec_id, score from r where rank <= 5""",
+    "op11_filter_audit": r"""
+with l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by doc_id),
+d as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as body from documents),
+w as (select d.*, regexp_extract_all(body, '[^\x20\x09-\x0D]+') as words, min(doc_id) over (partition by body) as least from d),
+f as (select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+        len(words) < 200 as a, 100 * len(list_distinct(words)) < 50 * len(words) as b,
+        100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * length(body) as c, regexp_matches(body, '[#$%&*|]') as d,
+        coalesce(doc_id > least, false) as e
+      from w left join l using (doc_id)),
+m as (select part, good, toxic, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int as mask, count(*) as n from f group by all),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as letter, unnest([1, 2, 4, 8, 16]) as bit),
+o as (select p.letter || q.letter || r.letter || s.letter || t.letter as filter_order, [p.bit, q.bit, r.bit, s.bit, t.bit] as bits
+      from x p, x q, x r, x s, x t where p.bit + q.bit + r.bit + s.bit + t.bit = 31 and (p.bit | q.bit | r.bit | s.bit | t.bit) = 31),
+k as (select filter_order, cast(unnest(range(1, 6)) as int) as step, bits from o),
+g as (select filter_order, step, bits[step] as bit, coalesce(list_sum(bits[1:step - 1]), 0)::bigint as earlier from k),
+r as (select part, filter_order, step, bit,
+        cast(sum(case when mask & (bit | earlier) = 0 then n else 0 end) as bigint) as kept,
+        cast(sum(case when mask & bit > 0 and mask & earlier = 0 then n else 0 end) as bigint) as removed,
+        cast(sum(case when mask & bit > 0 and mask & earlier > 0 then n else 0 end) as bigint) as redundant,
+        cast(sum(case when mask = bit then n else 0 end) as bigint) as unique_fails,
+        cast(sum(case when mask & bit > 0 and mask & earlier = 0 and good = 1 then n else 0 end) as bigint) as good_lost,
+        cast(sum(case when mask & bit > 0 and mask & earlier = 0 and toxic = 1 then n else 0 end) as bigint) as toxic_lost
+      from m, g group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       cast(sum(removed) over (partition by part, bit) as bigint) as shapley from r""",
 }

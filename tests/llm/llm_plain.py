@@ -48,3 +48,7 @@ def repeated(rows):
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out.append((len(text), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
