@@ -2,10 +2,11 @@
 
 Equal texts are found with radix tries. Texts are range-partitioned by prefixes that are as long as needed: prefixes whose texts are
 too large together are counted again by longer ones, and neighbouring prefixes are packed to ranges of near equal bytes. Before the
-shuffle each task inserts its texts into a compressed trie and hands on each different text once, with the least id and, per part and
-label, the number of documents; so copies are merged before they travel. After it a range's texts come sorted, go into a trie again
-whose terminals hold the least id, and a traversal judges each different text once: the other filters by their rule, duplicates by id.
-What is left are counts per (part, mask of failed filters, labels), and all orders are worked out from those.
+shuffle each task inserts its texts into a compressed trie with the least id at each terminal. A document that is not the least of its
+text there is a duplicate already and goes on as a narrow row, dealt out evenly; only the least one travels with its text. After the
+shuffle a range's texts come sorted and go into a trie again, whose traversal tells the least document of each text from the
+others. Every text is judged by the other filters once per trie. Labels are joined to the narrow rows; what is left are counts per
+(part, mask of failed filters, labels), and all orders are worked out from those.
 
 Both passes empty a trie that holds ``HELD`` bytes; after the shuffle only between two different texts.
 
@@ -38,16 +39,17 @@ RULES: dict[str, Rule] = {
 }
 DUPLICATE = "E"
 FIRST, LONGER = 8, 4  # bytes of the shortest prefixes; how much longer the next ones are
-RANGE_BYTES, RANGES, HELD = 32 << 20, 10_000, 16 << 20
+RANGE_BYTES, RANGES, HELD = 8 << 20, 10_000, 16 << 20
 
 
 class Trie:
-    """A radix trie over bytes; the terminals hold values that ``merge`` puts together."""
+    """A radix trie over bytes: each node is [value, children], the children by first byte as (label, node)."""
 
-    def __init__(self, merge: Callable):
-        self.merge, self.root, self.held = merge, [None, {}], 0
+    def __init__(self):
+        self.root, self.held = [None, {}], 0
 
-    def insert(self, text: bytes, value) -> None:
+    def spot(self, text: bytes) -> list:
+        """The text's node, inserted where it is new; its first item is the value."""
         node, at = self.root, 0
         while at < len(text):
             edge = node[1].get(text[at])
@@ -65,7 +67,7 @@ class Trie:
             node[1][text[at]] = (label[:same], middle)
             self.held += 200
             node, at = middle, at + same
-        node[0] = value if node[0] is None else self.merge(node[0], value)
+        return node
 
     def items(self) -> Iterator[tuple[bytes, object]]:
         """All texts with their values."""
@@ -93,98 +95,87 @@ def common(label: bytes, text: bytes, at: int) -> int:
     return low
 
 
-# A terminal: (least id, {(part, good, toxic): [documents with an id, of these with the least one, documents without id]}).
+# Before the shuffle a terminal is [least id, mask, {part: documents with that id}]; after it, [least id, rows so far].
 
+ROW = "text binary, doc_id long, part string, mask int, n long"
 
-def merged(a, b):
-    (low, cells), (other, more) = a, b
-    least = other if low is None else low if other is None else min(low, other)
-    if low != least:
-        for counts in cells.values():
-            counts[1] = 0
-    for cell, (named, first, nameless) in more.items():
-        counts = cells.setdefault(cell, [0, 0, 0])
-        counts[0] += named
-        counts[1] += first if other == least else 0
-        counts[2] += nameless
-    return least, cells
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.large_binary(), pa.int64(), pa.string(), pa.int32(), pa.int64())
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["text", "doc_id", "part", "mask", "n"])
 
-RECORD = "text binary, least long, cells array<struct<part: string, good: boolean, toxic: boolean, named: long, first: long, nameless: long>>"
-WIRE = pa.schema([
-    ("text", pa.large_binary()), ("least", pa.int64()),
-    ("cells", pa.list_(pa.struct([("part", pa.string()), ("good", pa.bool_()), ("toxic", pa.bool_()), ("named", pa.int64()), ("first", pa.int64()), ("nameless", pa.int64())]))),
-])
 
-
-def _emptied(trie: Trie, most: int = 4 << 20) -> Iterator[list[tuple[bytes, object]]]:
-    """The trie's items, some megabytes at a time."""
+def _sized(rows: Iterator[tuple], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches of some megabytes."""
     some, size = [], 0
-    for text, value in trie.items():
-        some.append((text, value))
-        size += len(text) + 200
+    for row in rows:
+        some.append(row)
+        size += len(row[0] or b"") + 100
         if size > most:
-            yield some
+            yield _batch(some)
             some, size = [], 0
-    if some:
-        yield some
+    yield _batch(some)
 
 
-def _collect(batches) -> Iterator[pa.RecordBatch]:
-    """Before the shuffle: the task's different texts, with counts."""
-    trie = Trie(merged)
+def _collected(rules: dict[str, Rule], bit: int, batches) -> Iterator[tuple]:
+    """Before the shuffle: the least document of each text with the text, all others without."""
+    trie = Trie()
     for batch in batches:
-        for text, doc, part, good, toxic in zip(*batch.columns):
-            doc = doc.as_py()
-            cell = (part.as_py(), good.as_py(), toxic.as_py())
-            trie.insert(text.as_py(), (doc, {cell: [0, 0, 1] if doc is None else [1, 1, 0]}))
+        for text, doc, part in zip(*batch.columns):
+            text, doc, part = text.as_py(), doc.as_py(), part.as_py()
+            spot = trie.spot(text)
+            if spot[0] is None:
+                words = text.split()  # only ASCII white space cuts bytes
+                spot[0] = [None, sum(1 << i for i, fails in enumerate(rules.values()) if fails(text, words)), {}]
+            value = spot[0]
+            if doc is None:
+                yield None, None, part, value[1], 1
+            elif value[0] is not None and doc > value[0]:
+                yield None, doc, part, value[1] | bit, 1
+            else:
+                if doc != value[0]:
+                    for other, n in value[2].items():
+                        yield None, value[0], other, value[1] | bit, n
+                    value[0], value[2] = doc, {}
+                value[2][part] = value[2].get(part, 0) + 1
             if trie.held > HELD:
-                yield from map(_records, _emptied(trie))
-                trie = Trie(merged)
-    yield from map(_records, _emptied(trie))
-
+                yield from _least(trie)
+                trie = Trie()
+    yield from _least(trie)
 
-def _records(some) -> pa.RecordBatch:
-    names = ("part", "good", "toxic", "named", "first", "nameless")
-    rows = [{"text": text, "least": least, "cells": [dict(zip(names, (*cell, *counts))) for cell, counts in cells.items()]} for text, (least, cells) in some]
-    return pa.RecordBatch.from_pylist(rows, schema=WIRE)
 
+def _least(trie: Trie) -> Iterator[tuple]:
+    for text, (doc, mask, parts) in trie.items():
+        for part, n in parts.items():
+            yield text, doc, part, mask, n
 
-def _judge(rules: dict[str, Rule], bit: int) -> Callable:
-    """After the shuffle: counts per (part, labels, mask) of the sorted texts."""
 
-    def settle(trie: Trie, counts: dict) -> None:
-        for text, (_, cells) in trie.items():
-            words = text.split()  # only ASCII white space cuts bytes
-            mask = sum(1 << i for i, fails in enumerate(rules.values()) if fails(text, words))
-            for cell, (named, first, nameless) in cells.items():
-                for own, n in ((mask, first + nameless), (mask | bit, named - first)):
-                    if n:
-                        counts[*cell, own] = counts.get((*cell, own), 0) + n
+def _told(bit: int, batches) -> Iterator[tuple]:
+    """After the shuffle: every document without its text, with its duplicate flag; texts come sorted."""
+    trie, last = Trie(), None
+    for batch in batches:
+        for text, doc, part, mask, n in zip(*batch.columns):
+            text, row = text.as_py(), (doc.as_py(), part.as_py(), mask.as_py(), n.as_py())
+            if text is None:
+                yield None, *row
+                continue
+            if trie.held > HELD and text != last:  # what is in the trie is complete
+                yield from _flagged(trie, bit)
+                trie = Trie()
+            spot, last = trie.spot(text), text
+            if spot[0] is None:
+                spot[0] = [row[0], []]
+            spot[0][0] = min(spot[0][0], row[0])
+            spot[0][1].append(row)
+            trie.held += 100
+    yield from _flagged(trie, bit)
 
-    def out(counts: dict) -> pa.RecordBatch:
-        columns = list(zip(*[(*cell, n) for cell, n in counts.items()])) or [()] * 5
-        kinds = (pa.string(), pa.bool_(), pa.bool_(), pa.int32(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["part", "good", "toxic", "mask", "n"])
 
-    def run(batches):
-        trie, counts, last = Trie(merged), {}, None
-        for batch in batches:
-            for text, least, cells in zip(*batch.columns):
-                text = text.as_py()
-                if trie.held > HELD and text != last:  # sorted: what is in the trie is complete
-                    settle(trie, counts)
-                    trie = Trie(merged)
-                    if len(counts) > 50_000:
-                        yield out(counts)
-                        counts = {}
-                cells = {(c["part"], c["good"], c["toxic"]): [c["named"], c["first"], c["nameless"]] for c in cells.as_py()}
-                trie.insert(text, (least.as_py(), cells))
-                last = text
-        settle(trie, counts)
-        yield out(counts)
-
-    return run
+def _flagged(trie: Trie, bit: int) -> Iterator[tuple]:
+    for _, (least, rows) in trie.items():
+        for doc, part, mask, n in rows:
+            yield None, doc, part, mask | (bit if doc > least else 0), n
 
 
 def bounds(texts: DataFrame, target: int = RANGE_BYTES, ranges: int = RANGES) -> list[bytes]:
@@ -230,26 +221,24 @@ def bounds(texts: DataFrame, target: int = RANGE_BYTES, ranges: int = RANGES) ->
 def masks(docs: DataFrame, labels: DataFrame, rules: dict[str, Rule] | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """Rows (part, good, toxic, mask, n): how many documents of a part fail which filters; the last bit stands for duplicates."""
     rules = RULES if rules is None else rules
-    spark = docs.sparkSession
+    bit, spark = 1 << len(rules), docs.sparkSession
     ship(spark)
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("part"), binary_text(text).alias("text"))
-    marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
-    marked = own.join(marks, "doc_id", "left").select("text", "doc_id", "part", *[F.coalesce(c, F.lit(False)).alias(c) for c in ("good", "toxic")])
+    own = docs.select(binary_text(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("part"))
     starts = bounds(own)
     sent = spark.sparkContext.broadcast(starts)  # one prefix per range
 
-    def place(batches):
-        for batch in batches:
-            at = pa.array([bisect_right(sent.value, x.as_py()) for x in batch.column(0)], pa.int32())
-            yield pa.RecordBatch.from_arrays([*batch.columns, at], names=["text", "least", "cells", "range"])
-
     def collect(batches):
-        return place(_collect(batches))
-
-    records = marked.mapInArrow(tidy(collect), f"{RECORD}, range int")
-    ranged = records.repartitionById(len(starts) + 1, F.col("range")).sortWithinPartitions("text").select("text", "least", "cells")
-    counts = ranged.mapInArrow(tidy(_judge(rules, 1 << len(rules))), "part string, good boolean, toxic boolean, mask int, n long")
-    return counts.groupBy("part", "good", "toxic", "mask").agg(F.sum("n").alias("n"))
+        for batch in _sized(_collected(rules, bit, batches)):
+            at = [i % (len(sent.value) + 1) if x is None else bisect_right(sent.value, x) for i, x in enumerate(batch.column(0).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int32())], names=[*batch.schema.names, "range"])
+
+    rows = own.mapInArrow(tidy(collect), f"{ROW}, range int")
+    ranged = rows.repartitionById(len(starts) + 1, F.col("range")).sortWithinPartitions("text").drop("range")
+    flagged = ranged.mapInArrow(tidy(lambda batches: _sized(_told(bit, batches))), ROW)
+    narrow = flagged.groupBy("doc_id", "part", "mask").agg(F.sum("n").alias("n"))
+    marks = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("quality") == 1).alias("good"), F.max(F.col("toxic") == 1).alias("toxic"))
+    marked = narrow.join(marks, "doc_id", "left").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("good", "toxic")})
+    return marked.groupBy("part", "good", "toxic", "mask").agg(F.sum("n").alias("n"))
 
 
 def audit(counts: DataFrame, letters: str = "".join(RULES) + DUPLICATE) -> DataFrame:
