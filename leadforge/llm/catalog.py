@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadforge.llm import bpe, filter_audit, mixing, onebit, quality, repair, segments, sharding, simhash, suffixes, url_filter, warc
+from leadforge.llm import bpe, filter_audit, jaccard, mixing, onebit, quality, repair, segments, sharding, simhash, suffixes, url_filter, warc
 from leadforge.llm.common import scratch_path, stored, table
 
 
@@ -69,6 +69,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repaired(table(spark, sf_dir, "conversations"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_suffixes": op10_suffixes,
     "op11_filter_audit": op11_filter_audit,
+    "op12_jaccard": op12_jaccard,
     "op13_repair": op13_repair,
 }
 
