@@ -62,7 +62,7 @@ def documents(seed=6):
     return rows + [rows[5], rows[5], (None, rows[7][1], 0, "k", 1), (None, "nobody else has this text", 0, "k", 1), (3, rows[9][1], 0, "k", 1)]
 
 
-@pytest.mark.parametrize("leaf, pivots, block, often", [(32, 16, 200_000, 65_536), (3, 2, 150, 0), (2, 1, 100, 50)])
+@pytest.mark.parametrize("leaf, pivots, block, often", [(1024, 16, 200_000, 65_536), (3, 2, 150, 0)])
 def test_components_by_brute_force(spark, monkeypatch, leaf, pivots, block, often):
     for name, value in (("LEAF", leaf), ("PIVOTS", pivots), ("BLOCK", block), ("FREQUENT", often)):
         monkeypatch.setattr(jaccard, name, value)
@@ -85,8 +85,8 @@ def test_bounds_never_drop_a_link():
         cut = rng.randrange(len(whole) - common + 1)
         order = rng.sample(range(len(whole)), len(whole))
         a, b = (np.sort(whole[sorted(order[:common] + part)]) for part in (order[common : common + cut], order[common + cut :]))
-        apart = np.abs(jaccard.counted(a).astype(int) - jaccard.counted(b).astype(int)).sum()
-        assert apart * 180 <= (len(a) + len(b)) * 20
+        for per in (1, jaccard.FINE):
+            assert jaccard.apart(jaccard.parities(a, per).tobytes(), jaccard.parities(b, per).tobytes()) * 180 <= (len(a) + len(b)) * 20
         first = [set(x[: len(x) - jaccard.overlap(len(x), 80) + 1].tolist()) for x in (a, b)]
         assert first[0] & first[1]
 
