@@ -40,10 +40,11 @@ from leadforge.llm.common import ship, stored, tidy
 from leadforge.llm.simhash import components
 
 WORDS, PERCENT = 5, 80
-FINE = 4  # classes of the finer parities per shingle
+FINE = 2  # classes of the finer parities per shingle
 LEAF, PIVOTS = 2048, 16  # members of the largest region that is not cut again; pivots of a larger one, or one for each 64 members
 BEST, GATHERED = 4, 1 << 19  # partners of a member in the first comparison of a region; pairs that a task frees of repeats at once
 FREQUENT, SEEN, HELD = 65_536, 8, 1 << 22  # frequent shingles; how often within HELD shingles one must be seen
+BITS = 1 << 26  # of the bitmap that tells which texts may be wanted
 BLOCK = 200_000  # shingles compared with one copy of a pivot
 PIECE = 1 << 20  # bytes of text hashed at once
 TURN, SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
@@ -300,6 +301,17 @@ def plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return fitting.select("a", "b", "n_a", "fine_a", "n_b", "fine_b").mapInArrow(tidy(run), "a long, b long, n_a int, n_b int")
 
 
+def _maybe(docs: DataFrame, wanted: DataFrame, bits: int = BITS) -> DataFrame:
+    """The documents whose content may be wanted, by a bitmap of bounded size; few others travel to the join that decides."""
+    at = F.pmod(F.xxhash64("content"), F.lit(bits))
+    bitmap = wanted.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
+    place = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("bitmap", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.floor(byte / F.pow(F.lit(2), place % 8)) % 2 == 1
+    found = docs.join(F.broadcast(bitmap), F.bitmap_bucket_number(at) == F.col("bucket"))  # bits / 32,768 rows of 4 KB
+    return found.filter(marked).select("text", "content")
+
+
 def compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Of plausible pairs (a, b) those with a similarity of at least ``percent``: their common shingles and all shingles of both.
 
@@ -324,7 +336,7 @@ def compared(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int,
     pairs = stored(pairs, "pairs")
     members = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = stored(classes.select("node", "content").join(members, "node", "left_semi"), "wanted")
-    texts = stored(docs.select("text", "content").join(wanted, "content").groupBy("content", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
+    texts = stored(_maybe(docs.select("text", "content"), wanted).join(wanted, "content").groupBy("content", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
     blocks = pairs.groupBy("a").agg(F.ceil(F.sum("n_b") / BLOCK).cast("int").alias("blocks"))
     right = pairs.join(blocks, "a").join(texts.withColumnRenamed("node", "b"), "b")
     right = right.select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "b", "text")
@@ -367,10 +379,11 @@ def _cells(rows: DataFrame, leaf: int) -> DataFrame:
 def _leaves(rows: DataFrame, classes: DataFrame, percent: int, best: int | None) -> DataFrame:
     """Pairs (a, b) of regions that are not connected yet and that neither their sizes nor their coarser parities rule out.
 
-    With ``best`` only so many of each member, the likeliest ones: links among those leave little to compare for all others.
+    With ``best`` only so many of each member, the likeliest ones: links among those leave little to compare for all others. The cells in
+    which a member has more come as rows (cell, null).
     """
 
-    def region(nodes, sizes, roots, marks, bits):
+    def region(more, nodes, sizes, roots, marks, bits):
         # Sorted by size, so partners have as many classes or more, and their sizes go up to the largest that a link allows.
         last = np.searchsorted(100 * sizes, 10_000 * sizes // percent, "right")
         wide = [len(x) for x in bits]
@@ -386,30 +399,33 @@ def _leaves(rows: DataFrame, classes: DataFrame, percent: int, best: int | None)
             found = np.flatnonzero(meets & (differ * (100 + percent) <= (sizes[some] + sizes[i]) * (100 - percent)))
             if best is not None and len(found) > best:
                 found = found[np.argsort(differ[found], kind="stable")[:best]]
+                more.append(1)
             if len(found):
                 yield np.stack([np.maximum(nodes[found + i + 1], nodes[i]), np.minimum(nodes[found + i + 1], nodes[i])], axis=1)
 
     def run(batches):
-        held, pairs, gathered = None, [], 0
+        held, pairs, cut = None, [], []
         for rows in _columns(batches):
             rows = rows if held is None else [np.concatenate(x) for x in zip(held, rows)]
             starts = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))
             held = [x[starts[-1] :] for x in rows]  # the last cell may go on
             for a, b in zip(starts, starts[1:]):
-                pairs += region(*[x[a:b] for x in rows[1:]])
-            gathered = sum(map(len, pairs)) if len(pairs) else 0
-            if gathered > GATHERED:
+                pairs += region(more := [], *[x[a:b] for x in rows[1:]])
+                cut += [int(rows[0][a])] if more else []
+            if sum(map(len, pairs)) > GATHERED:
                 pairs = [np.unique(np.concatenate(pairs), axis=0)]
                 if len(pairs[0]) > GATHERED // 2:
-                    yield out(pairs)
-                    pairs = []
+                    yield out(pairs, cut)
+                    pairs, cut = [], []
         if held is not None:
-            pairs += region(*held[1:])
-        yield out(pairs)
+            pairs += region(more := [], *held[1:])
+            cut += [int(held[0][0])] if more else []
+        yield out(pairs, cut)
 
-    def out(pairs):
+    def out(pairs, cut):
         both = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+        rows = [both[:, 0].tolist() + cut, both[:, 1].tolist() + [None] * len(cut)]
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows], names=["a", "b"])
 
     cells = _cells(rows, LEAF).join(classes.select("node", "coarse"), "node").select("cell", "node", F.col("n").cast("long").alias("n"), "root", "mark", "coarse")
     return cells.repartition("cell").sortWithinPartitions("cell", "n", "node").mapInArrow(tidy(run), "a long, b long").distinct()
@@ -431,14 +447,18 @@ def connected(classes: DataFrame, docs: DataFrame, first: DataFrame, words: int,
 
     roots = components(_links(close(first.filter("kind = 0").select("a", "b").distinct(), percent), percent))
     rows = first.filter("kind = 1").select("key", F.col("a").alias("node"), F.col("b").cast("int").alias("n"))
-    for best in (BEST, None):
-        alive = stored(_alive(rows, roots), "regions")
-        if alive.isEmpty():
-            return roots
-        small = alive.filter(F.col("members") <= LEAF)
-        found = _links(close(_leaves(small, classes, percent, best), percent), percent)
-        roots = components(roots.select("a", "b").unionByName(found))
+    alive = stored(_alive(rows, roots), "regions")
     rows, before = alive.filter(F.col("members") > LEAF).select("key", "node", "n"), None
+    small = alive.filter(F.col("members") <= LEAF)
+    for best in (BEST, None):
+        found = stored(_leaves(small, classes, percent, best), "found")
+        roots = components(roots.select("a", "b").unionByName(_links(close(found.filter("b is not null"), percent), percent)))
+        if best:  # the cells with more partners, as far as they are not connected now
+            cut = found.filter("b is null").select(F.col("a").alias("cell")).distinct()
+            small = small.withColumn("cell", F.xxhash64("key", F.lit(0), F.lit(0))).join(cut, "cell", "left_semi")
+            small = stored(_alive(small.select("key", "node", "n"), roots), "regions")
+        if small.isEmpty():
+            break
     while True:
         alive = stored(_alive(rows, roots), "regions")
         state = alive.agg(F.count("*"), F.max("members")).first()
@@ -447,7 +467,7 @@ def connected(classes: DataFrame, docs: DataFrame, first: DataFrame, words: int,
         large = alive.filter(F.col("members") > LEAF)
         if state[1] <= LEAF or (before is not None and state[0] >= before):
             # Small enough, or so dense that windows take in nearly all: what is left is compared, large regions by a grid of blocks.
-            return components(roots.select("a", "b").unionByName(_links(close(_leaves(alive, classes, percent, None), percent), percent)))
+            return components(roots.select("a", "b").unionByName(_links(close(_leaves(alive, classes, percent, None).filter("b is not null"), percent), percent)))
         before = state[0]
         # Those outside the largest connected part come first: with them as pivots the rest is soon of one part.
         place = F.row_number().over(Window.partitionBy("key").orderBy(F.col("root") == F.col("main"), "node"))
