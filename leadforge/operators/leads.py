@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadforge.operators.skew import HOT_ROWS, flag_in, heaviest, salted_join
+from leadforge.operators.skew import equi_join, flag_in
 
 NEW, DUPLICATE, PROCESSED = "not processed", "duplicate", "processed"
 MISSING_ID = "error: lead id not found"
@@ -32,26 +32,18 @@ def mark_duplicates(
     df: DataFrame,
     key: str = "hashed_phone",
     order: tuple[str, ...] = ("file_seq", "row_seq"),
-    scope: tuple[str, ...] = ("partner_name", "batch_no"),
-    *,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+    scope: tuple[str, ...] = ("partner_name", "batch_no")) -> DataFrame:
     """Status of every uploaded row: the first row of a phone is new, later ones are duplicates.
 
     ``order`` is file position then row position inside the upload ``scope``; empty and NULL phones are
     never duplicates. ``duplicate_kind`` is ``in_file`` when the first row is in the same file, else
-    ``in_batch``. The first row per phone is a minimum (combined before the shuffle), and the join back
-    spreads phones that fill much of an upload.
+    ``in_batch``. The first row per phone is a minimum (combined before the shuffle); in the join back
+    adaptive execution splits phones that fill much of an upload.
     """
     keys = [*scope, key]
     usable = F.col(key).isNotNull() & (F.col(key) != "")
-    firsts = (
-        df.filter(usable)
-        .groupBy(*keys)
-        .agg(F.min(F.struct(*order)).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    )
-    hot = heaviest(firsts, keys, "_rows", hot_rows)
-    joined = salted_join(df, firsts.drop("_rows"), keys, "left", hot=hot)
+    firsts = df.filter(usable).groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
+    joined = equi_join(df, firsts, keys, "left")
     repeated = usable & (F.struct(*[F.col(c) for c in order]) != F.col("_first"))
     same_file = F.col(order[0]) == F.col("_first")[order[0]]
     return joined.select(
@@ -81,40 +73,38 @@ def _batch_filter(partner: str | None, batch: str | None) -> Column:
 
 def match_phone(
     raw: DataFrame, phone_base: DataFrame, partner: str | None = None, batch: str | None = None, *,
-    id_col: str = "lead_id", hot_rows: int = HOT_ROWS,
+    id_col: str = "lead_id",
 ) -> DataFrame:
     """New rows with their lead id. A phone that the base holds twice yields two rows."""
     fresh = raw.filter(_batch_filter(partner, batch) & (F.col("status") == NEW) & F.col("hashed_phone").isNotNull())
-    return salted_join(fresh, phone_base.select("hashed_phone", id_col), ["hashed_phone"], "inner", hot_rows=hot_rows)
+    return equi_join(fresh, phone_base.select("hashed_phone", id_col), ["hashed_phone"], "inner")
 
 
 def mark_missing(
     raw: DataFrame, phone_base: DataFrame, partner: str | None = None, batch: str | None = None, *,
-    label: str = MISSING_ID, hot_rows: int = HOT_ROWS,
+    label: str = MISSING_ID,
 ) -> DataFrame:
     """All rows, where new rows without a match in the phone base carry the error label."""
-    flagged = flag_in(raw, phone_base, ["hashed_phone"], "_known", hot_rows=hot_rows)
+    flagged = flag_in(raw, phone_base, ["hashed_phone"], "_known")
     missing = _batch_filter(partner, batch) & (F.col("status") == NEW) & ~F.col("_known")
     return flagged.withColumn("status", F.when(missing, label).otherwise(F.col("status"))).drop("_known")
 
 
 def mark_processed(
-    raw: DataFrame, processed: DataFrame, partner: str | None = None, batch: str | None = None, *,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+    raw: DataFrame, processed: DataFrame, partner: str | None = None, batch: str | None = None) -> DataFrame:
     """All rows, where new rows whose reference id reached the processed table become processed."""
     keys = ["partner_name", "batch_no", "partner_reference_id"]
-    flagged = flag_in(raw, processed, keys, "_done", hot_rows=hot_rows)
+    flagged = flag_in(raw, processed, keys, "_done")
     done = _batch_filter(partner, batch) & (F.col("status") == NEW) & F.col("_done")
     return flagged.withColumn("status", F.when(done, PROCESSED).otherwise(F.col("status"))).drop("_done")
 
 
 def settle(
     raw: DataFrame, phone_base: DataFrame, partner: str | None = None, batch: str | None = None, *,
-    label: str = MISSING_ID, hot_rows: int = HOT_ROWS,
+    label: str = MISSING_ID,
 ) -> DataFrame:
     """``mark_missing`` and ``mark_processed`` in one join: new rows become processed or carry the error label."""
-    flagged = flag_in(raw, phone_base, ["hashed_phone"], "_known", hot_rows=hot_rows)
+    flagged = flag_in(raw, phone_base, ["hashed_phone"], "_known")
     fresh = _batch_filter(partner, batch) & (F.col("status") == NEW)
     outcome = F.when(F.col("_known"), PROCESSED).otherwise(label)
     return flagged.withColumn("status", F.when(fresh, outcome).otherwise(F.col("status"))).drop("_known")

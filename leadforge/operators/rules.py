@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leadforge.operators.skew import HOT_ROWS, salted_join
+from leadforge.operators.skew import equi_join
 
 CRITERIA_SCHEMA = "logic string, rules array<struct<field: string, operator: string, value: double>>, version string"
 OPERATORS = {
@@ -73,13 +73,13 @@ def shortlist_ids(
     return df.filter(reduce(join, tests)).select(F.col(id_col).alias("id")).distinct()
 
 
-def filter_by_ids(df: DataFrame, ids: DataFrame, id_col: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def filter_by_ids(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of a file whose id is on the shortlist.
 
     The shortlist grows with the data, so it is not forced to be broadcast; the planner does so while it
     is small, and ids that fill much of a file are spread.
     """
-    return salted_join(df, ids.select(F.col("id").alias(id_col)).distinct(), [id_col], "left_semi", hot_rows=hot_rows)
+    return equi_join(df, ids.select(F.col("id").alias(id_col)).distinct(), [id_col], "left_semi")
 
 
 def shortlist_record(

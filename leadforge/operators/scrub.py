@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from leadforge.operators.skew import HOT_ROWS, flag_in, salted_join
+from leadforge.operators.skew import equi_join, flag_in
 from leadforge.session import durable
 
 ID_DIGITS = 12
@@ -99,11 +99,11 @@ def export_view(df: DataFrame) -> DataFrame:
 
 def mark_sent(
     processed: DataFrame, exchange: DataFrame, scrub_batch: str, as_of: dt.date, bureau: str, *,
-    id_col: str = "lead_id", hot_rows: int = HOT_ROWS,
+    id_col: str = "lead_id",
 ) -> DataFrame:
     """Processed leads of a scrub batch become sent, to the given bureau, on the given day."""
     batch = exchange.filter(F.col("scrub_batch_no") == scrub_batch)
-    flagged = flag_in(processed, batch, [id_col], "_sent", hot_rows=hot_rows)
+    flagged = flag_in(processed, batch, [id_col], "_sent")
     sent, flag = F.col("_sent"), f"sent_to_{bureau}"
     earlier = F.col(flag) if flag in processed.columns else F.lit(False)
     return flagged.withColumns(
@@ -117,12 +117,12 @@ def mark_sent(
 
 def mark_sent_to_second(
     exchange: DataFrame, second_exchange: DataFrame, scrub_batch: str | None = None, *,
-    id_col: str = "lead_id", hot_rows: int = HOT_ROWS,
+    id_col: str = "lead_id",
 ) -> DataFrame:
     """First-bureau rows whose lead is in the second exchange; of all batches unless one is named."""
     if scrub_batch is not None:
         second_exchange = second_exchange.filter(F.col("scrub_batch_no") == scrub_batch)
-    flagged = flag_in(exchange, second_exchange, [id_col], "_sent", hot_rows=hot_rows)
+    flagged = flag_in(exchange, second_exchange, [id_col], "_sent")
     return flagged.withColumn("sent_to_experian", F.col("_sent") | F.col("sent_to_experian")).drop("_sent")
 
 
@@ -131,7 +131,7 @@ EXCHANGE_COLUMNS = ["bureau_id", "hashed_phone", "phone", "pan_no", "scrub_batch
 
 def score_gate(
     exchange: DataFrame, responses: DataFrame, scrub_batch: str | None, min_score: int = 600, *,
-    id_col: str = "lead_id", hot_rows: int = HOT_ROWS,
+    id_col: str = "lead_id",
 ) -> DataFrame:
     """Leads of a scrub batch (all batches when None) that have a response at or above the score, once each."""
     good = responses.filter(F.col("score").try_cast("double") >= min_score).select(
@@ -140,7 +140,7 @@ def score_gate(
     leads = exchange.filter(F.col(id_col).isNotNull())
     if scrub_batch is not None:
         leads = leads.filter(F.col("scrub_batch_no") == scrub_batch)
-    passed = salted_join(leads, good, ["bureau_id"], "left_semi", hot_rows=hot_rows)
+    passed = equi_join(leads, good, ["bureau_id"], "left_semi")
     return passed.select(id_col, *EXCHANGE_COLUMNS)
 
 
@@ -151,32 +151,22 @@ def send_all(exchange: DataFrame, scrub_batch: str, *, id_col: str = "lead_id")
 def _received(processed: DataFrame, raw: DataFrame) -> DataFrame:
     """Distinct leads of each partner batch with their newest received date (rows without raw record drop)."""
     dates = raw.groupBy("partner_reference_id").agg(F.max("created_at").alias("received"))
-    rows = salted_join(
-        processed.select("partner_reference_id", "partner_name", "batch_no", "lead_id"), dates,
-        ["partner_reference_id"], "inner",
+    rows = equi_join(
+        processed.select("partner_reference_id", "partner_name", "batch_no", "lead_id"), dates, ["partner_reference_id"], "inner"
     )
     return rows.groupBy("partner_name", "batch_no", "lead_id").agg(F.max("received").alias("received"))
 
 
-def _exchange_ids(exchange: DataFrame, responses: DataFrame, response_id: str) -> DataFrame:
-    """Distinct (lead, bureau id) of an exchange; the answer is the bureau id, NULL without a response."""
-    answered = responses.select(F.col(response_id).alias("bureau_id")).distinct()
-    ids = exchange.groupBy("lead_id", "bureau_id").agg(F.max("scrub_batch_no").alias("sent_batch"))
-    return flag_in(ids, answered, ["bureau_id"], "_answered").select(
-        "lead_id", F.when(F.col("_answered"), F.col("bureau_id")).alias("answer"), "sent_batch"
-    )
-
+def _answers(exchange: DataFrame, responses: DataFrame, response_id: str) -> DataFrame:
+    """Exchange rows as (lead, answer, batch sent); the answer is the bureau id, NULL without a response."""
+    rows = exchange.select("lead_id", "bureau_id", F.col("scrub_batch_no").alias("sent_batch"))
+    known = flag_in(rows, responses.select(F.col(response_id).alias("bureau_id")), ["bureau_id"], "_answered")
+    return known.select("lead_id", F.when(F.col("_answered"), F.col("bureau_id")).alias("answer"), "sent_batch")
 
-def _sent_by_group(ids: DataFrame, leads: DataFrame, group: list[str], sent: str, answered: str, *batch) -> DataFrame:
-    """Distinct sent leads and answers of each group of leads.
 
-    Exchange rows lead the join, so that a lead that was sent very often is spread over many tasks.
-    """
-    members = leads.select(*group, "lead_id").distinct()
-    joined = salted_join(ids, members, ["lead_id"], "inner")
-    return joined.groupBy(*group).agg(
-        F.count_distinct("lead_id").alias(sent), F.count_distinct("answer").alias(answered), *batch
-    )
+def _distinct(bureau: int, column: str, name: str):
+    """How many different values the rows of one bureau have."""
+    return F.count_distinct(F.when(F.col("bureau") == bureau, F.col(column))).alias(name)
 
 
 def batch_summary(
@@ -185,29 +175,24 @@ def batch_summary(
 ) -> DataFrame:
     """Per partner batch: leads, sent, answered, scrub batch, and the same for the second bureau.
 
-    Every side is reduced to distinct keys before its join, and each bureau is counted on its own, so no
-    join multiplies rows; only the counts per batch meet at the end.
+    The rows of both exchanges, told apart by ``bureau``, meet the leads in one join and are counted with them in one
+    aggregate; counts are of distinct keys, so no row counts twice. Exchange rows lead the join, so that a lead that was
+    sent very often is split over tasks. Each input is read once; the leads are reduced once and used for both.
     """
     group = ["partner_name", "batch_no"]
     leads = _received(processed, raw)
-    totals = leads.groupBy(*group).agg(
-        F.max("received").alias("received_date"), F.count("lead_id").alias("total_records")
-    )
-    first = _sent_by_group(
-        _exchange_ids(exchange, responses, response_id), leads, group, "sent_count", "response_count",
-        F.max("sent_batch").alias("scrub_batch_no"),
-    )
-    second = _sent_by_group(
-        _exchange_ids(second_exchange, second_responses, "customer_id"), leads, group,
-        "sent_to_experian_count", "experian_response_count",
-    )
-    counts = ["sent_count", "response_count", "sent_to_experian_count", "experian_response_count"]
-    return (
-        totals.join(first, group, "left").join(second, group, "left").fillna(0, counts)
-        .select(*group, "received_date", "total_records", "sent_count", "response_count", "scrub_batch_no",
-                "sent_to_experian_count", "experian_response_count")
-        .orderBy(F.desc("received_date"))
+    sent = _answers(exchange, responses, response_id).withColumn("bureau", F.lit(1)).unionByName(
+        _answers(second_exchange, second_responses, "customer_id").withColumn("bureau", F.lit(2)))
+    met = equi_join(sent, leads, ["lead_id"], "inner")
+    own = leads.withColumns({"answer": F.lit(None).cast("string"), "sent_batch": F.lit(None).cast("string"), "bureau": F.lit(0)})
+    counted = own.unionByName(met).groupBy(*group).agg(
+        F.max("received").alias("received_date"),
+        F.count(F.when(F.col("bureau") == 0, F.col("lead_id"))).alias("total_records"),
+        _distinct(1, "lead_id", "sent_count"), _distinct(1, "answer", "response_count"),
+        F.max(F.when(F.col("bureau") == 1, F.col("sent_batch"))).alias("scrub_batch_no"),
+        _distinct(2, "lead_id", "sent_to_experian_count"), _distinct(2, "answer", "experian_response_count"),
     )
+    return counted.orderBy(F.desc("received_date"))
 
 
 def pending_summary(
@@ -241,26 +226,19 @@ def scrub_monitor(
         F.bool_or(F.col("score").try_cast("double") >= min_score).alias("scored"),
         F.count(F.lit(1)).alias("answers"),
     )
-    sent = recent.groupBy("scrub_batch_no", "lead_id", "bureau_id").agg(F.max("scrub_date").alias("scrub_date"))
-    first = salted_join(sent, hits, ["bureau_id"], "left")
-    lead = F.col("lead_id")
-    hit = F.when(F.col("answers").isNotNull(), F.col("bureau_id"))
-    counted = first.groupBy("scrub_batch_no").agg(
+    first = equi_join(recent.select("scrub_batch_no", "lead_id", "bureau_id", "scrub_date"), hits, ["bureau_id"], "left").select(
+        "scrub_batch_no", "lead_id", F.when(F.col("answers").isNotNull(), F.col("bureau_id")).alias("answer"),
+        F.when(F.col("scored"), F.col("lead_id")).alias("good_lead"), "scrub_date", "response_date", F.lit(1).alias("bureau"),
+    )
+    members = recent.select("scrub_batch_no", "lead_id").distinct()
+    second = equi_join(_answers(second_exchange, second_responses, "customer_id").drop("sent_batch"), members, ["lead_id"], "inner")
+    counted = first.unionByName(second.withColumn("bureau", F.lit(2)), allowMissingColumns=True).groupBy("scrub_batch_no").agg(
         F.max("scrub_date").alias("scrub_date"),
         F.max("response_date").alias("equifax_response_date"),
-        F.count_distinct(lead).alias("sent_to_equifax"),
-        F.count_distinct(hit).alias("equifax_hits"),
-        F.count_distinct(F.when(F.col("scored"), lead)).alias("score_gte_input"),
-    )
-    second = _sent_by_group(
-        _exchange_ids(second_exchange, second_responses, "customer_id"), sent, ["scrub_batch_no"],
-        "sent_to_experian", "experian_response",
-    )
-    return (
-        counted.join(second, "scrub_batch_no", "left").fillna(0, ["sent_to_experian", "experian_response"])
-        .withColumn("no_hits", F.col("sent_to_equifax") - F.col("equifax_hits"))
-        .orderBy(F.desc("scrub_date"))
+        _distinct(1, "lead_id", "sent_to_equifax"), _distinct(1, "answer", "equifax_hits"), _distinct(1, "good_lead", "score_gte_input"),
+        _distinct(2, "lead_id", "sent_to_experian"), _distinct(2, "answer", "experian_response"),
     )
+    return counted.withColumn("no_hits", F.col("sent_to_equifax") - F.col("equifax_hits")).orderBy(F.desc("scrub_date"))
 
 
 def response_status(responses: DataFrame, batch: str) -> DataFrame:

@@ -1,64 +1,24 @@
-"""Joins that stay even when one key holds a large share of the rows."""
+"""Joins on keys that may hold a large share of the rows.
+
+Adaptive execution sees the sizes of a join's shuffled partitions and reads a skewed one of the left side in several tasks, each with
+the other side's matching partition; rows with a NULL key, which all meet in one partition of an outer join, are split the same
+way. No pass over the data is needed to find heavy keys. What these functions add is the order of columns and reduced right sides,
+which keep the copied partitions small.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000  # a key is hot from this many rows on
-SALTS = 64
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All keys of a frame with at least ``hot_rows`` rows."""
-    return heaviest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys, "_rows", hot_rows)
-
-
-def heaviest(counted: DataFrame, keys: list[str], rows: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All heavy keys of an already counted frame: at most one for every ``hot_rows`` rows."""
-    return counted.filter(F.col(rows) >= hot_rows).select(*keys)
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    *,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Equi-join on ``keys`` that spreads the hot keys of ``left`` over ``salts`` sub-keys.
 
-    Rows of ``left`` with a hot key, or with a NULL key, get a sub-key from a hash of the whole row
-    (stable when a task is repeated). Rows of ``right`` with a hot key are copied to every sub-key;
-    all other rows have sub-key 0. The result equals the plain join, row for row. A caller that has
-    counted the keys already passes the heavy ones as ``hot`` and saves the counting pass.
-    """
-    if hot is None:
-        hot = hot_keys(left.dropna(subset=keys), keys, hot_rows)
-    hot = hot.withColumn("_hot", F.lit(True))  # adaptive execution broadcasts the list where its size, then known, allows
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
-    is_null = F.lit(False)
-    for k in keys:
-        is_null = is_null | F.col(k).isNull()
-    salted_left = (
-        left.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | is_null, spread).otherwise(0))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = (
-        right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    )
-    joined = salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
+def equi_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """The join on ``keys`` with the left columns first; a key column is the left one, so its split side leads."""
     rest = [c for c in right.columns if c not in keys] if how not in ("left_semi", "left_anti") else []
-    return joined.select(*left.columns, *rest)
+    return left.join(right, keys, how).select(*left.columns, *rest)
 
 
-def flag_in(left: DataFrame, right: DataFrame, keys: list[str], flag: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def flag_in(left: DataFrame, right: DataFrame, keys: list[str], flag: str) -> DataFrame:
     """``left`` with a boolean column: does its key occur in ``right``? NULL keys never do."""
     present = right.select(*keys).dropna().distinct().withColumn(flag, F.lit(True))
-    joined = salted_join(left, present, keys, "left", hot_rows=hot_rows)
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    return equi_join(left, present, keys, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -37,7 +37,7 @@ def test_score_gate_gives_each_lead_once(spark):
         [("l1", "b1", None, None, None, "batch_1", AS_OF), (None, "b2", None, None, None, "batch_1", AS_OF)],
         "lead_id string, bureau_id string, hashed_phone string, phone string, pan_no string, scrub_batch_no string, scrub_date date")
     responses = spark.createDataFrame([("b1", "650"), ("b1", "700"), ("b1", "bad"), ("b2", "800")], "reference_no string, score string")
-    assert [r["lead_id"] for r in S.score_gate(exchange, responses, "batch_1", 600, hot_rows=1).collect()] == ["l1"]
+    assert [r["lead_id"] for r in S.score_gate(exchange, responses, "batch_1", 600).collect()] == ["l1"]
 
 
 def test_batches_without_due_leads_get_a_warning(spark):
@@ -70,7 +70,7 @@ def test_settling_equals_the_two_single_steps(spark):
     processed = L.processed_rows(L.match_phone(raw, base), AS_OF)
     steps = L.mark_processed(L.mark_missing(raw, base), processed)
     pick = lambda df: sorted(map(str, df.select("partner_reference_id", "status").collect()))
-    assert pick(L.settle(raw, base, hot_rows=1)) == pick(steps)
+    assert pick(L.settle(raw, base)) == pick(steps)
 
 
 def test_a_second_run_changes_nothing(spark):
