@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadforge.catalog.cleaning import OFFER_MASKS, amount_sql, parsed_day
-from leadforge.catalog.lenders import OFFER_JSON, PREFR_CRITERIA
+from leadforge.catalog.features import features_sql
+from leadforge.catalog.lenders import OFFER_JSON, PREFR_CRITERIA, RULE_FEATURES
 from leadforge.catalog.shape import comparable, day, dbl
 from leadforge.catalog.views import AS_OF, Views, oracle
 from leadforge.operators import rules as R
+from leadforge.operators.features.tradelines import block_features
 from leadforge.plans import bureau as PB
 from leadforge.plans import lenders as PL
 from leadforge.plans import partner as PP
@@ -463,6 +465,33 @@ _register(
     """select '2002-01-01' as created_at, customer_id as bureau_id, 'PRFR' || customer_id as lender_uid, 'lender_batch_1' as lender_batch, 'prefr' as lender_name, 'experian' as bureau_type
  from scores where score_v3 >= 690""", "scores",
 )
+
+
+def _stored_features(v: Views) -> DataFrame:
+    path = scratch_path(v.spark, "rule-features")
+    block_features(v.tradelines_dpd, RULE_FEATURES).write.parquet(path)
+    return v.spark.read.parquet(path)
+
+
+def _rules_export(v: Views, logic: str):
+    """The record where all of prefr's rules act, on score files and stored features."""
+    done = PL.lender_export(
+        v.spark, _lender_root(v)[1], ["batch_1", "batch_2"], PREFR_CRITERIA | {"logic": logic}, "prefr", "experian", "lender_batch_1", AS_OF,
+        features=_stored_features(v), feature_id=F.concat(F.lit("PRFR"), "customer_id"), aliases={"dpd_m03_all": "max_dpd_l3m_all"})
+    return done[1]
+
+
+for _logic, _rules in (
+    ("AND", "s.score_v3 >= 690 and s.customer_id in (select customer_id from f where nbr_cc >= 1 and max_dpd_l3m_all = 10)"),
+    ("OR", "s.score_v3 >= 690 or s.customer_id in (select customer_id from f where nbr_cc >= 1 or max_dpd_l3m_all = 10)"),
+):
+    _register(
+        f"lender_export_rules_{_logic.lower()}", lambda v, logic=_logic: _rules_export(v, logic),
+        f"""with f as ({features_sql(RULE_FEATURES, 'tradelines_dpd')})
+ select '2002-01-01' as created_at, s.customer_id as bureau_id, 'PRFR' || s.customer_id as lender_uid, 'lender_batch_1' as lender_batch, 'prefr' as lender_name, 'experian' as bureau_type
+ from scores s where {_rules}""",
+        "tradelines", "tradelines_dpd", "scores",
+    )
 _register(
     "lender_offers",
     lambda v: PL.lender_offers(v.spark, _offer_files(v), AS_OF).drop("LENDERS_ATTRIBUTE"),

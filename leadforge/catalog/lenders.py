@@ -170,11 +170,11 @@ def _scored_features(v: Views):
     return v.scores.select("customer_id", F.col("score_v3").alias("score")).join(T.block_features(v.tradelines_dpd, features), "customer_id", "left")
 
 
-_rule_features = [f for f in S.tradeline_catalogue() if f.name == "nbr_cc"] + [f for f in T.dpd_catalogue() if f.name == "max_dpd_l3m_all"]
+RULE_FEATURES = [f for f in S.tradeline_catalogue() if f.name == "nbr_cc"] + [f for f in T.dpd_catalogue() if f.name == "max_dpd_l3m_all"]
 _register(
     "criteria_all_rules",
     lambda v: R.shortlist_ids(_scored_features(v), PREFR_CRITERIA, "customer_id", aliases={"dpd_m03_all": "max_dpd_l3m_all"}),
-    f"""select distinct s.customer_id as id from scores s join ({features_sql(_rule_features, 'tradelines_dpd')}) f on f.customer_id = s.customer_id
+    f"""select distinct s.customer_id as id from scores s join ({features_sql(RULE_FEATURES, 'tradelines_dpd')}) f on f.customer_id = s.customer_id
  where s.score_v3 >= 690 and f.nbr_cc >= 1 and f.max_dpd_l3m_all = 10""",
     "tradelines", "tradelines_dpd", "scores",
 )

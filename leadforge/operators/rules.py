@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import operator
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,6 +74,46 @@ def shortlist_ids(
     return df.filter(reduce(join, tests)).select(F.col(id_col).alias("id")).distinct()
 
 
+class Source(NamedTuple):
+    """A table that rules may ask: its rows, the id under which they are shortlisted, and column names by upper-case rule field."""
+
+    rows: DataFrame
+    id: Column
+    names: dict[str, str]
+
+
+def source(rows: DataFrame, id: Column, aliases: dict[str, str] | None = None) -> Source:
+    return Source(rows, id, {c.upper(): c for c in rows.columns} | {k.upper(): v for k, v in (aliases or {}).items()})
+
+
+def planned_ids(sources: list[Source], criteria: dict) -> DataFrame | None:
+    """Distinct ids that pass all rules, or any, by the criteria's logic word; None when a rule has an unknown operator or there is none.
+
+    Each rule goes to the first source that has its field. A source is read and filtered once, by all its rules together; the ids
+    of several sources are then intersected or united. An unknown field is an error that names it.
+    """
+    tests: dict[int, list[Column]] = {}
+    for rule in criteria.get("rules", []):
+        field = rule["field"].upper()
+        at = next((i for i, s in enumerate(sources) if field in s.names), None)
+        if at is None:
+            raise ValueError(f"no table holds the field {rule['field']!r}")
+        test = _test(rule, sources[at].names)
+        if test is None:
+            return None
+        tests.setdefault(at, []).append(test)
+    if not tests:
+        return None
+    either = str(criteria.get("logic", "AND")).upper() == "OR"
+    sets = [
+        sources[at].rows.filter(reduce(operator.or_ if either else operator.and_, own)).select(sources[at].id.alias("id"))
+        for at, own in tests.items()
+    ]
+    if either:
+        return reduce(lambda a, b: a.unionByName(b), sets).distinct()
+    return reduce(lambda a, b: a.join(b, "id", "left_semi"), sets[1:], sets[0].distinct())
+
+
 def filter_by_ids(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows of a file whose id is on the shortlist.
 

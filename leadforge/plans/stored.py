@@ -138,13 +138,14 @@ def store_shortlist(
     as_of: dt.date,
     path: str,
     target: str | None = None,
+    **features,
 ) -> DataFrame:
     """Shortlist a lender's batch by its stored criteria; files to ``target``, then the record, replaced by batch.
 
-    Without usable criteria or score files nothing is stored.
+    Without usable criteria or score files nothing is stored. With ``features`` (see ``lender_export``) all rules act.
     """
     layout, partition = TABLES["lenders_shortlisted"], ("lender_name", "bureau_type", "lender_batch")
-    done = PL.export_for_lender(spark, lenders, inventory, batches, lender, bureau, lender_batch, as_of, target)
+    done = PL.export_for_lender(spark, lenders, inventory, batches, lender, bureau, lender_batch, as_of, target, **features)
     if done is not None:
         _settled(done[1], path, layout, partition)
     return read_table(spark, path, layout)

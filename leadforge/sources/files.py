@@ -233,6 +233,14 @@ def scan_rows(
     for row in header_columns(heads, sep).toLocalIterator():  # a path per file, as Spark's own file index holds them
         layouts.setdefault(tuple(row["columns"]), []).append(row["path"])
     wanted = [f.name for f in schema.fields] if schema is not None else None
+    return scan_layouts(spark, layouts, wanted, sep=sep, null_tokens=null_tokens)
+
+
+def scan_layouts(
+    spark: SparkSession, layouts: dict[tuple[str, ...], list[str]], wanted: list[str] | None = None, *,
+    sep: str = "|", null_tokens: tuple[str, ...] = NULL_TOKENS,
+) -> DataFrame:
+    """``scan_rows`` of files that are grouped by header layout already."""
     scans = []
     for header, paths in layouts.items():
         columns = distinct_names(header)

@@ -51,6 +51,16 @@ def export_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "erro
     df.write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE).options(header=True, sep=sep).csv(path)
 
 
+def export_by_name(frames: list[DataFrame], path: str, name: str, sep: str = ",") -> None:
+    """Delimited files of many names below ``path``, a folder per value of the column ``name``; one write per layout.
+
+    The first write replaces all that a former run left, so a run that was cut short is simply repeated.
+    """
+    for mode, df in zip(["overwrite"] + ["append"] * len(frames), frames):
+        writer = df.hint("rebalance", F.col(name)).write.mode(mode).option("maxRecordsPerFile", ROWS_PER_FILE)
+        writer.options(header=True, sep=sep).partitionBy(name).csv(path)
+
+
 def export_summary(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").json(path)
 

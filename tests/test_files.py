@@ -3,7 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from leadforge.operators import rules as R
 from leadforge.operators.leads import mark_duplicates
 from leadforge.plans import bureau as PB
 from leadforge.plans import lenders as PL
@@ -213,3 +215,37 @@ def test_lender_export_keeps_shortlisted_rows_of_all_files(spark, tmp_path):
     assert sorted(r["bureau_id"] for r in record.collect()) == ["2", "3"]
     odd = {"rules": [{"field": "score", "operator": "~", "value": 1}]}
     assert PL.lender_export(spark, inventory, ["b1", "b2"], odd, "prefr", "experian", "lb1", AS_OF) is None
+
+
+def test_lender_export_plans_layouts_not_names(spark, tmp_path):
+    for i in range(200):
+        columns, row = (("CUSTOMER_ID|AMOUNT", "7"), ("CUSTOMER_ID|KIND|NOTE", "k|n"), ("NAME|CUSTOMER_ID", None))[i % 3]
+        lines = [f"PRFR{p}|{row}" if row else f"n{p}|PRFR{p}" for p in (1, 2)]
+        put(tmp_path / f"b{i % 2 + 1}" / f"file{i}.txt", "\n".join([columns, *lines]) + "\n")
+    put(tmp_path / "b1" / "score.txt", "CUSTOMER_ID|SCORE_V3\nPRFR1|600\n")
+    put(tmp_path / "b2" / "score.txt", "CUSTOMER_ID|SCORE_V3|FILE_NAME\nPRFR2|800|own\n")
+    criteria = {"rules": [{"field": "score", "operator": ">=", "value": 700}]}
+    out = str(tmp_path / "out")
+    kept, record = PL.lender_export(spark, SF.file_inventory(spark, str(tmp_path)), ["b1", "b2"], criteria, "prefr", "experian", "lb", AS_OF, out)
+    assert len(kept) == 201 and len(kept.frames) == 4
+    assert [r["lender_uid"] for r in record.collect()] == ["PRFR2"]
+    assert [tuple(r) for r in kept["score.txt"].collect()] == [("PRFR2", "800", "own")]
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in kept.frames]
+    assert sum(p.count("Relation") for p in plans) <= 10  # scans of layouts and of the id list
+    written = spark.read.options(header=True, sep="|").csv(f"{out}/prefr/lb/{kept.name}=file2.txt")
+    assert [tuple(r) for r in written.collect()] == [("n2", "PRFR2")]
+    assert len(list((tmp_path / "out/prefr/lb").glob(f"{kept.name}=*"))) == 201
+
+
+def test_rules_go_to_the_table_that_has_the_field(spark):
+    scores = spark.createDataFrame([("1", 700.0), ("2", 700.0), ("3", 500.0)], "id string, SCORE_V3 double")
+    features = spark.createDataFrame([("1", 1, 5), ("2", 0, 5), ("4", 3, 0)], "key string, cards int, late int")
+    sources = [R.source(scores, F.col("id"), {"score": "SCORE_V3"}), R.source(features, F.col("key"), {"dpd": "late"})]
+    rule = lambda field, op, value: {"field": field, "operator": op, "value": value}
+    pick = lambda logic, *rules: sorted(r["id"] for r in R.planned_ids(sources, {"logic": logic, "rules": rules}).collect())
+    assert pick("AND", rule("score", ">=", 600), rule("Cards", ">=", 1), rule("dpd", "=", 5)) == ["1"]
+    assert pick("OR", rule("score", ">=", 600), rule("cards", ">", 2)) == ["1", "2", "4"]
+    assert pick("AND", rule("cards", ">=", 1)) == ["1", "4"]
+    assert R.planned_ids(sources, {"rules": [rule("score", "~", 1)]}) is None and R.planned_ids(sources, {}) is None
+    with pytest.raises(ValueError, match="income"):
+        R.planned_ids(sources, {"rules": [rule("income", ">", 1)]})
