@@ -5,16 +5,17 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import quote
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leadforge.session import scratch_path
+
 # The few functions that run inside tasks travel with them, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -23,7 +24,8 @@ NULL_TOKENS = ("NULL", "NUL", "")
 BUREAU_ENDINGS = (".csv", ".txt", ".xlsx")
 PARTNER_ENDINGS = (".csv", ".xls", ".xlsx")  # only the first is read here
 
-HEAD_BYTES = 65_536
+SMALL_FILE = 1 << 20  # bytes; files up to this size are read whole for their first line
+HEAD_BYTES, HEADS_AT_ONCE = 16_384, 16
 
 
 def decoded(file_path: Column) -> Column:
@@ -78,20 +80,6 @@ def common_unique(inventory: DataFrame) -> DataFrame:
     )
 
 
-def _head(path: str) -> bytes:
-    """The first line of a file, read in small pieces."""
-    location = quote(path, safe="/:").replace("s3a://", "s3://", 1)
-    filesystem, inner = pafs.FileSystem.from_uri(location)
-    taken = b""
-    with filesystem.open_input_stream(inner) as stream:
-        while b"\n" not in taken:
-            piece = stream.read(HEAD_BYTES)
-            if not piece:
-                break
-            taken += piece
-    return taken
-
-
 def _first_line(content: bytes) -> tuple[str, str | None]:
     if content[:2] in (b"\xff\xfe", b"\xfe\xff"):
         even = content[: len(content) - len(content) % 2]
@@ -105,20 +93,54 @@ def _first_line(content: bytes) -> tuple[str, str | None]:
         return line.decode("latin1"), None
 
 
-def _read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(path, header, marker) of every file in a partition of (path, line)."""
+    last = None
     for batch in batches:
-        paths = batch.column("path").to_pylist()
-        heads = [_first_line(_head(p)) for p in paths]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(paths), pa.array([h for h, _ in heads], pa.string()), pa.array([m for _, m in heads], pa.string())],
-            ["path", "header", "marker"],
-        )
+        found = []
+        for path, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if path != last:  # a file's lines follow one another
+                found.append((path, *_first_line(line)))
+                last = path
+        columns = list(zip(*found)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["path", "header", "marker"])
+
+
+def _head(spark: SparkSession, path: str) -> tuple[str, str, str | None]:
+    """The same of one file, by the file access of Spark's readers: read piece by piece up to the end of its first line."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        taken = b""
+        while b"\n" not in taken and (piece := bytes(stream.readNBytes(HEAD_BYTES))):
+            taken += piece
+    finally:
+        stream.close()
+    return path, *_first_line(taken)
 
 
 def header_lines(inventory: DataFrame) -> DataFrame:
-    """First line and byte-order mark of every file, reading only the heads, one task per share of files."""
-    spread = inventory.select("path").repartition("path")
-    return spread.mapInArrow(_read_heads, "path string, header string, marker string")
+    """First line and byte-order mark of every file, from any store that Spark's readers open.
+
+    Files of up to ``SMALL_FILE`` are packed to partitions and read by Spark's text reader. Of a larger one only the first block is
+    wanted, for which Spark has no scan; the driver reads it, some files at a time, and keeps the line. The lines of the small ones
+    are written to the shared folder at once. (The text reader drops a UTF-8 mark; such a file counts as one without.)
+    """
+    spark = inventory.sparkSession
+    files = [(r["path"], r["bytes"]) for r in inventory.select("path", "bytes").distinct().toLocalIterator()]  # as in every scan
+    small = [literal(p) for p, n in files if n <= SMALL_FILE]
+    layout = "path string, header string, marker string"
+    with ThreadPoolExecutor(HEADS_AT_ONCE) as pool:
+        large = list(pool.map(lambda file: _head(spark, file[0]), [f for f in files if f[1] > SMALL_FILE]))
+    heads = spark.createDataFrame(large, layout)
+    if small:
+        lines = spark.read.schema("value string").option("lineSep", "\n").text(small)
+        rows = lines.select(decoded(F.col("_metadata.file_path")).alias("path"), F.col("value").cast("binary").alias("line"))
+        written = scratch_path(spark, "heads")
+        rows.mapInArrow(_heads, layout).write.parquet(written)
+        heads = heads.unionByName(spark.read.schema(layout).parquet(written))
+    named = inventory.select("path").distinct()
+    return named.join(heads, "path", "left").withColumn("header", F.coalesce("header", F.lit("")))  # an empty file has no line
 
 
 def header_columns(headers: DataFrame, sep: str = "|") -> DataFrame:

@@ -249,3 +249,36 @@ def test_rules_go_to_the_table_that_has_the_field(spark):
     assert R.planned_ids(sources, {"rules": [rule("score", "~", 1)]}) is None and R.planned_ids(sources, {}) is None
     with pytest.raises(ValueError, match="income"):
         R.planned_ids(sources, {"rules": [rule("income", ">", 1)]})
+
+
+@pytest.fixture
+def mounted(spark, tmp_path):
+    """The test's folder under an address that only Spark's readers know."""
+    spark._jsc.hadoopConfiguration().set(f"fs.viewfs.mounttable.{tmp_path.name}.link./data", tmp_path.as_uri())
+    return f"viewfs://{tmp_path.name}/data"
+
+
+def test_files_in_a_store_that_only_spark_opens(spark, tmp_path, mounted):
+    put(tmp_path / "bureau" / "b1" / "enq é+.txt", "CUSTOMER_ID|INQ_PURP_CD|INQ_DATE|M_SUB_ID|AMOUNT\nC1|13|01/01/2001|NBF|5\n")
+    inventory = SF.file_inventory(spark, f"{mounted}/bureau")
+    assert SF.scan_delimited(spark, inventory, SC.EXPERIAN["ENQ"])[0].count() == 1
+    assert [r["is_valid"] for r in SF.header_report(SF.header_columns(SF.header_lines(inventory)), SC.EXPERIAN["ENQ"]).collect()] == [True]
+    put(tmp_path / "partner" / "p.csv", "pid,phone\nP1,é\n", "utf-16")
+    put(tmp_path / "partner" / "q.csv", "\ufeffPID,PHONE\nP2,1\n")
+    rows = PF.scan_partner_csv(spark, SF.file_inventory(spark, f"{mounted}/partner"))
+    assert sorted((r["PARTNER_REFERENCE_ID"], r["HASHED_PHONE"]) for r in rows.collect()) == [("P1", "é"), ("P2", "1")]
+    put(tmp_path / "lender" / "b1" / "score.txt", "CUSTOMER_ID|SCORE_V3\nPRFR1|600\nPRFR2|800\n")
+    criteria = {"rules": [{"field": "score", "operator": ">=", "value": 700}]}
+    done = PL.lender_export(spark, SF.file_inventory(spark, f"{mounted}/lender"), ["b1"], criteria, "prefr", "experian", "lb", AS_OF)
+    assert [r["lender_uid"] for r in done[1].collect()] == ["PRFR2"]
+
+
+def test_of_a_large_file_only_the_head_is_read(spark, tmp_path):
+    body = "x|y\n" * 5_000_000
+    put(tmp_path / "b" / "large.txt", "A|B\n" + body)
+    put(tmp_path / "b" / "small.txt", "C\r\n1\r\n")
+    before = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead") or 0
+    got = {r["path"].rsplit("/", 1)[1]: r["header"] for r in SF.header_lines(SF.file_inventory(spark, str(tmp_path))).collect()}
+    read = (spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead") or 0) - before
+    assert got == {"large.txt": "A|B", "small.txt": "C"}
+    assert read < len(body) // 2
