@@ -6,8 +6,9 @@ its documents, shuffled anew for every repeat; a document's virtual finish time
 divided by the source's target. All queues together, in order of finish time, are cut at the total budget.
 
 Cases: a null text has size 0; a document without words is never taken; null sources are one source; an empty table gives
-no rows. Rows that agree in id, source and size stand in the queue together and are taken together. Extra columns are kept
-by ``mix`` and never read.
+no rows. Rows that repeat an id, or have none, stand in the queue singly: rows that agree in id, source, size and text digest are
+numbered, and the number is part of a row's place. Extra columns are kept by ``mix`` and never read. The end of the queue, which a
+range sort would give, is found by histograms of the finish times; only their sums pass the driver.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from leadforge.llm.common import guarded_broadcast, plain, running_total, stored
 
 WEIGHTS, SHARE, REPEATS, SEED = (3, 1, 2), 1.5, 2, 20
 BINS = 1024
-KEY = ["__id", "__name", "__nameless", "__size"]
+KEY = ["__id", "__name", "__nameless", "__size", "__digest"]
+RUN = 10_000  # rows that one array numbers
 
 
 def word_count(text: Column) -> Column:
@@ -28,10 +30,10 @@ def word_count(text: Column) -> Column:
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-    """``docs`` with the queue's key: id, source (null marked apart) and size."""
+    """``docs`` with the queue's key: id, source (null marked apart), size and a digest of the text."""
     return docs.withColumns({
         "__id": F.coalesce(F.col(doc_id).cast("string"), F.lit("")), "__name": F.coalesce(F.col(source), F.lit("")),
-        "__nameless": F.col(source).isNull(), "__size": word_count(F.col(text)),
+        "__nameless": F.col(source).isNull(), "__size": word_count(F.col(text)), "__digest": F.xxhash64(F.col(text)),
     })
 
 
@@ -84,18 +86,21 @@ def _cut(queue: DataFrame, order: str, budget: float) -> tuple[float, float]:
 
 
 def queue(narrow: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """The goals per source, and the times each key is taken (keys that are not taken are left out).
+    """The goals per source, and a row for each time a row of a key (``__copy``, from 1) is taken.
 
-    ``narrow`` has a row per key with ``words``, the words of all its rows, and is read several times.
+    ``narrow`` has a row per key with its ``rows`` and ``words``, the words of all of them, and is read several times.
     """
     goals = targets(narrow, weights, share, repeats)
     known = narrow.filter("words > 0").join(guarded_broadcast(goals, goals.count()), ["__name", "__nameless"])
-    turns = known.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    turns = turns.withColumn("place", F.xxhash64("__id", "__size", "turn", F.lit(seed)))
+    runs = known.withColumn("__from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"), F.lit(RUN).cast("long"))))
+    single = runs.withColumn("__copy", F.explode(F.sequence("__from", F.least(F.col("__from") + (RUN - 1), "rows")))).drop("__from")
+    turns = single.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    turns = turns.withColumn("place", F.xxhash64("__id", "__size", "__digest", "__copy", "turn", F.lit(seed)))
+    rows = narrow.agg(F.sum("rows")).first()[0] or 0
     # Every turn is one shuffled pass over a source; the passes before it have queued all its words.
-    turns = running_total(turns, ["__name", "__nameless", "turn"], "place", ["__id", "__size"], "words", "queued", narrow.count())
+    turns = running_total(turns, ["__name", "__nameless", "turn"], "place", ["__id", "__size", "__digest", "__copy"], "__size", "queued", rows)
     finish = (F.col("turn") * F.col("source_size") + F.col("queued")) / F.col("target")
-    line = stored(turns.select(*KEY, "words", "turn", F.col("place").cast("double").alias("place"), finish.alias("finish")), "queue")
+    line = stored(turns.select(*KEY, "__copy", F.col("__size").alias("words"), "turn", F.col("place").cast("double").alias("place"), finish.alias("finish")), "queue")
     budget = goals.agg(F.sum("target")).first()[0] or 0.0
     end, before = _cut(line, "finish", budget)
     # Queues may finish at the same time; the shuffled place decides among those.
@@ -105,7 +110,18 @@ def queue(narrow: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: int
 
 
 def _narrow(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*KEY).agg(F.sum("__size").alias("words"))
+    return rows.groupBy(*KEY).agg(F.sum("__size").alias("words"), F.count("*").alias("rows"))
+
+
+def _numbered(rows: DataFrame, narrow: DataFrame) -> DataFrame:
+    """The rows with ``__copy``: 1, or a number among those of the same key, which are alike, so that any order will do."""
+    several = stored(narrow.filter("rows > 1").select(*KEY), "several")
+    if several.isEmpty():
+        return rows.withColumn("__copy", F.lit(1).cast("long"))
+    alike = stored(rows.join(several, KEY, "left_semi").withColumn("__row", F.monotonically_increasing_id()), "alike")
+    line = alike.withColumns({"__order": F.xxhash64("__row"), "__one": F.lit(1).cast("long")})
+    numbered = running_total(line, KEY, "__order", ["__row"], "__one", "__copy", alike.count()).select(*plain(rows), "__copy")
+    return rows.join(several, KEY, "left_anti").withColumn("__copy", F.lit(1).cast("long")).select(*plain(rows), "__copy").unionByName(numbered)
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
@@ -115,10 +131,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     named = docs.select(*[c.alias(k) for c, k in zip(plain(docs), kept)])
     own = {c: kept[docs.columns.index(c)] for c in (doc_id, text, source)}
     rows = keyed(named, own[doc_id], own[text], own[source])
-    _, line = queue(stored(_narrow(rows), "sizes"), **options)
-    order = line.select(*[F.col(k).alias(f"{k}_q") for k in KEY], F.col("finish").alias("__finish"), F.col("place").alias("__place"))
-    same = [F.col(k) == F.col(f"{k}_q") for k in KEY]
-    mixed = rows.join(order, same).repartitionByRange("__finish", "__place").sortWithinPartitions("__finish", "__place")
+    narrow = stored(_narrow(rows), "sizes")
+    _, line = queue(narrow, **options)
+    key = [*KEY, "__copy"]
+    order = line.select(*[F.col(k).alias(f"{k}_q") for k in key], F.col("finish").alias("__finish"), F.col("place").alias("__place"))
+    same = [F.col(k) == F.col(f"{k}_q") for k in key]
+    mixed = _numbered(rows, narrow).join(order, same).repartitionByRange("__finish", "__place").sortWithinPartitions("__finish", "__place")
     return mixed.select(*[F.col(k).alias(c) for k, c in zip(kept, docs.columns)])
 
 
@@ -127,6 +145,7 @@ def taken(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     rows = stored(keyed(docs, doc_id, text, source).select(F.col(doc_id).alias("doc_id"), *KEY), "rows")
     narrow = stored(_narrow(rows), "sizes")
     goals, line = queue(narrow, **options)
-    copies = line.groupBy(*KEY).agg(F.count("*").alias("copies"))
-    return rows.join(guarded_broadcast(goals, goals.count()), ["__name", "__nameless"]).join(copies, KEY, "left").select(
+    copies = line.groupBy(*KEY, "__copy").agg(F.count("*").alias("copies"))
+    numbered = _numbered(rows, narrow)
+    return numbered.join(guarded_broadcast(goals, goals.count()), ["__name", "__nameless"]).join(copies, [*KEY, "__copy"], "left").select(
         "doc_id", F.col("__size").alias("size"), "source_size", "target", (F.col("__size") * F.coalesce("copies", F.lit(0))).alias("taken"))

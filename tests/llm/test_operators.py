@@ -181,6 +181,48 @@ def test_mixing_targets_and_limits(docs, nothing):
     assert mixed.columns == docs.columns and sum(len((r.text or "").split()) for r in mixed.collect()) > 0
 
 
+@pytest.mark.parametrize("ids", ["cast(null as long)", "id % 2", "id"])
+def test_each_source_comes_near_its_target_whatever_the_ids(spark, ids):
+    """Rows without an id, with few ids, and all equal rows stand in the queue singly."""
+    rows = spark.range(3000).selectExpr(f"{ids} doc_id", "concat('s', id % 3) source", "repeat('w ', cast(if(id % 3 = 0, 10, 5 + id % 7) as int)) text", "1 rows", "'x' __copy_")
+    got = mixing.taken(rows).collect()
+    per = {}
+    for r in got:
+        size, target, taken = per.get(r.source_size, (0, 0, 0))
+        per[r.source_size] = (size + r["size"], r.target, taken + r.taken)
+        assert r.taken <= 2 * r["size"]
+    assert len(got) == 3000 and len(per) >= 2
+    sources = rows.selectExpr("source", "size(split(trim(text), ' ')) n").groupBy("source").sum("n").count()
+    assert sources == 3
+    for size, (whole, target, taken) in per.items():
+        assert whole % size == 0 and abs(taken - target * (whole // size)) <= 2 * 11 * (whole // size), per
+    assert rows_of(mixing.taken(rows)) == sorted((tuple(r) for r in got), key=str)
+    mixed = mixing.mix(rows)
+    assert mixed.columns == rows.columns
+    assert sum(len(r.text.split()) for r in mixed.collect()) == sum(r.taken for r in got)
+
+
+def test_the_queue_by_brute_force(spark):
+    """Finish times, the cut and what is taken, row by row."""
+    rows = [(i % 40, "ab"[i % 2], "w " * (1 + i % 5), 1, 1) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, x int, y int")
+    narrow = mixing._narrow(mixing.keyed(df, "doc_id", "text", "source"))
+    goals, line = mixing.queue(narrow)
+    goal = {r["__name"]: (r.source_size, r.target) for r in goals.collect()}
+    taken = sorted(((r.finish, r.place, r["__name"], r.turn, r.words) for r in line.collect()))
+    budget = sum(t for _, t in goal.values())
+    own = {name: [] for name in goal}
+    for finish, place, name, turn, words in taken:
+        own[name].append((turn, place, finish, words))
+    for name, (size, target) in goal.items():
+        queued = {}
+        for turn, _, finish, words in sorted(own[name]):
+            queued[turn] = queued.get(turn, turn * size) + words
+            assert finish == pytest.approx(queued[turn] / target)
+    whole = sum(w for *_, w in taken)
+    assert whole <= budget < whole + 2 * 5
+
+
 # 4 ------------------------------------------------------------------------------------------------------------------
 
 
