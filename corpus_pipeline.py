@@ -24,20 +24,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays; of a group without any id, the row whose text
-    has the smallest digest.
-
-    Of rows that share the id kept, those of different texts stay.
+    """Of each group of near-duplicates one document stays: that with the smallest id (none comes last), of several texts under that id
+    the one with the smallest digest. Rows that agree in both stay once.
     """
-    digest = F.when(F.col("doc_id").isNull(), F.sha2(binary_text("text"), 256))
+    digest = F.sha2(binary_text("text"), 256)
     members = simhash.members(docs.select("doc_id", "text", digest.alias("digest")), words=WORDS, distance=DISTANCE, keep=("digest",))
-    groups = stored(members.filter("doc_id = component_id or component_id is null").select("doc_id", "digest", "root"), "groups")
-    first = groups.filter("doc_id is not null").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    mark = unused(docs, "__digest")
-    chosen = groups.filter("doc_id is null").groupBy("root").agg(F.min("digest").alias(mark)).select(mark)
-    nameless = docs.filter("doc_id is null").withColumn(mark, digest).join(chosen, mark, "left_semi").dropDuplicates([mark])
-    return named.select(*plain(docs)).unionByName(nameless.select(*plain(docs)))
+    first = members.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "digest")).alias("first"))
+    id_kept, mark = unused(docs, "__id"), unused(docs, "__digest")
+    chosen = first.select(F.col("first.doc_id").alias(id_kept), F.col("first.digest").alias(f"{mark}_kept"))
+    same = F.col("doc_id").eqNullSafe(F.col(id_kept)) & (F.col(mark) == F.col(f"{mark}_kept"))
+    kept = docs.withColumn(mark, digest).join(chosen, same, "left_semi").dropDuplicates(["doc_id", mark])
+    return kept.select(*plain(docs))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
