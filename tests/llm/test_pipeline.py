@@ -67,3 +67,12 @@ def test_rows_without_an_id_are_compared_too(spark, folder):
     got = corpus_pipeline.without_near_duplicates(spark, docs, folder).collect()
     first = min(base[1], base[1].upper(), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, base[0]), (None, first), (None, base[2]), (4, base[3])], key=str)
+
+
+def test_one_row_of_each_near_duplicate_group_stays_whatever_the_ids(spark, folder):
+    a, b, c = ("a b c d e f g", "q r s t u v w x y", "nobody has this one")
+    rows = [(3, b), (5, a), (5, b), (5, b), (None, a), (None, c), (None, c), (9, c + " at all")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, folder)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(3, b), (5, a), (None, c), (9, c + " at all")], key=str)
