@@ -377,6 +377,23 @@ _register(
 )
 
 
+def _replaced(v: Views):
+    """Files delivered again under their names, with other rows: theirs replace the former ones, other files' stay."""
+    first, second, target = (scratch_path(v.spark, kind) for kind in ("first", "again", "warehouse"))
+    write_named(_enq(v, "batch_no = 'batch_1'"), f"{first}/day", "enq")
+    write_named(_enq(v, "batch_no <> 'batch_1' and customer_id < 'C5'"), f"{first}/day", "kept enq")
+    write_named(_enq(v, "batch_no <> 'batch_1' and not customer_id < 'C5'"), f"{second}/day", "enq")
+    for root in (first, second):
+        files = durable(SF.file_inventory(v.spark, root))
+        durable(PB.load_table(v.spark, files, target, "ENQ", "experian", "batch_1", AS_OF, bucket_bytes=1 << 16))
+    return PB.stored_rows(v.spark, target, "ENQ").select(*STORED_ENQ, "batch_no")
+
+
+_register(
+    "bureau_replaced_files", _replaced, STORED_ENQ_SQL + ", 'batch_1' as batch_no from enquiries where batch_no <> 'batch_1'", "enquiries",
+)
+
+
 def _ingest_report(v: Views):
     return _ingested(v)[2].groupBy("batch", _stem(), "status").agg(
         F.count(F.lit(1)).alias("files"), *[F.sum(c).alias(c) for c in ("original_count", "bad_count", "final_count")])

@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from leadforge.operators import cleaning as C
 from leadforge.operators.lender_views import LENDERS, lender_view
@@ -15,12 +14,12 @@ from leadforge.operators.reports import EQUIFAX_TABLES, EXPERIAN_TABLES, route
 from leadforge.session import durable
 from leadforge.sources import files as SF
 from leadforge.sources import ledger as LG
+from leadforge.sources.filemap import BUCKET, BUCKET_BYTES, FILE, held_rows, place, store_files, stored_rows
 from leadforge.sources.schemas import BUREAUS
-from leadforge.sources.sinks import export_delimited, overwrite_partitions, with_audit
+from leadforge.sources.sinks import export_delimited, with_audit
 
 RESULT_SCHEMA = "batch string, folder string, file_name string, original_count bigint, bad_count bigint, final_count bigint, status string"
 TABLES = {"experian": EXPERIAN_TABLES, "equifax": EQUIFAX_TABLES}
-FILE = ["folder", "file_name"]  # what names a file
 BAD_ROWS = "bad_rows"
 
 
@@ -28,14 +27,6 @@ def routed(inventory: DataFrame, bureau: str, *, whole_words: bool = False) -> D
     return inventory.withColumn("table_name", route(F.col("file_name"), TABLES[bureau], whole_words=whole_words))
 
 
-def stored_rows(spark: SparkSession, target: str, table: str) -> DataFrame:
-    """A stored table's rows. Batch, folder and file are read as the text they are, never as numbers or dates."""
-    path = f"{target}/{table.lower()}"
-    names = ("batch_no", "table_name", *FILE)
-    layout = [T.StructField(f.name, T.StringType() if f.name in names else f.dataType) for f in spark.read.parquet(path).schema]
-    return spark.read.schema(T.StructType(layout)).parquet(path)
-
-
 def load_table(
     spark: SparkSession,
     files: DataFrame,
@@ -47,23 +38,27 @@ def load_table(
     *,
     sep: str = "|",
     heads: DataFrame | None = None,
+    bucket_bytes: int = BUCKET_BYTES,
 ) -> DataFrame:
     """Load a listing's files into one table below ``target``; returns rows read, bad and stored per file.
 
-    Text is parsed once, into the shared folder; cleaning and counts read that. Rows are stored by batch, folder and
-    file, rows with a wrong number of cells as text below ``bad_rows``. A repeated load of a file replaces its partitions.
+    Text is parsed once, into the shared folder; cleaning and counts read that. Rows are stored by batch and bucket (see
+    ``sources.filemap``), rows with a wrong number of cells as text below ``bad_rows`` in the same buckets. A repeated load
+    of a file replaces its rows, and rewrites its bucket only.
     """
     path = f"{target}/{table.lower()}"
+    placed = place(spark, files, target, table, batch_no, bucket_bytes)
     landed = durable(SF.scan_rows(spark, files, BUREAUS[bureau][table], sep=sep, heads=heads))
-    named = landed.join(files.select(F.col("path").alias("file_path"), *FILE), "file_path")  # broadcast where its size allows
+    named = landed.join(placed.select(F.col("path").alias("file_path"), *FILE, BUCKET), "file_path")  # broadcast where its size allows
     good = named.filter(F.col(SF.BAD).isNull()).drop("file_path", SF.BAD)
     cleaned = with_audit(C.clean_bureau_table(good, table, bureau), batch_no, as_of)
-    overwrite_partitions(cleaned, path, ("batch_no", *FILE))
-    bad = named.filter(F.col(SF.BAD).isNotNull()).select(F.col(SF.BAD).alias("line"), *FILE)
+    store_files(cleaned, placed, path, {"batch_no": batch_no})
+    bad = named.filter(F.col(SF.BAD).isNotNull()).select(F.col(SF.BAD).alias("line"), *FILE, BUCKET)
     bad = with_audit(bad.withColumn("table_name", F.lit(table)), batch_no, as_of)
-    overwrite_partitions(bad, f"{target}/{BAD_ROWS}", ("batch_no", "table_name", *FILE))
+    store_files(bad, placed, f"{target}/{BAD_ROWS}", {"batch_no": batch_no, "table_name": table})
     read = named.groupBy(*FILE).agg(F.count(F.lit(1)).alias("original_count"), F.count(SF.BAD).alias("bad_count"))
-    stored = stored_rows(spark, target, table).filter(F.col("batch_no") == batch_no)
+    # Of what was written now, the columns that name the file are read back.
+    stored = held_rows(spark, path, cleaned.schema, {"batch_no": batch_no}).join(placed.select(BUCKET).distinct(), BUCKET, "left_semi")
     kept = stored.groupBy(*FILE).agg(F.count(F.lit(1)).alias("final_count"))
     counted = files.select("batch", *FILE).join(read, FILE, "left").join(kept, FILE, "left")
     filled = counted.fillna(0, ["original_count", "bad_count", "final_count"])
@@ -86,7 +81,7 @@ def bureau_ingest(
 ) -> DataFrame:
     """Load the new files of one batch's inventory, one write per table; returns the load results per file.
 
-    A file is known by its folder and name. A repeated load of a file replaces its own partitions, and the lender export is
+    A file is known by its folder and name. A repeated load of a file replaces its own rows, and the lender export is
     replaced by the batch as stored so far, so a run that is cut short can simply be run again. Files already in the ledger
     are left out. The number of writes grows with the tables of the bureau, not with the files.
     """

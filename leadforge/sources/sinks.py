@@ -35,14 +35,18 @@ def in_table_layout(df: DataFrame, ddl: str) -> DataFrame:
     return named.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.fields])
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("batch_no",)) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, partition_by: tuple[str, ...] = ("batch_no",), within: tuple[str, ...] = ()
+) -> None:
     """Replace only the partitions that ``df`` holds, so that a repeated write changes nothing.
 
     ``df`` must not read from ``path``; pass a frame made durable first where it does. Rows are gathered by
     partition before the write, so that few files arise; a partition that is far larger than the others is
-    split again at run time.
+    split again at run time. Files are sorted by the columns ``within``.
     """
     gathered = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if within:
+        gathered = gathered.sortWithinPartitions(*partition_by, *within)
     writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(*partition_by).parquet(path)
 

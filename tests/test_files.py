@@ -10,6 +10,7 @@ from leadforge.operators.leads import mark_duplicates
 from leadforge.plans import bureau as PB
 from leadforge.plans import lenders as PL
 from leadforge.plans import partner as PP
+from leadforge.sources import filemap as FM
 from leadforge.sources import files as SF
 from leadforge.sources import ledger as LG
 from leadforge.sources import partner_files as PF
@@ -282,3 +283,54 @@ def test_of_a_large_file_only_the_head_is_read(spark, tmp_path):
     read = (spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead") or 0) - before
     assert got == {"large.txt": "A|B", "small.txt": "C"}
     assert read < len(body) // 2
+
+
+def _buckets(path):
+    return {p.name: {f.name: f.stat().st_mtime_ns for f in p.glob("part-*")} for p in path.glob("batch_no=batch_1/bucket=*")}
+
+
+def _enq_file(n):
+    return HEADER + "".join(f"C{n}|13|01/01/2001|NBF|{i}\n" for i in range(5))
+
+
+def _load_enq(spark, tmp_path, bucket_bytes, *names):
+    inventory = SF.file_inventory(spark, str(tmp_path / "in"))
+    files = inventory.filter(F.col("file_name").isin(*names)) if names else inventory
+    return PB.load_table(spark, files, str(tmp_path / "tables"), "ENQ", "experian", "batch_1", AS_OF, bucket_bytes=bucket_bytes).collect()
+
+
+def test_folders_follow_bytes_and_a_replaced_file_rewrites_its_bucket(spark, tmp_path):
+    """60 files make few folders; a file that comes again, with other rows, without any, or with bad rows, touches one."""
+    for n in range(60):
+        put(tmp_path / "in" / "d" / f"enq_{n}.txt", _enq_file(n))
+    room = 20 * len(_enq_file(10))
+    results = _load_enq(spark, tmp_path, room)
+    assert len(results) == 60 and {(r["original_count"], r["final_count"]) for r in results} == {(5, 5)}
+    table, target = tmp_path / "tables" / "enq", str(tmp_path / "tables")
+    before = _buckets(table)
+    assert set(before) == {"bucket=0", "bucket=1", "bucket=2"}
+    own = FM.file_map(spark, target, "ENQ", "batch_1").filter("file_name = 'enq_7.txt'").first()["bucket"]
+    put(tmp_path / "in" / "d" / "enq_7.txt", HEADER + "NEW|13|01/01/2001|NBF|1\nshort\n")
+    assert [(r["original_count"], r["bad_count"], r["final_count"]) for r in _load_enq(spark, tmp_path, room, "enq_7.txt")] == [(2, 1, 1)]
+    after = _buckets(table)
+    assert {b for b in before if before[b] != after[b]} == {f"bucket={own}"}
+    rows = PB.stored_rows(spark, target, "ENQ")
+    assert rows.count() == 59 * 5 + 1 and [r["CUSTOMER_ID"] for r in rows.filter("file_name = 'enq_7.txt'").collect()] == ["NEW"]
+    assert [r["CUSTOMER_ID"] for r in FM.file_rows(spark, target, "ENQ", "batch_1", "d", "enq_7.txt").collect()] == ["NEW"]
+    assert FM.file_rows(spark, target, "ENQ", "batch_1", "d", "none.txt").count() == 0
+    assert PB.stored_rows(spark, target, PB.BAD_ROWS).count() == 1
+    put(tmp_path / "in" / "d" / "enq_7.txt", HEADER)
+    assert _load_enq(spark, tmp_path, room, "enq_7.txt")[0]["status"] == "Failed"
+    assert PB.stored_rows(spark, target, "ENQ").count() == 59 * 5 and not list((tmp_path / "tables" / "bad_rows").rglob("part-*"))
+
+
+def test_a_bucket_with_room_takes_the_next_files(spark, tmp_path):
+    """Files that come one by one fill the last bucket first; a batch whose files hold no good row can be loaded."""
+    put(tmp_path / "in" / "d" / "enq_0.txt", HEADER + "short\n")
+    assert [(r["bad_count"], r["final_count"], r["status"]) for r in _load_enq(spark, tmp_path, 1000)] == [(1, 0, "Failed")]
+    for n in range(1, 8):
+        put(tmp_path / "in" / "d" / f"enq_{n}.txt", _enq_file(n))
+        assert [r["final_count"] for r in _load_enq(spark, tmp_path, 1000, f"enq_{n}.txt")] == [5]
+    entries = FM.file_map(spark, str(tmp_path / "tables"), "ENQ", "batch_1").collect()
+    assert len(entries) == 8 and len({e["bucket"] for e in entries}) < 5
+    assert PB.stored_rows(spark, str(tmp_path / "tables"), "ENQ").count() == 35
