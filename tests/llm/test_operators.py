@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import random
+import re
 import zlib
 
 import numpy as np
@@ -326,6 +327,17 @@ def test_shards_are_even_and_keep_groups(spark, docs, nothing):
     assert sharding.by_bytes(nothing).count() == 0
 
 
+def test_equal_rows_are_spread_over_shards_and_buckets(spark):
+    """A third of the rows without id and text: no shard, and no bucket of a running total, holds a large part of them."""
+    docs = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, F.repeat(F.lit("x"), (F.col("id") % 90).cast("int"))).alias("text"))
+    rows = sharding.shard(docs.repartition(5))
+    loads = [r.b for r in rows.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(loads) == 24 and max(loads) < 1.05 * min(loads)
+    slots = rows.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.max("slot").alias("m")).collect()
+    assert all(r.n == r.d == r.m + 1 for r in slots) and sum(r.n for r in slots) == 9000
+    assert sharding.numbered(sharding.documents(docs)).select("mark").distinct().count() == 9000
+
+
 # 8 ------------------------------------------------------------------------------------------------------------------
 
 
@@ -350,6 +362,87 @@ def test_thin_templates_are_judged_and_paths_read_to_their_end(spark):
     assert [got[i].template for i in (5, 6)] == ["/en/a/b/c/d/e/f/g", "/en/a/b/c/d/e/f/h"]
 
 
+def _plain_templates(paths, share=0.05, variety=12, z=2.0, smoothing=4.0):
+    """The tree level by level, node by node: {(host, path): (template, labels, purity)} of (host, path, labelled, blocked)."""
+    def read(segment):
+        if re.fullmatch(r"\d+(\.[A-Za-z]+)?", segment):
+            return "*"
+        return "\\" + segment if re.fullmatch(r"\\*(\*\*?|\+)", segment) else segment
+
+    prior = sum(p[3] for p in paths) / max(1, sum(p[2] for p in paths))
+    found = {}
+
+    def descend(template, above, urls, level):
+        labels, blocks = sum(u[2] for u in urls), sum(u[3] for u in urls)
+        purity = (blocks + smoothing * above) / (labels + smoothing)
+        children = {}
+        for u in urls:
+            if len(u[4]) == level:
+                found[u[0], u[1]] = (template, labels, purity)
+            else:
+                children.setdefault(u[4][level], []).append(u)
+        rare = {s for s, c in children.items() if s != "*" and len(c) < share * len(urls)}
+        branches = {}
+        for s, c in children.items():
+            n, k = sum(u[2] for u in c), sum(u[3] for u in c)
+            name = "*" if s in rare and len(rare) >= variety else s
+            if name != "*" and n and labels - n:
+                pooled = blocks / labels
+                error = (pooled * (1 - pooled) * (1 / n + 1 / (labels - n))) ** 0.5
+                name = "+" if abs(k / n - (blocks - k) / (labels - n)) <= z * error else name
+            branches.setdefault(name, []).extend(c)
+        for name, c in branches.items():
+            descend(f"{template}/{name}", purity, c, level + 1)
+
+    for host in {p[0] for p in paths}:
+        descend("", prior, [(*p, [read(s) for s in p[1].split("/")[1:]]) for p in paths if p[0] == host], 0)
+    return found
+
+
+def test_templates_by_brute_force(spark):
+    """Branching, shared and rare segments, ends inside the tree, segments that look like wildcards."""
+    draw = random.Random(5)
+    words = ["a", "b", "c", "*", "**", "+", "\\*", "7", "12.html", "", "é"]
+    known = {(f"h{draw.randrange(4)}", "".join("/" + draw.choice(words) for _ in range(draw.randrange(7)))) for _ in range(900)}
+    known |= {("h0", f"/rare/{i}x/end") for i in range(40)} | {("h1", "/one/long/chain/of/many/parts"), ("h5", "/x/y"), ("h5", "/x/z/w")}
+    paths = [(host, path, labelled, labelled * draw.randrange(2)) for host, path in sorted(known) for labelled in [int(host != "h3" and draw.random() < 0.4)]]
+    df = spark.createDataFrame([(h, p, 1, n, k) for h, p, n, k in paths], "host string, path string, n long, labelled long, blocked long")
+    got = {(r.host, r.path): r for r in url_filter.templates(df).collect()}
+    want = _plain_templates(paths)
+    assert got.keys() == want.keys()
+    for key, (template, labels, purity) in want.items():
+        assert abs(got[key].purity - purity) < 1e-9 and (got[key].labels > 0) == (labels > 0), key
+        if labels:  # below a node without labels numbers are generalised, rare segments are not
+            assert (got[key].template, got[key].labels) == (template, labels)
+
+
+def test_one_deep_url_adds_no_rounds(spark, monkeypatch):
+    """One labelled and one unlabelled url of 1,000 segments among plain ones."""
+    rounds = []
+    branched = url_filter._branched
+    monkeypatch.setattr(url_filter, "_branched", lambda *a: rounds.append(1) or branched(*a))
+    plain_urls = [f"http://q.net/{'fr' if i % 2 else 'en'}/{i % 7}/p{i % 5}" for i in range(200)]
+    deep = ["http://q.net/fr" + "/s" * 1000, "http://q.net/en" + "/t" * 1000, "http://q.com" + "/u" * 1000]
+    found = []
+    for urls in (plain_urls, plain_urls + deep):
+        rounds.clear()
+        df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        got = {r.page_id: r for r in url_filter.verdicts(df).collect()}
+        assert len(got) == len(urls)
+        found.append(len(rounds))
+    assert found[1] <= found[0] + 1
+    assert got[200].verdict == "block" and got[201].verdict == "allow" and got[200].path == "/fr" + "/s" * 1000
+
+
+def test_hidden_rules_measure_the_tree(spark):
+    urls = [f"http://h{i % 5}.net/{('fr', 'es')[i % 2]}/{i}" for i in range(300)] + [f"http://h{i % 5}.com/a/{i}" for i in range(300)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    row = url_filter.hidden_rules(pages).first()
+    assert row["judged"] > 150 and row["precision"] == 1.0 and row["recall"] == 1.0
+    none = url_filter.hidden_rules(pages.limit(0)).first()
+    assert none["judged"] == 0 and none["precision"] is None
+
+
 # 9 ------------------------------------------------------------------------------------------------------------------
 
 
