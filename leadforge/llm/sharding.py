@@ -1,8 +1,8 @@
 """Sharding by balanced label propagation: linked documents move to one shard, the shards' bytes stay near equal.
 
 Documents are linked through the group they belong to (equal texts), as a star: document to group, never document to
-document. A document starts in the shard its id hashes to. In each round a group takes the label in which most of its
-bytes lie, and its members elsewhere ask to follow. Per shard a quota of bytes admits the askers, in the order of a hash
+document. A document starts in the shard its id hashes to; of rows that agree in id and text each starts in one of its own. In
+each round a group takes the label in which most of its bytes lie, and its members elsewhere ask to follow. Per shard a quota of bytes admits the askers, in the order of a hash
 of their group, so that groups move whole. Groups too large for a shard stay spread by design of the quota. Last, ballast
 (documents without links first) moves from full shards to open ones, in rounds, until the sizes are near equal.
 
@@ -31,6 +31,16 @@ def documents(docs: DataFrame) -> DataFrame:
     ).withColumn("mark", F.xxhash64("doc_id", "group"))  # repeated rows share a mark
 
 
+def numbered(narrow: DataFrame) -> DataFrame:
+    """The rows with a stored number ``row``; those that share a mark get marks of their own from it.
+
+    So equal rows, however many, lie in many buckets, and all other marks depend on id and text alone.
+    """
+    rows = stored(narrow.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    shared = stored(rows.groupBy("mark").agg(F.count("*").alias("copies")).filter("copies > 1").select("mark", F.lit(True).alias("shared")), "shared")
+    return rows.join(shared, "mark", "left").withColumn("mark", F.when(F.col("shared"), F.xxhash64("mark", "row")).otherwise(F.col("mark"))).drop("shared")
+
+
 def _admit(askers: DataFrame, quota: DataFrame, order: str, rows: int, cost: str = "size") -> DataFrame:
     """The askers (with ``target``) whose running bytes per target stay within its quota."""
     line = running_total(askers, ["target"], order, ["doc_id", "size"], cost, "asked", rows)
@@ -104,12 +114,11 @@ def settle(labelled: DataFrame, shards: int, rounds: int, rows: int) -> DataFram
 
 def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, settling: int = SETTLING, slack: float = SLACK) -> DataFrame:
     """Per document: size, checksum, shard, slot in the shard (gapless from 0), and its group."""
-    narrow = documents(docs).withColumn("row", F.monotonically_increasing_id()).withColumn("label", F.pmod("mark", F.lit(shards)).cast("int"))
-    narrow = stored(narrow, "documents")
+    narrow = stored(numbered(documents(docs)).withColumn("label", F.pmod("mark", F.lit(shards)).cast("int")), "documents")
     rows = narrow.count()
     labelled = settle(propagate(narrow, shards, rounds, slack, rows), shards, settling, rows)
-    numbered = running_total(labelled.withColumn("one", F.lit(1)), ["label"], "mark", ["doc_id", "row"], "one", "slot", rows)
-    return numbered.select("doc_id", "size", "text_crc32", F.col("label").alias("shard"), (F.col("slot") - 1).alias("slot"), "group")
+    slots = running_total(labelled.withColumn("one", F.lit(1)), ["label"], "mark", ["doc_id", "row"], "one", "slot", rows)
+    return slots.select("doc_id", "size", "text_crc32", F.col("label").alias("shard"), (F.col("slot") - 1).alias("slot"), "group")
 
 
 def by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
