@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from leadforge.llm.common import ship
+from leadforge.llm.common import ship, stored
 
 VERSION = "WARC/1.1"
+COPIES = 1000  # of equal rows, that are written by one task in one go
 CRLF = "\r\n"
 CAPTURES = ("response", "revisit", "resource")
 RECORD = """record_id string, record_type string, date string, target_uri string, concurrent_to array<string>, refers_to string,
@@ -51,27 +51,39 @@ def _safe_url(url: Column) -> Column:
     return url
 
 
-def classify(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> DataFrame:
-    """One row per page: its payload, record type and the id of the response that a revisit refers to.
+def _marked(value: Column) -> Column:
+    """A value as text that differs from that of a missing one."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
 
-    The digests are grouped and joined on narrow rows, where adaptive execution can split a payload that many pages
-    share. The payloads are shuffled once, by payload and id, which spreads equal payloads over all tasks.
+
+def classify(
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, block: int = COPIES
+) -> tuple[DataFrame, DataFrame]:
+    """(captures, payloads): a narrow row per page with its record type, and each payload once by its ``key``.
+
+    Rows that agree in payload, id and url are counted, not numbered: however many they are, they meet as one row per map
+    task. They become captures again in blocks of ``block`` that are spread over all tasks. Joins meet stored narrow tables,
+    so adaptive execution can split a payload that many pages share. Payloads are combined before their shuffle.
     """
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).alias("payload"))
-    rows = rows.withColumns({
-        "key": F.concat_ws(":", F.sha2(F.col("payload").cast("binary"), 256), F.octet_length("payload").cast("string")),
-        "pid": F.coalesce(F.col("page_id").cast("string"), F.lit("")),
-        "size": F.octet_length("payload"),
-    })
-    newest = rows.groupBy("key").agg(F.max("page_id").alias("newest"))
-    narrow = rows.select("key", "pid").distinct().join(newest, "key")
-    occurrence = Window.partitionBy("key", "pid").orderBy(F.col("url").asc_nulls_last())
-    placed = rows.withColumn("occurrence", F.row_number().over(occurrence)).join(narrow, ["key", "pid"])
-    first = (F.col("pid") == F.coalesce(F.col("newest").cast("string"), F.lit(""))) & (F.col("occurrence") == 1)
-    return placed.withColumns({
-        "is_response": first | (F.col("size") < least),
-        "newest_pid": F.coalesce(F.col("newest").cast("string"), F.lit("")),
-    })
+    data = F.col("payload").cast("binary")
+    rows = rows.withColumn("key", F.concat_ws(":", F.sha2(data, 256), F.octet_length("payload").cast("string")))
+    payloads = rows.groupBy("key").agg(F.any_value("payload").alias("payload"))
+    described = rows.select("key", "page_id", "url", base32_sha1(data).alias("digest"), F.octet_length("payload").alias("size"))
+    counts = described.groupBy("key", "page_id", "url").agg(F.count("*").alias("n"), F.min("digest").alias("digest"), F.min("size").alias("size"))
+    counts = stored(counts, "counts")
+    # Of a payload's rows the one with the largest id is first (a null id is the smallest), then the least url, a null one last.
+    by_id = counts.groupBy("key", "page_id").agg(F.min(F.struct(F.col("url").isNull().alias("none"), "url")).alias("least"))
+    first = stored(by_id.groupBy("key").agg(F.max(F.struct("page_id", "least")).alias("first")), "first")
+    equal = F.col("page_id").eqNullSafe(F.col("first.page_id")) & F.col("url").eqNullSafe(F.col("first.least.url"))
+    found = counts.join(first, "key").withColumn("equal", equal).drop("first")
+    blocks = found.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / block))))
+    spread = blocks.repartition("key", "page_id", "url", "block")
+    low = F.col("block") * block
+    captures = spread.withColumn("number", F.explode(F.sequence(low, F.least(F.col("n"), low + block) - 1)))
+    leads = F.col("equal") & (F.col("number") == 0)
+    captures = captures.withColumns({"is_first": leads, "is_response": leads | (F.col("size") < least)})
+    return captures.drop("equal", "block", "n"), payloads
 
 
 def _header(*lines: tuple[str, Column]) -> Column:
@@ -81,11 +93,15 @@ def _header(*lines: tuple[str, Column]) -> Column:
 
 def write(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", codec: str = "gzip", least: int = 0, **columns) -> None:
     """Writes the archives; a task's rows are one file. The text writer's line end is the end that WARC asks for."""
-    rows = classify(pages, least=least, **columns)
+    captures, payloads = classify(pages, least=least, **columns)
+    captures = stored(captures, "captures")
+    revisits = captures.filter("not is_response").withColumn("payload", F.lit(""))
+    rows = captures.filter("is_response").join(payloads, "key").unionByName(revisits)
     body = F.col("payload")
-    own = _urn(F.lit("response"), F.col("key"), F.col("pid"), F.col("occurrence").cast("string"))
-    newest = _urn(F.lit("response"), F.col("key"), F.col("newest_pid"), F.lit("1"))
-    digest = F.concat(F.lit("sha1:"), base32_sha1(body.cast("binary")))
+    newest = _urn(F.lit("response"), F.col("key"))
+    own = F.when(F.col("is_first"), newest).otherwise(
+        _urn(F.lit("copy"), F.col("key"), _marked(F.col("page_id")), _marked(F.col("url")), F.col("number").cast("string")))
+    digest = F.concat(F.lit("sha1:"), F.col("digest"))
     uri, when = _safe_url(F.col("url")), F.lit(date)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit(CRLF + CRLF))
     block = F.when(F.col("is_response"), F.concat(http, body)).otherwise(http)

@@ -75,6 +75,21 @@ def test_warc_round_trip(spark, tmp_path):
     assert payloads == {(h or "").encode() for _, _, h, *_ in rows}
 
 
+def test_warc_equal_rows_by_the_thousand(spark, tmp_path):
+    """Rows without id, url and payload, rows that agree in all three, and one payload under many urls: one response each."""
+    rows = [(None, None, None, "r", "p")] * 2500 + [(7, "http://h/7", "same", "r", "p")] * 1200 + [(None, f"http://h/{i}", "shared", "r", "p") for i in range(300)]
+    path = str(tmp_path / "archive")
+    warc.write(spark.createDataFrame(rows, PAGES).repartition(6), path)
+    records = warc.read(spark, path)
+    assert records.count() == 12_000 and records.select("record_id").distinct().count() == 12_000
+    got = warc.captures(warc.assemble(records)).groupBy("page_id", "payload_bytes", "record_type", "refers_to").count().collect()
+    assert {tuple(r) for r in got} == {
+        (None, 0, "response", None, 1), (None, 0, "revisit", None, 2499), (7, 4, "response", None, 1), (7, 4, "revisit", 7, 1199),
+        (None, 6, "response", None, 1), (None, 6, "revisit", None, 299)}
+    captures, _ = warc.classify(spark.createDataFrame(rows, PAGES), least=5)
+    assert captures.filter("is_response").count() == 2500 + 1200 + 1 and captures.filter("is_first").count() == 3
+
+
 def test_warc_empty_loose_and_damaged(spark, tmp_path):
     path = str(tmp_path / "none")
     warc.write(spark.createDataFrame([], PAGES), path)
