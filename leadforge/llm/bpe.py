@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from leadforge.llm.common import ship, tidy
 
-WORDS_KEPT = 250_000
+WORDS_KEPT, WORD_LENGTH, BYTES_KEPT = 250_000, 64, 32 << 20  # of the cache: words, characters of one, bytes of all
 PAIRS_KEPT = 400_000
 ROWS = 256
 END = "Ā"  # stands behind the last byte of a word; bytes are the characters below it
@@ -156,6 +156,7 @@ class Encoder:
         self.vocabulary = vocabulary
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
+        self.held = 0
         self.assigned: dict[str, bool] = {}
         self._plain = None
 
@@ -197,9 +198,15 @@ class Encoder:
         return ids
 
     def _missing(self, word: str) -> bytes:
-        if len(self.words) >= WORDS_KEPT:
-            self.words.clear()
-        raw = self.words[word] = np.array(self.piece(word.encode("utf-8", "surrogatepass").decode("latin-1")), np.int32).tobytes()
+        """The ids of a word that is not kept. Only short words are, and of them so many bytes, whatever the texts hold."""
+        raw = np.array(self.piece(word.encode("utf-8", "surrogatepass").decode("latin-1")), np.int32).tobytes()
+        if len(word) <= WORD_LENGTH:
+            size = 4 * len(word) + len(raw)
+            if len(self.words) >= WORDS_KEPT or self.held + size > BYTES_KEPT:
+                self.words.clear()
+                self.held = 0
+            self.words[word] = raw
+            self.held += size
         return raw
 
     def _known(self, text: str) -> bool:

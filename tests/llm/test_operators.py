@@ -264,6 +264,19 @@ def test_bpe_words_by_brute_force():
     assert json.loads(description)["model"]["type"] == "BPE"
 
 
+def test_the_word_cache_is_bounded_in_bytes(monkeypatch):
+    """Long words are not kept; short ones are cleared at the bound; ids stay the same."""
+    monkeypatch.setattr(bpe, "BYTES_KEPT", 2000)
+    with open(catalog.tokenizer_path(), encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    bounded, texts = bpe.Encoder(vocabulary), ["x" * 5000, " ".join(f"word{i}" for i in range(300)), "y" * 65 + " z"]
+    first = [bounded.encode(t) for t in texts]
+    assert bounded.held <= 2000 and max(map(len, bounded.words)) <= 64
+    assert bounded.held == sum(4 * len(w) + len(raw) for w, raw in bounded.words.items())
+    monkeypatch.undo()
+    assert first == [bpe.Encoder(vocabulary).encode(t) for t in texts]
+
+
 # 5 ------------------------------------------------------------------------------------------------------------------
 
 
