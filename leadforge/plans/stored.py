@@ -35,9 +35,12 @@ def _settled(rows: DataFrame, path: str, layout: str, partition: tuple[str, ...]
 
 
 def _with_leads(table: DataFrame, leads: DataFrame, partition: str) -> DataFrame:
-    """The partitions of a table that hold one of the leads; all others keep their files as they are."""
+    """The partitions of a table that hold one of the leads; all others keep their files as they are.
+
+    The touched partitions are one row each, so they are broadcast: a shuffle by partition would put a whole one in a task.
+    """
     touched = table.join(leads, "lead_id", "left_semi").select(F.col(partition).alias("_touched")).distinct()
-    return table.join(touched, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
+    return table.join(F.broadcast(touched), F.col(partition).eqNullSafe(F.col("_touched")), "left_semi")
 
 
 def _store_sent(processed: DataFrame, path: str, rows: DataFrame, scrub_batch: str, as_of: dt.date, bureau: str) -> None:

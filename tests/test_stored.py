@@ -89,3 +89,19 @@ def test_the_newest_active_readable_criteria_hold(spark):
     assert R.stored_criteria(lenders, "zype", "equifax")["rules"] == [{"field": "score", "operator": ">=", "value": 650.0}]
     assert R.stored_criteria(lenders, "zype", "experian") is None
     assert PL.export_for_lender(spark, lenders, None, [], "prefr", "equifax", "b", AS_OF) is None
+
+
+def test_untouched_rows_are_not_shuffled_by_partition(spark, tmp_path):
+    """A table of few partitions: finding those that hold a lead puts no whole partition in one task."""
+    rows = [(f"l{i}", f"batch_{i % 4 + 1}") for i in range(200)]
+    spark.createDataFrame(rows, "lead_id string, batch_no string").write.partitionBy("batch_no").parquet(str(tmp_path / "t"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = spark.read.parquet(str(tmp_path / "t"))
+        found = ST._with_leads(table, table.filter("lead_id in ('l1', 'l2', 'l5')").select("lead_id"), "batch_no")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [coalesce(batch_no" in plan, plan
+        assert {r["batch_no"] for r in found.collect()} == {"batch_2", "batch_3"} and found.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
