@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leadforge.catalog.features import features_sql
 from leadforge.catalog.shape import comparable
+from leadforge.catalog.views import DPD_TEMPLATE, Views
 from leadforge.operators.features import risk as R
 from leadforge.operators.features import spec as S
 from leadforge.operators.features import tradelines as T
@@ -127,3 +128,33 @@ def test_missing_delinquency_passes_the_ladder(spark):
     kinds = ", ".join(f"{k} {'double' if k.endswith('util') else 'int'}" for k in GOOD)
     frame = spark.createDataFrame([tuple({**GOOD, **change}.values())], kinds)
     assert frame.select(R.customer_category().alias("got")).first()["got"] == "CAT-A1"
+
+
+def _largest_method(frame):
+    """Bytes of the largest generated method; the JIT compiles up to 8,000."""
+    stages = frame._jdf.queryExecution().debug().codegenToSeq()
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))
+
+
+def test_delinquency_compiles_to_small_methods(spark, folder):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.codegen.hugeMethodLimit")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+        accounts = Views(spark, folder).tradelines_dpd
+        for frame in (accounts, R.dpd_features(accounts), T.account_rows(accounts, days_past_due=True)):
+            assert _largest_method(frame) <= 8000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_months_of_delinquency_equal_their_plain_cases(spark, monkeypatch):
+    """Also where keys are negative or missing."""
+    rows = spark.sql("""select a.id - 20 k1, b.id - 15 k2, c.id - 2 dpd_class from range(40) a, range(30) b, range(5) c
+        union all select * from values (null, 1L, 1L), (5L, null, 0L), (5L, null, 1L), (7L, 3L, null), (null, null, null)""")
+    monkeypatch.setattr(Views, "tradelines", rows, raising=False)
+    plain = rows.selectExpr("*", *[f"{DPD_TEMPLATE.format(n=n)} as days_past_due_{n:02d}" for n in range(1, 37)])
+    got = Views(spark, "").tradelines_dpd
+    assert got.schema.simpleString() == plain.schema.simpleString()
+    assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
