@@ -49,7 +49,8 @@ def load_table(
     path = f"{target}/{table.lower()}"
     placed = place(spark, files, target, table, batch_no, bucket_bytes)
     landed = durable(SF.scan_rows(spark, files, BUREAUS[bureau][table], sep=sep, heads=heads))
-    named = landed.join(placed.select(F.col("path").alias("file_path"), *FILE, BUCKET), "file_path")  # broadcast where its size allows
+    # A row per file, as in every listing: broadcast, since a shuffle by file would put all rows of a file in one task.
+    named = landed.join(F.broadcast(placed.select(F.col("path").alias("file_path"), *FILE, BUCKET)), "file_path")
     good = named.filter(F.col(SF.BAD).isNull()).drop("file_path", SF.BAD)
     cleaned = with_audit(C.clean_bureau_table(good, table, bureau), batch_no, as_of)
     store_files(cleaned, placed, path, {"batch_no": batch_no})
@@ -58,7 +59,7 @@ def load_table(
     store_files(bad, placed, f"{target}/{BAD_ROWS}", {"batch_no": batch_no, "table_name": table})
     read = named.groupBy(*FILE).agg(F.count(F.lit(1)).alias("original_count"), F.count(SF.BAD).alias("bad_count"))
     # Of what was written now, the columns that name the file are read back.
-    stored = held_rows(spark, path, cleaned.schema, {"batch_no": batch_no}).join(placed.select(BUCKET).distinct(), BUCKET, "left_semi")
+    stored = held_rows(spark, path, cleaned.schema, {"batch_no": batch_no}).join(F.broadcast(placed.select(BUCKET).distinct()), BUCKET, "left_semi")
     kept = stored.groupBy(*FILE).agg(F.count(F.lit(1)).alias("final_count"))
     counted = files.select("batch", *FILE).join(read, FILE, "left").join(kept, FILE, "left")
     filled = counted.fillna(0, ["original_count", "bad_count", "final_count"])
