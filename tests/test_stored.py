@@ -4,12 +4,15 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from leadforge.operators import rules as R
+from leadforge.plans import bureau as PB
 from leadforge.plans import lenders as PL
 from leadforge.plans import stored as ST
+from leadforge.sources.files import decoded, file_inventory
 from leadforge.sources.schemas import TABLES
-from leadforge.sources.sinks import in_table_layout, overwrite_partitions
+from leadforge.sources.sinks import OPEN_FILES, OPEN_WRITERS, in_table_layout, overwrite_partitions
 
 AS_OF = dt.date(2002, 1, 1)
 
@@ -105,3 +108,36 @@ def test_untouched_rows_are_not_shuffled_by_partition(spark, tmp_path):
         assert {r["batch_no"] for r in found.collect()} == {"batch_2", "batch_3"} and found.count() == 100
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_partitioned_write_sorts_nothing(spark, tmp_path, monkeypatch):
+    """Files stay open side by side, also where a task meets more partitions than that; the session is left as it was."""
+    seen, plain = [], type(spark.range(1).write).parquet
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", lambda w, p: (seen.append(spark.conf.get(OPEN_WRITERS)), plain(w, p))[1])
+    before = spark.conf.get(OPEN_WRITERS)
+    overwrite_partitions(spark.range(100).selectExpr("id", "id % 9 as k").coalesce(1), str(tmp_path / "t"), ("k",))
+    assert seen == [str(OPEN_FILES)] and spark.conf.get(OPEN_WRITERS) == before
+    assert sorted((r["k"], r["n"]) for r in spark.read.parquet(str(tmp_path / "t")).selectExpr("k", "id % 9 n").distinct().collect()) == [(i, i) for i in range(9)]
+
+
+def test_plain_paths_are_not_decoded_row_by_row(spark):
+    rows = spark.createDataFrame([("file:/a b+c/d",), ("file:/a%20b+c%2Bd",), (None,)], "p string").select(decoded(F.col("p")).alias("p"))
+    assert "CASE WHEN" in rows._jdf.queryExecution().analyzed().toString()
+    assert [r["p"] for r in rows.collect()] == ["file:/a b+c/d", "file:/a b+c+d", None]
+
+
+def test_loaded_rows_are_not_shuffled_by_file(spark, tmp_path, monkeypatch):
+    (tmp_path / "in" / "day").mkdir(parents=True)
+    for i in range(3):
+        (tmp_path / "in" / "day" / f"score_{i}.txt").write_text(f"CUST_ID|SCORE_V3\nC{i}|700\n")
+    plans, store = [], PB.store_files
+    monkeypatch.setattr(PB, "store_files", lambda rows, *a: (plans.append(rows._jdf.queryExecution().executedPlan().toString()), store(rows, *a))[1])
+    files = file_inventory(spark, str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        counts = PB.load_table(spark, files, str(tmp_path / "t"), "SCORE", "experian", "batch_1", AS_OF).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 2 and not any("SortMergeJoin" in plan or "hashpartitioning(file_path" in plan for plan in plans)
+    assert sorted((r["original_count"], r["final_count"]) for r in counts) == [(1, 1)] * 3
