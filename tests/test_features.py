@@ -2,15 +2,17 @@
 
 import datetime as dt
 import random
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from leadforge.catalog.features import features_sql
 from leadforge.catalog.shape import comparable
 from leadforge.catalog.views import DPD_TEMPLATE, Views
+from leadforge.operators.features import reduction
 from leadforge.operators.features import risk as R
 from leadforge.operators.features import spec as S
 from leadforge.operators.features import tradelines as T
@@ -158,3 +160,34 @@ def test_months_of_delinquency_equal_their_plain_cases(spark, monkeypatch):
     got = Views(spark, "").tradelines_dpd
     assert got.schema.simpleString() == plain.schema.simpleString()
     assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+
+
+def test_cells_are_reduced_without_a_row_per_block(spark):
+    """The step after the cells joins and aggregates nothing: no cell becomes a row for each block it is in."""
+    accounts = spark.createDataFrame([tuple(Decimal(v) if i == 6 and v is not None else v for i, v in enumerate(r)) for r in _accounts(4)], ACCOUNT_SCHEMA)
+    plan = T.tradeline_features(accounts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "Join" not in plan
+
+
+def test_amounts_beyond_64_bits_stay_exact(spark):
+    amounts = ["99999999999999999999999999999999.99", "99999999999999999999999999999999.98", "-92233720368547758.08", "n/a", "0.01"]
+    rows = [(c, code, "NBF", a, a, None, None, dt.date(2001, 1, 1), None, dt.date(2002, 1, 1))
+            for c, n in (("big", 5), ("small", 0), (None, 3)) for code in ("123", "58") for a in (amounts[-n:] if n else ["7", "8.5"])]
+    frame = spark.createDataFrame(rows, ACCOUNT_SCHEMA)
+    got = {r.customer_id: r for r in T.block_features(frame, S.loan_features("pl") + S.loan_features("acct")).collect()}
+    assert set(got) == {"big", "small", None}
+    with localcontext(prec=60):
+        for c, row in got.items():
+            values = [Decimal(r[3]) for r in rows if r[0] == c and r[1] == "123" and r[3] != "n/a"]
+            assert row.tot_pl_loan_amt == sum(values) and row.tot_acct_bal == 2 * sum(values)
+            assert row.max_pl_loan_amt == max(values) and row.nbr_active_pl * 2 == row.nbr_acct
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 100])
+def test_chunks_cut_no_customer_in_two(monkeypatch, size):
+    monkeypatch.setattr(reduction, "CHUNK_ROWS", size)
+    ids, cells = [None, None, "a", "b", "b", "b", "b", "b", "c"], [1, 2, 2, 1, 2, 1, 2, 1, 2]
+    batch = pa.record_batch({"customer_id": pa.array(ids), "cell": pa.array(cells, pa.int32()), "count": pa.array([1] * 9)})
+    run = reduction.feature_reducer([("n", "two", "count", "count")], {"everything": {1, 2}, "two": {2}}, {"count"}, True)
+    found = pa.Table.from_batches(run(batch.slice(i, 2) for i in range(0, 9, 2))).to_pylist()
+    assert [(r["customer_id"], r["slots"]["n"]) for r in found] == [(None, 1), ("a", 1), ("b", 2), ("c", 1)]
