@@ -191,3 +191,15 @@ def test_chunks_cut_no_customer_in_two(monkeypatch, size):
     run = reduction.feature_reducer([("n", "two", "count", "count")], {"everything": {1, 2}, "two": {2}}, {"count"}, True)
     found = pa.Table.from_batches(run(batch.slice(i, 2) for i in range(0, 9, 2))).to_pylist()
     assert [(r["customer_id"], r["slots"]["n"]) for r in found] == [(None, 1), ("a", 1), ("b", 2), ("c", 1)]
+
+
+def test_cells_are_only_as_fine_as_the_wanted_blocks(spark):
+    """Few columns keep few partial rows per customer, with the same values as from all cells."""
+    accounts = spark.createDataFrame([tuple(Decimal(v) if i == 6 and v is not None else v for i, v in enumerate(r)) for r in _accounts(5)], ACCOUNT_SCHEMA)
+    fine = T.customer_cells(accounts, {"count"})
+    for features, most in ((S.loan_features("acct"), 2), (S.loan_features("pl") + S.loan_features("pl", "other"), 4), (S.band_features(), 13)):
+        blocks = ["everything", *{f.block for f in features}]
+        assert T.customer_cells(accounts, {"count"}, blocks=blocks).select("cell").distinct().count() <= most < fine.select("cell").distinct().count()
+        coarse = T.block_features(accounts, features)
+        plain = T.tradeline_features(accounts).select(coarse.columns)
+        assert coarse.exceptAll(plain).isEmpty() and plain.exceptAll(coarse).isEmpty()
