@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from decimal import Decimal, localcontext
 
 import duckdb
@@ -203,3 +204,40 @@ def test_cells_are_only_as_fine_as_the_wanted_blocks(spark):
         coarse = T.block_features(accounts, features)
         plain = T.tradeline_features(accounts).select(coarse.columns)
         assert coarse.exceptAll(plain).isEmpty() and plain.exceptAll(coarse).isEmpty()
+
+
+def test_the_wide_table_is_neither_shuffled_nor_joined(spark, folder):
+    """Accounts are joined to the customers as narrow rows and as cells; what 900 columns come from only passes through."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        v = Views(spark, folder)
+        pii = v.scores.selectExpr("customer_id", "score_v3 as score", "cast(null as date) as dob", "batch_no", "created_at")
+        table = R.add_tli(pii, v.bureau_sent, v.tradelines_dpd, v.enquiries, "batch_1", dt.date(2002, 1, 1))
+        wide, narrow = table._jdf.queryExecution().executedPlan().toString().split("MapInArrow")
+        assert not any(step in wide for step in ("Exchange", "Sort", "Join")), wide
+        cells = re.split(r"HashAggregate\(keys=\[customer_id#\d+, cell#\d+\]", narrow)[-1]
+        assert cells.index("LeftSemi") < cells.index("Exchange") < cells.index("array_max(")  # placed once, with windows for months
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("limit", ["-1", "10485760"])
+def test_customers_keep_their_columns_beside_the_slots(spark, limit):
+    """Whatever their names, also customers without accounts; accounts of others and without a customer are left out."""
+    accounts = spark.createDataFrame([tuple(Decimal(v) if i == 6 and v is not None else v for i, v in enumerate(r)) for r in _accounts(6)], ACCOUNT_SCHEMA)
+    accounts = accounts.withColumn("customer_id", F.when(F.col("customer_id") != "C7", F.col("customer_id")))
+    base = spark.createDataFrame(
+        [(i, f"C{i}", dt.date(2000, 1, 1 + i), Decimal(i)) for i in range(0, 20)] + [(99, "nobody", None, None)],
+        "count long, customer_id string, cell date, tenure decimal(10,2)")
+    features = S.loan_features("pl") + S.loan_features("acct")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        got = T.with_slots(base, accounts, features, base.select("customer_id"))
+        plain = base.join(T.feature_slots(accounts, features), "customer_id", "left").select(*base.columns, "slots")
+        assert got.columns == plain.columns and got.count() == 21
+        assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+        assert {r["customer_id"] for r in got.filter("slots is null").collect()} == {"C7", "nobody"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -120,6 +120,13 @@ def test_a_partitioned_write_sorts_nothing(spark, tmp_path, monkeypatch):
     assert sorted((r["k"], r["n"]) for r in spark.read.parquet(str(tmp_path / "t")).selectExpr("k", "id % 9 n").distinct().collect()) == [(i, i) for i in range(9)]
 
 
+def test_a_batch_of_wide_rows_is_written_where_it_lies(spark, tmp_path):
+    """Nothing is shuffled for the write: each task writes its own file of the one partition."""
+    overwrite_partitions(spark.range(0, 100, 1, 5).selectExpr("id", "'b' as batch_no"), str(tmp_path / "t"), gather=False)
+    assert len(list((tmp_path / "t" / "batch_no=b").glob("*.parquet"))) == 5
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100
+
+
 def test_plain_paths_are_not_decoded_row_by_row(spark):
     rows = spark.createDataFrame([("file:/a b+c/d",), ("file:/a%20b+c%2Bd",), (None,)], "p string").select(decoded(F.col("p")).alias("p"))
     assert "CASE WHEN" in rows._jdf.queryExecution().analyzed().toString()
