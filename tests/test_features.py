@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from leadforge.catalog.features import features_sql
+from leadforge.catalog.features import QUERIES, features_sql
 from leadforge.catalog.shape import comparable
 from leadforge.catalog.views import DPD_TEMPLATE, Views
 from leadforge.operators.features import reduction
@@ -241,3 +241,28 @@ def test_customers_keep_their_columns_beside_the_slots(spark, limit):
         assert {r["customer_id"] for r in got.filter("slots is null").collect()} == {"C7", "nobody"}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_feature_joins_has_the_account_table(spark, tmp_path):
+    """Accounts, their ratios, enquiries and delinquency beside each customer of the batch, NULL where there are none."""
+    tables = {
+        "customer": ([(1, "one"), (2, "two"), (3, "three")], "c_custkey long, c_name string"),
+        "orders": ([(8, 1, dt.datetime(2001, 11, 5), 50.0), (16, 2, dt.datetime(2000, 1, 5), 70.0)],
+                   "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double"),
+        "lineitem": ([(8, n, 24, 1, 100.0, 30.0, flag, dt.datetime(2001, 12, 1)) for n, flag in ((1, "A"), (2, "N"), (3, "R"))],
+                     "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_extendedprice double, l_quantity double, "
+                     "l_returnflag string, l_shipdate timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = {r["customer_id"]: r.asDict() for r in QUERIES["feature_joins"](spark, str(tmp_path)).collect()}
+    assert set(got) == {"C1", "C2", "C3"}
+    accounts = {f.name for f in S.tradeline_catalogue()} | {name for name, _, _ in S.utilisation_ratios()}
+    assert len(accounts) == 938 and accounts < set(got["C1"])
+    one = got["C1"]
+    assert (one["nbr_pl"], one["nbr_active_pl"], one["max_pl_loan_amt"], one["tot_active_pl_bal"]) == (3, 2, 1000.0, 300.0)
+    assert one["current_pl_util"] == 15.0 and one["current_cc_util"] == 0.0
+    assert one["nbr_pl_enquiry_l2m"] == 1 and one["max_dpd_l36m_all"] is not None
+    for c, enquiries in (("C2", 1), ("C3", None)):
+        assert {got[c][a] for a in accounts} == {None} and got[c]["max_dpd_l36m_all"] is None
+        assert got[c]["nbr_pl_enquiry_ever"] == enquiries and got[c]["score"] is not None
