@@ -266,3 +266,53 @@ def test_feature_joins_has_the_account_table(spark, tmp_path):
     for c, enquiries in (("C2", 1), ("C3", None)):
         assert {got[c][a] for a in accounts} == {None} and got[c]["max_dpd_l36m_all"] is None
         assert got[c]["nbr_pl_enquiry_ever"] == enquiries and got[c]["score"] is not None
+
+
+def test_packed_account_rows_are_given_back_exactly(spark):
+    """Whatever their values: amounts of over 18 digits, days that are broken, negative or many, months that are missing or negative."""
+    amounts = [None, "0", "-50.25", "9999999999999999.99", "10000000000000000.00", "-10000000000000000.01", "999999999999999999999999999999999999.99"]
+    days = ["-999", "0", "5", "510", "511", "512", "-1", "0.50", "-999.01", "99999999.99"]
+    rng, kinds = random.Random(7), "decimal(38,2)"
+    rows = [
+        (rng.choice([None, "C1", "C2"]), rng.choice([0, 123, 999, 1000]), *[a and Decimal(a) for a in rng.choices(amounts, k=3)],
+         rng.choice([None, Decimal("0.00001"), Decimal("-9999999999999.99999")]), rng.random() < 0.5, rng.choice([None, 0, 7, -3, 120000, -(2**31), 2**31 - 1]),
+         *[Decimal(d) for d in (rng.choices(days, k=7) if rng.random() < 0.5 else rng.choices(days[:4], k=7))], rng.choice([0, 123101, 1000512]))
+        for _ in range(800)
+    ]
+    windows = ", ".join(f"dpd_{w} {T.DAYS}" for w in S.DPD_WINDOWS)
+    frame = spark.createDataFrame(
+        rows, f"customer_id string, code int, loan {kinds}, balance {kinds}, limit {kinds}, past_due {T.OVERDUE}, active boolean, months int, {windows}, cell int")
+    for given in (frame, frame.select(*[c for c in frame.columns if not c.startswith("dpd_")])):
+        packed = T.packed_rows(given)
+        assert 0 < packed.filter("beyond is null").count() < len(rows)
+        got = T.unpacked_rows(packed)
+        assert got.schema.simpleString() == given.schema.simpleString()
+        assert got.exceptAll(given).isEmpty() and given.exceptAll(got).isEmpty()
+
+
+def test_accounts_are_shuffled_packed(spark, folder):
+    """Eight columns go to the customers, whatever is read of them; amounts of 38 digits only in the array that few rows have."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        v = Views(spark, folder)
+        customers = v.scores.select("customer_id").distinct()
+        cells = T.customer_cells(v.tradelines_dpd, {"count", "sum_loan", "max_limit", "dpd_36", "tenure", "overdue"}, rows_of=customers)
+        plan = cells._jdf.queryExecution().executedPlan().toString().split("LeftSemi")[1]
+        (carried,) = re.findall(r"Exchange hashpartitioning\(customer_id#\d+, \d+\).*\n[ :|]*\+- Project \[(.*) AS beyond#\d+\]", plan)
+        assert [c.split("#")[0] for c in carried.split(", CASE")[0].split(", ")] == [
+            "customer_id", "flags", "past_due", "short_loan", "short_balance", "short_limit", "days"], plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_the_stored_master_is_neither_checkpointed_nor_gathered(spark, tmp_path, monkeypatch):
+    from leadforge.plans import stored as ST
+
+    master = spark.range(0, 60, 1, 4).selectExpr("cast(id as string) customer_id", "cast(id as decimal(10,2)) score")
+    monkeypatch.setattr(ST, "pii_master", lambda *given: master)
+    monkeypatch.setattr(ST, "durable", lambda rows: pytest.fail("checkpointed"))
+    tables = dict.fromkeys(("scores", "ids", "name_dob", "phones", "addresses"))
+    for _ in range(2):
+        stored = ST.store_pii_master(spark, tables, None, "b", dt.date(2002, 1, 1), str(tmp_path / "t"))
+    assert stored.count() == 60 and len(list((tmp_path / "t" / "batch_no=b").glob("*.parquet"))) == 4

@@ -12,7 +12,7 @@ from leadforge.plans import lenders as PL
 from leadforge.plans import stored as ST
 from leadforge.sources.files import decoded, file_inventory
 from leadforge.sources.schemas import TABLES
-from leadforge.sources.sinks import OPEN_FILES, OPEN_WRITERS, in_table_layout, overwrite_partitions
+from leadforge.sources.sinks import FEW_BYTES, OPEN_FILES, OPEN_WRITERS, TASK_BYTES, in_table_layout, overwrite_partitions
 
 AS_OF = dt.date(2002, 1, 1)
 
@@ -148,3 +148,13 @@ def test_loaded_rows_are_not_shuffled_by_file(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(plans) == 2 and not any("SortMergeJoin" in plan or "hashpartitioning(file_path" in plan for plan in plans)
     assert sorted((r["original_count"], r["final_count"]) for r in counts) == [(1, 1)] * 3
+
+
+def test_the_feature_job_puts_little_of_a_shuffle_together_for_a_task(spark, tmp_path, monkeypatch):
+    """Only while it is written: the setting of the session is back afterwards."""
+    seen, before = [], spark.conf.get(TASK_BYTES)
+    monkeypatch.setattr(ST, "add_tli", lambda *given: spark.range(3).selectExpr("id", "'b' as batch_no"))
+    monkeypatch.setattr(ST, "read_table", lambda *given: None)
+    monkeypatch.setattr(ST, "overwrite_partitions", lambda *given, **how: (seen.append(spark.conf.get(TASK_BYTES)), overwrite_partitions(*given, **how)))
+    stored = ST.store_features("", None, spark.range(1), None, "b", AS_OF, str(tmp_path / "t"))
+    assert stored.count() == 3 and seen == [FEW_BYTES] and spark.conf.get(TASK_BYTES) == before
